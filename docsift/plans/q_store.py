@@ -1 +1,300 @@
-"""Queries (filled in below)."""
+"""Store queries: composite key, last-per-key, id assignment, MERGE upsert,
+vector attach/upsert/count, insert-if-absent, keyed hash, point lookup.
+
+Scenario: the chunk table is first loaded with the page chunks of every
+document (ids 1..n in document/chunk order); then the pipeline is re-run
+with the section strategy and that batch is merged in: section chunks whose
+key matches a page chunk update it in place, the rest are inserted.  The
+vector index follows the same two steps.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docsift.functions.text import keyed_hash
+from docsift.operators.chunking import chunk_pages, chunk_sections, split_valid
+from docsift.operators.embedding import hash_vector
+from docsift.operators.store import (
+    UPDATE_COLUMNS,
+    assign_ids,
+    attach_vectors,
+    chunk_key,
+    insert_if_absent,
+    last_per_key,
+    lookup,
+    merge_upsert,
+    upsert_vectors,
+)
+from docsift.plans import sqltext as S
+from docsift.plans.catalog import register
+from docsift.plans.q_chunks import PAGES_SQL, SECTIONS_SQL
+from docsift.plans.scenarios import HASH_DIM, documents, form_documents
+from docsift.sources.tables import load
+
+# The service's secret key (a job parameter) and the user
+# looked up by name.
+SECRET_KEY = "clé-secrète-demo"
+LOOKUP_USER = "Customer#000000042"
+
+_KEY_SQL = ("coalesce(File_Name, 'nan') || coalesce(SEC_Number, 'nan') || coalesce(Topic, 'nan') || "
+            "coalesce(PDF_Link, 'nan') || Chunk_No::VARCHAR")
+
+
+def _rows(chunks: DataFrame) -> DataFrame:
+    """Chunk rows in store layout plus their order key (doc_id, cno)."""
+    return chunks.select(
+        "doc_id", F.col("Chunk_No").alias("cno"), "File_Name", "SEC_Number", "Topic", "PDF_Link",
+        "Chunk_Content", chunk_key(chunks).alias("combined_columns"),
+        F.col("Chunk_No").cast("string").alias("Chunk_No"),
+    )
+
+
+def page_rows(spark, sf):
+    return _rows(chunk_pages(form_documents(spark, sf), "text"))
+
+
+def section_rows(spark, sf):
+    good, _ = split_valid(form_documents(spark, sf), "text")
+    return _rows(chunk_sections(good, "text"))
+
+
+def store_v1(spark, sf) -> DataFrame:
+    return assign_ids(page_rows(spark, sf), ["doc_id", "cno"])
+
+
+def store_v2(spark, sf) -> DataFrame:
+    return merge_upsert(store_v1(spark, sf), section_rows(spark, sf), "combined_columns",
+                        ["doc_id", "cno"], UPDATE_COLUMNS)
+
+
+def _vectors(rows: DataFrame) -> DataFrame:
+    return rows.select("combined_columns", hash_vector("Chunk_Content", HASH_DIM).alias("Embeddings"))
+
+
+def index_v1(spark, sf) -> DataFrame:
+    return attach_vectors(store_v1(spark, sf), _vectors(page_rows(spark, sf)))
+
+
+def index_batch(spark, sf) -> DataFrame:
+    return attach_vectors(store_v2(spark, sf), _vectors(section_rows(spark, sf)))
+
+
+def _vector_summary(index: DataFrame) -> DataFrame:
+    v = F.col("values")
+    return index.select(
+        "id", "File_Name", "SEC_Number",
+        F.size(F.filter(v, lambda x: x != 0)).cast("long").alias("nnz"),
+        F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("total"),
+        F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + (x * x).cast("long")).alias("sq_norm"),
+        F.aggregate(F.transform(v, lambda x, i: (x * (i + 1)).cast("long")), F.lit(0).cast("long"),
+                    lambda a, x: a + x).alias("checksum"),
+    )
+
+
+_STORE_SQL = f"""
+t AS (SELECT row_number() OVER (ORDER BY doc_id, Chunk_No) AS ID, {_KEY_SQL} AS combined_columns,
+             File_Name, SEC_Number, Topic, PDF_Link, Chunk_Content, Chunk_No::VARCHAR AS Chunk_No
+      FROM ({PAGES_SQL})),
+src AS (SELECT {_KEY_SQL} AS combined_columns, File_Name, SEC_Number, Topic, PDF_Link, Chunk_Content,
+               Chunk_No::VARCHAR AS Chunk_No, doc_id, Chunk_No AS cno
+        FROM ({SECTIONS_SQL})
+        QUALIFY row_number() OVER (PARTITION BY combined_columns ORDER BY doc_id DESC, cno DESC) = 1),
+upd AS (SELECT t.ID, combined_columns,
+               CASE WHEN src.doc_id IS NULL THEN t.File_Name ELSE src.File_Name END AS File_Name,
+               CASE WHEN src.doc_id IS NULL THEN t.SEC_Number ELSE src.SEC_Number END AS SEC_Number,
+               CASE WHEN src.doc_id IS NULL THEN t.Topic ELSE src.Topic END AS Topic,
+               CASE WHEN src.doc_id IS NULL THEN t.PDF_Link ELSE src.PDF_Link END AS PDF_Link,
+               CASE WHEN src.doc_id IS NULL THEN t.Chunk_Content ELSE src.Chunk_Content END AS Chunk_Content,
+               CASE WHEN src.doc_id IS NULL THEN t.Chunk_No ELSE src.Chunk_No END AS Chunk_No
+        FROM t LEFT JOIN src USING (combined_columns)),
+ins AS (SELECT (SELECT max(ID) FROM t) + row_number() OVER (ORDER BY doc_id, cno) AS ID, combined_columns,
+               File_Name, SEC_Number, Topic, PDF_Link, Chunk_Content, Chunk_No
+        FROM src WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.combined_columns = src.combined_columns)),
+merged AS (SELECT * FROM upd UNION ALL SELECT * FROM ins)
+"""
+
+
+@register("chunk_key", sql=f"""
+SELECT doc_id::BIGINT AS doc_id, Chunk_No::BIGINT AS Chunk_No, {_KEY_SQL} AS combined_columns
+FROM ({PAGES_SQL})
+""")
+def chunk_key_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Composite chunk key of every page chunk (missing topic -> nan)."""
+    r = page_rows(spark, sf)
+    return r.select(F.col("doc_id").cast("long"), F.col("cno").cast("long").alias("Chunk_No"),
+                    "combined_columns")
+
+
+@register("last_per_key", sql="""
+SELECT source, max(doc_id)::BIGINT AS doc_id, arg_max(lang, doc_id) AS lang,
+       arg_max(n_chars, doc_id)::BIGINT AS n_chars
+FROM documents GROUP BY source
+""")
+def last_per_key_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Last document (highest id) of every source: last row per key wins."""
+    d = load(spark, sf, "documents").select("source", "doc_id", "lang", "n_chars")
+    out = last_per_key(d.withColumn("_o", F.col("doc_id")), ["source"], ["_o"])
+    return out.select("source", F.col("doc_id").cast("long"), "lang", F.col("n_chars").cast("long"))
+
+
+@register("assign_ids", sql=f"""
+SELECT doc_id::BIGINT AS doc_id, Chunk_No::BIGINT AS Chunk_No,
+       row_number() OVER (ORDER BY doc_id, Chunk_No)::BIGINT AS ID
+FROM ({PAGES_SQL})
+""")
+def assign_ids_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Identity column over all page chunks in (document, chunk) order."""
+    s = store_v1(spark, sf)
+    return s.select(F.col("doc_id").cast("long"), F.col("cno").cast("long").alias("Chunk_No"),
+                    F.col("ID").cast("long"))
+
+
+@register("chunk_upsert", sql=f"""
+WITH {_STORE_SQL}
+SELECT ID::BIGINT AS ID, combined_columns, File_Name, SEC_Number, Topic, PDF_Link, Chunk_Content, Chunk_No
+FROM merged
+""")
+def chunk_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """MERGE of the section-strategy batch into the page-chunk table."""
+    m = store_v2(spark, sf)
+    return m.select(F.col("ID").cast("long"), "combined_columns", "File_Name", "SEC_Number", "Topic",
+                    "PDF_Link", "Chunk_Content", "Chunk_No")
+
+
+def _vec_sql(rel: str) -> str:
+    """Hashed term counts per combined key of a chunk relation."""
+    return S.term_counts(f"SELECT {_KEY_SQL} AS combined_columns, Chunk_Content FROM ({rel})",
+                         "combined_columns", "Chunk_Content", HASH_DIM)
+
+
+def _summary_sql(records: str) -> str:
+    return f"""
+SELECT id, File_Name, SEC_Number, count(*)::BIGINT AS nnz, sum(n)::BIGINT AS total,
+       sum(n * n)::BIGINT AS sq_norm, sum(n * (dim + 1))::BIGINT AS checksum
+FROM ({records}) GROUP BY id, File_Name, SEC_Number
+"""
+
+
+_BATCH_RECORDS_SQL = f"""
+SELECT merged.ID::VARCHAR AS id, merged.File_Name, merged.SEC_Number, v.dim, v.n
+FROM merged JOIN ({_vec_sql(SECTIONS_SQL)}) v USING (combined_columns)
+"""
+
+_V1_RECORDS_SQL = f"""
+SELECT t.ID::VARCHAR AS id, t.File_Name, t.SEC_Number, v.dim, v.n
+FROM t JOIN ({_vec_sql(PAGES_SQL)}) v USING (combined_columns)
+"""
+
+
+@register("attach_vectors", sql=f"WITH {_STORE_SQL} {_summary_sql(_BATCH_RECORDS_SQL)}")
+def attach_vectors_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Index records (id from the chunk table, vector, metadata) for every
+    section chunk of the merged batch."""
+    return _vector_summary(index_batch(spark, sf))
+
+
+@register("vector_upsert", sql=f"""
+WITH {_STORE_SQL},
+b AS ({_BATCH_RECORDS_SQL}),
+v1 AS ({_V1_RECORDS_SQL})
+{_summary_sql("SELECT * FROM b UNION ALL SELECT * FROM v1 WHERE id NOT IN (SELECT id FROM b)")}
+""")
+def vector_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Index after upserting the batch records into the page-chunk index
+    (replace by id, keep the rest)."""
+    return _vector_summary(upsert_vectors(index_v1(spark, sf), index_batch(spark, sf)))
+
+
+@register("upsert_count", sql=f"""
+WITH {_STORE_SQL}
+SELECT File_Name, count(DISTINCT id)::BIGINT AS n_upserted FROM ({_BATCH_RECORDS_SQL}) GROUP BY File_Name
+""")
+def upsert_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of upserted index records per file."""
+    b = index_batch(spark, sf)
+    return b.groupBy("File_Name").agg(F.count(F.lit(1)).cast("long").alias("n_upserted"))
+
+
+# ---------------------------------------------------------------- users
+
+def _ipad_opad_sql(msg: str) -> str:
+    from docsift.functions.text import hmac_pad_hex
+    ipad, opad = hmac_pad_hex(SECRET_KEY)
+    return f"sha256(unhex('{opad}') || unhex(sha256(unhex('{ipad}') || encode({msg}))))"
+
+
+def _requests(spark, sf) -> DataFrame:
+    """Sign-up requests: one per customer."""
+    c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return c.select(
+        F.col("c_name").alias("username"),
+        keyed_hash(F.concat(F.lower("c_mktsegment"), F.lit("-"), F.col("c_custkey").cast("string")),
+                   SECRET_KEY).alias("password"),
+        F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.org")).alias("emailid"),
+        F.lit("True").alias("active"),
+        F.col("c_name").alias("Fullname"),
+        F.col("c_custkey").alias("_o"),
+    )
+
+
+def _existing_users(spark, sf) -> DataFrame:
+    """Users already registered: the owners of conversations."""
+    conv = load(spark, sf, "conversations").select(F.col("conv_id").alias("c_custkey")).distinct()
+    owners = load(spark, sf, "customer").join(conv, "c_custkey", "left_semi")
+    return owners.select(F.col("c_name").alias("username"))
+
+
+_USERS_SQL = f"""
+req AS (SELECT c_name AS username,
+               {_ipad_opad_sql("lower(c_mktsegment) || '-' || c_custkey::VARCHAR")} AS password,
+               lower(replace(c_name, '#', '.')) || '@example.org' AS emailid, 'True' AS active,
+               c_name AS Fullname, c_custkey AS o
+        FROM customer),
+ex AS (SELECT c_name AS username FROM customer
+       WHERE c_custkey IN (SELECT conv_id FROM conversations)),
+firsts AS (SELECT * FROM req QUALIFY row_number() OVER (PARTITION BY username ORDER BY o) = 1),
+acc AS (SELECT * FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.username = f.username))
+"""
+
+
+@register("insert_if_absent", sql=f"""
+WITH {_USERS_SQL}
+SELECT username, password, emailid, active, Fullname FROM acc
+""")
+def insert_if_absent_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Registrations of all customers against the users that already
+    exist: the rows that get inserted (password stored as keyed hash)."""
+    acc, _ = insert_if_absent(_existing_users(spark, sf), _requests(spark, sf), ["username"], ["_o"])
+    return acc.select("username", "password", "emailid", "active", "Fullname")
+
+
+@register("insert_rejects", sql=f"""
+WITH {_USERS_SQL}
+SELECT username, 'Username already exists' AS reason FROM req r
+WHERE NOT EXISTS (SELECT 1 FROM acc WHERE acc.username = r.username AND acc.o = r.o)
+""")
+def insert_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Registrations refused because the username exists."""
+    _, rej = insert_if_absent(_existing_users(spark, sf), _requests(spark, sf), ["username"], ["_o"])
+    return rej.select("username", F.lit("Username already exists").alias("reason"))
+
+
+@register("keyed_hash", sql=f"""
+SELECT c_custkey::BIGINT AS c_custkey, {_ipad_opad_sql('c_name')} AS name_hash FROM customer
+""")
+def keyed_hash_q(spark: SparkSession, sf: str) -> DataFrame:
+    """HMAC-SHA256 (hex) of every customer name under the service key."""
+    c = load(spark, sf, "customer")
+    return c.select(F.col("c_custkey").cast("long"), keyed_hash("c_name", SECRET_KEY).alias("name_hash"))
+
+
+@register("point_lookup", sql=f"""
+SELECT c_custkey::BIGINT AS c_custkey, c_name, c_mktsegment FROM customer WHERE c_name = '{LOOKUP_USER}'
+""")
+def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Fetch one user's row by name (equality pushed into the Parquet scan)."""
+    c = load(spark, sf, "customer")
+    out = lookup(c, "c_name", LOOKUP_USER, ["c_custkey", "c_name", "c_mktsegment"])
+    return out.select(F.col("c_custkey").cast("long"), "c_name", "c_mktsegment")
