@@ -97,6 +97,17 @@ def assign_ids(df: DataFrame, order: list[str], start: int = 0, id_col: str = "I
               .drop("_pid", "_local", "_off")
 
 
+def dense_rank_within(df: DataFrame, group: list[str], order: list[str], out_col: str = "seq") -> DataFrame:
+    """0-based position of every row inside its group, in ``order``
+    (``group + order`` must be unique).  Skew-safe: a global dense index
+    minus the first index of the group (a partial-aggregated min), instead of
+    a window that would sort a hot group in a single task."""
+    idx = assign_ids(df, group + order, id_col="_g")
+    first = idx.groupBy(*group).agg(F.min("_g").alias("_g0"))
+    return idx.join(first, on=group).withColumn(out_col, (F.col("_g") - F.col("_g0")).cast("long")) \
+              .drop("_g", "_g0")
+
+
 def max_id(df: DataFrame, id_col: str = "ID") -> int:
     """Largest id of a table (0 when empty): one scalar to the driver."""
     v = df.agg(F.max(id_col)).first()[0]
