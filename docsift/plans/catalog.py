@@ -36,6 +36,7 @@ def _load_all() -> None:
         q_answer,
         q_chunks,
         q_embed,
+        q_io,
         q_listing,
         q_retrieve,
         q_store,
