@@ -250,8 +250,12 @@ class ChunkStore(VersionedTable):
         the batch, e.g. document and chunk number) decides which duplicate
         wins and the order of new ids."""
         ords = [f"_ord{i}" for i in range(len(order))]
-        rows = chunks.select(*[F.col(c).alias(o) for c, o in zip(order, ords)],
-                             *[to_store_rows(chunks)[c] for c in STORE_COLUMNS[1:]])
+        rows = chunks.select(
+            *[F.col(c).alias(o) for c, o in zip(order, ords)],
+            "File_Name", "SEC_Number", "Topic", "PDF_Link", "Chunk_Content",
+            chunk_key(chunks).alias("combined_columns"),
+            F.col("Chunk_No").cast("string").alias("Chunk_No"),
+        )
         merged = merge_upsert(self.read(), rows, "combined_columns", ords, UPDATE_COLUMNS)
         return self.write(merged)
 
