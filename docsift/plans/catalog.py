@@ -43,9 +43,23 @@ def _load_all() -> None:
     )
 
 
+def _shipped(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from docsift.session import ship_package
+
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
+    """Registered queries; each first makes the package importable on the
+    session's workers."""
     _load_all()
-    return dict(QUERIES)
+    return {name: _shipped(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -43,6 +43,7 @@ def local_session(cpus: int | None = None, app: str = "docsift", extra: dict | N
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -66,3 +67,42 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _package_zip() -> bytes:
+    import io
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, base))
+    return buf.getvalue()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``docsift`` importable in every Python worker.
+
+    UDFs and ``mapInPandas`` functions are pickled by module reference, so
+    workers must import the package.  It is zipped once per SparkContext into
+    the shared checkpoint folder and added with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_docsift_shipped", False):
+        return
+    dest = f"{checkpoint_root(spark).rstrip('/')}/pyfiles/docsift-{uuid.uuid4().hex[:12]}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(dest)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(_package_zip()))
+    finally:
+        out.close()
+    sc.addPyFile(dest)
+    sc._docsift_shipped = True
