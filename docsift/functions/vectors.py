@@ -43,7 +43,10 @@ def _count_vector_udf(dim: int):
             counts = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float32)
         return pd.Series(list(counts))
 
-    return count_vector
+    # Nondeterministic on purpose: otherwise the optimizer may copy the call
+    # into an inferred filter (e.g. from a later explode) and push that copy
+    # below a repartition, running the UDF twice.
+    return count_vector.asNondeterministic()
 
 
 def count_vector(dims_col, dim: int) -> Column:

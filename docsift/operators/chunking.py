@@ -44,8 +44,12 @@ def _running_sum(counts: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+# evaluated exactly once (see functions.vectors.count_vector)
+_running_sum_once = _running_sum.asNondeterministic()
+
+
 def running_sum(counts_col) -> Column:
-    return _running_sum(F.col(counts_col) if isinstance(counts_col, str) else counts_col)
+    return _running_sum_once(F.col(counts_col) if isinstance(counts_col, str) else counts_col)
 
 
 def _explode_chunks(df: DataFrame, keep: list[str], contents: Column, counts: Column) -> DataFrame:
