@@ -10,6 +10,8 @@ vector index follows the same two steps.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,36 +53,45 @@ def _rows(chunks: DataFrame) -> DataFrame:
     )
 
 
-def page_rows(spark, sf):
-    return _rows(chunk_pages(form_documents(spark, sf), "text"))
+class _Scenario:
+    """The two-step load of one query build; each piece is planned once (the
+    id assignments checkpoint their input, so rebuilding them would repeat
+    that work)."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
 
+    @cached_property
+    def page_rows(self) -> DataFrame:
+        return _rows(chunk_pages(form_documents(self.spark, self.sf), "text"))
 
-def section_rows(spark, sf):
-    good, _ = split_valid(form_documents(spark, sf), "text")
-    return _rows(chunk_sections(good, "text"))
+    @cached_property
+    def section_rows(self) -> DataFrame:
+        good, _ = split_valid(form_documents(self.spark, self.sf), "text")
+        return _rows(chunk_sections(good, "text"))
 
+    @cached_property
+    def store_v1(self) -> DataFrame:
+        return assign_ids(self.page_rows, ["doc_id", "cno"])
 
-def store_v1(spark, sf) -> DataFrame:
-    return assign_ids(page_rows(spark, sf), ["doc_id", "cno"])
+    @cached_property
+    def store_v2(self) -> DataFrame:
+        return merge_upsert(self.store_v1, self.section_rows, "combined_columns", ["doc_id", "cno"],
+                            UPDATE_COLUMNS)
 
+    @cached_property
+    def index_v1(self) -> DataFrame:
+        return attach_vectors(self.store_v1, _vectors(self.page_rows))
 
-def store_v2(spark, sf) -> DataFrame:
-    return merge_upsert(store_v1(spark, sf), section_rows(spark, sf), "combined_columns",
-                        ["doc_id", "cno"], UPDATE_COLUMNS)
+    @cached_property
+    def index_batch(self) -> DataFrame:
+        return attach_vectors(self.store_v2, _vectors(self.section_rows))
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
     return rows.select("combined_columns", hash_vector("Chunk_Content", HASH_DIM).alias("Embeddings"))
 
 
-def index_v1(spark, sf) -> DataFrame:
-    return attach_vectors(store_v1(spark, sf), _vectors(page_rows(spark, sf)))
-
-
-def index_batch(spark, sf) -> DataFrame:
-    return attach_vectors(store_v2(spark, sf), _vectors(section_rows(spark, sf)))
-
-
 def _vector_summary(index: DataFrame) -> DataFrame:
     v = F.col("values")
     return index.select(
@@ -122,7 +133,7 @@ FROM ({PAGES_SQL})
 """)
 def chunk_key_q(spark: SparkSession, sf: str) -> DataFrame:
     """Composite chunk key of every page chunk (missing topic -> nan)."""
-    r = page_rows(spark, sf)
+    r = _Scenario(spark, sf).page_rows
     return r.select(F.col("doc_id").cast("long"), F.col("cno").cast("long").alias("Chunk_No"),
                     "combined_columns")
 
@@ -146,7 +157,7 @@ FROM ({PAGES_SQL})
 """)
 def assign_ids_q(spark: SparkSession, sf: str) -> DataFrame:
     """Identity column over all page chunks in (document, chunk) order."""
-    s = store_v1(spark, sf)
+    s = _Scenario(spark, sf).store_v1
     return s.select(F.col("doc_id").cast("long"), F.col("cno").cast("long").alias("Chunk_No"),
                     F.col("ID").cast("long"))
 
@@ -158,7 +169,7 @@ FROM merged
 """)
 def chunk_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """MERGE of the section-strategy batch into the page-chunk table."""
-    m = store_v2(spark, sf)
+    m = _Scenario(spark, sf).store_v2
     return m.select(F.col("ID").cast("long"), "combined_columns", "File_Name", "SEC_Number", "Topic",
                     "PDF_Link", "Chunk_Content", "Chunk_No")
 
@@ -192,7 +203,7 @@ FROM t JOIN ({_vec_sql(PAGES_SQL)}) v USING (combined_columns)
 def attach_vectors_q(spark: SparkSession, sf: str) -> DataFrame:
     """Index records (id from the chunk table, vector, metadata) for every
     section chunk of the merged batch."""
-    return _vector_summary(index_batch(spark, sf))
+    return _vector_summary(_Scenario(spark, sf).index_batch)
 
 
 @register("vector_upsert", sql=f"""
@@ -204,7 +215,8 @@ v1 AS ({_V1_RECORDS_SQL})
 def vector_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Index after upserting the batch records into the page-chunk index
     (replace by id, keep the rest)."""
-    return _vector_summary(upsert_vectors(index_v1(spark, sf), index_batch(spark, sf)))
+    sc = _Scenario(spark, sf)
+    return _vector_summary(upsert_vectors(sc.index_v1, sc.index_batch))
 
 
 @register("upsert_count", sql=f"""
@@ -213,7 +225,7 @@ SELECT File_Name, count(DISTINCT id)::BIGINT AS n_upserted FROM ({_BATCH_RECORDS
 """)
 def upsert_count(spark: SparkSession, sf: str) -> DataFrame:
     """Number of upserted index records per file."""
-    b = index_batch(spark, sf)
+    b = _Scenario(spark, sf).index_batch
     return b.groupBy("File_Name").agg(F.count(F.lit(1)).cast("long").alias("n_upserted"))
 
 
