@@ -52,33 +52,37 @@ def running_sum(counts_col) -> Column:
     return _running_sum_once(F.col(counts_col) if isinstance(counts_col, str) else counts_col)
 
 
-def _explode_chunks(df: DataFrame, keep: list[str], contents: Column, counts: Column) -> DataFrame:
+def _explode_chunks(df: DataFrame, keep: list[str], contents: Column, counts: Column,
+                    running: bool = True) -> DataFrame:
     staged = df.select(*keep, contents.alias("_contents"), counts.alias("_counts"))
-    staged = staged.withColumn("_running", running_sum("_counts"))
-    zipped = F.arrays_zip(
-        F.col("_contents").alias("c"), F.col("_counts").alias("n"), F.col("_running").alias("r")
-    )
-    exploded = staged.select(*keep, F.posexplode(zipped).alias("_pos", "_z"))
-    return exploded.select(
+    parts = [F.col("_contents").alias("c"), F.col("_counts").alias("n")]
+    if running:
+        staged = staged.withColumn("_running", running_sum("_counts"))
+        parts.append(F.col("_running").alias("r"))
+    exploded = staged.select(*keep, F.posexplode(F.arrays_zip(*parts)).alias("_pos", "_z"))
+    cols = [
         *keep,
         (F.col("_pos") + 1).cast("int").alias("Chunk_No"),
         F.col("_z.c").alias("Chunk_Content"),
         F.col("_z.n").cast("int").alias("Number_of_Words"),
-        F.col("_z.r").cast("long").alias("Total_Tokens_in_PDF"),
-    )
+    ]
+    if running:
+        cols.append(F.col("_z.r").cast("long").alias("Total_Tokens_in_PDF"))
+    return exploded.select(*cols)
 
 
 def chunk_pages(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
-                page_sep: str = "\n") -> DataFrame:
+                page_sep: str = "\n", running: bool = True) -> DataFrame:
     """One row per page, blank pages kept, numbered from 1.
 
     Pages are the pieces of the document text between ``page_sep``
-    (a regex).  Null text gives no rows.
+    (a regex).  Null text gives no rows.  ``running=False`` leaves out the
+    running word total (and its vectorised helper) when it is not needed.
     """
     keep = keep if keep is not None else [c for c in df.columns if c != text_col]
     pages = F.split(F.col(text_col), page_sep, -1)
     counts = F.transform(pages, lambda p: word_count(p))
-    return _explode_chunks(df, keep, pages, counts)
+    return _explode_chunks(df, keep, pages, counts, running)
 
 
 def section_arrays(text_col: str) -> tuple[Column, Column]:
