@@ -114,25 +114,81 @@ def max_id(df: DataFrame, id_col: str = "ID") -> int:
     return int(v or 0)
 
 
+# Largest reduced batch (estimated bytes) that a merge ships to every task
+# instead of shuffling the store.
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
+
+def _value_bytes(field: T.StructField) -> Column:
+    c, dt = F.col(field.name), field.dataType
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c)
+    elif isinstance(dt, T.ArrayType) and not isinstance(dt.elementType, (T.StringType, T.BinaryType)):
+        size = F.size(c) * 8
+    elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(c))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long")) + F.lit(16)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Estimated in-memory bytes of a row: UTF-8 size of text, 8 bytes per
+    number or array element, plus a fixed per-value overhead."""
+    sizes = [_value_bytes(f) for f in df.schema.fields]
+    total = sizes[0]
+    for s in sizes[1:]:
+        total = total + s
+    return total
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Cut ``df`` with a reliable checkpoint (shared folder) and return it
+    with its row count and estimated bytes.
+
+    A batch that feeds several branches is then computed once, and whether
+    it may be broadcast is decided on its measured size, not on a guess.
+    """
+    checkpoint_root(df.sparkSession)
+    ck = df.checkpoint(eager=True)
+    st = ck.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(ck)).alias("b")).first()
+    return ck, int(st["n"]), int(st["b"] or 0)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: list[str],
-                 update_cols: list[str], id_col: str = "ID") -> DataFrame:
+                 update_cols: list[str], id_col: str = "ID",
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``key``.
 
     Matched keys take the source values (the last source row per key wins)
     and keep their id; unmatched source keys are inserted with ids after the
     target's largest, in ``order``; target rows absent from the source stay.
     ``order`` columns are only used for ordering and are not written.
+
+    The batch is first reduced to one row per key (partial aggregation) and
+    measured.  A batch under ``broadcast_bytes`` (the usual incremental
+    load) is broadcast: the store streams past it in a map-only hash join
+    and is never shuffled, and only the store keys that match the batch
+    (at most one per batch row) meet it again to find the inserts.  A larger
+    batch (a full rebuild) takes one shuffled full outer join instead.
     """
-    src = last_per_key(source.select(key, *update_cols, *order), [key], order)
+    src, _, nbytes = measured(last_per_key(source.select(key, *update_cols, *order), [key], order))
     s = src.select(F.col(key), *[F.col(c).alias(f"_s_{c}") for c in update_cols + order],
                    F.lit(True).alias("_in_s"))
-    t = target.select(id_col, key, *update_cols).withColumn("_in_t", F.lit(True))
-    j = t.join(s, on=key, how="full_outer")
+    t = target.select(id_col, key, *update_cols)
     vals = [F.when(F.col("_in_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
             for c in update_cols]
-    existing = j.where(F.col("_in_t").isNotNull()).select(id_col, key, *vals)
-    inserts = j.where(F.col("_in_t").isNull()).select(
-        key, *vals, *[F.col(f"_s_{c}").alias(f"_o_{c}") for c in order])
+    if nbytes <= broadcast_bytes:
+        existing = t.join(F.broadcast(s), on=key, how="left").select(id_col, key, *vals)
+        matched = t.select(key).join(F.broadcast(src.select(key)), on=key, how="left_semi")
+        inserts = s.join(matched, on=key, how="left_anti").select(
+            key, *[F.col(f"_s_{c}").alias(c) for c in update_cols],
+            *[F.col(f"_s_{c}").alias(f"_o_{c}") for c in order])
+    else:
+        j = t.withColumn("_in_t", F.lit(True)).join(s, on=key, how="full_outer")
+        existing = j.where(F.col("_in_t").isNotNull()).select(id_col, key, *vals)
+        inserts = j.where(F.col("_in_t").isNull()).select(
+            key, *vals, *[F.col(f"_s_{c}").alias(f"_o_{c}") for c in order])
     new = assign_ids(inserts, [f"_o_{c}" for c in order], start=max_id(target, id_col), id_col=id_col)
     return existing.unionByName(new.select(id_col, key, *update_cols))
 
@@ -163,24 +219,41 @@ VECTOR_SCHEMA = T.StructType([
 
 
 def attach_vectors(store: DataFrame, embedded: DataFrame, key: str = "combined_columns",
-                   vec_col: str = "Embeddings", id_col: str = "ID") -> DataFrame:
+                   vec_col: str = "Embeddings", id_col: str = "ID",
+                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Index records for every stored chunk whose key has a vector.
 
     ``embedded`` holds one vector per key (reduce a batch with
     :func:`last_per_key` first).  Rows without a vector, with an empty one or
-    an all-zero one (a blank chunk: cosine is undefined) are skipped.
+    an all-zero one (a blank chunk: cosine is undefined) are skipped.  The
+    vector batch is measured: under ``broadcast_bytes`` it is broadcast and
+    the store streams past it without a shuffle.
     """
     v = F.col(vec_col)
     vecs = embedded.select(key, vec_col).where(v.isNotNull() & (F.size(v) > 0) & F.exists(v, lambda x: x != 0))
+    vecs, _, nbytes = measured(vecs)
+    if nbytes <= broadcast_bytes:
+        vecs = F.broadcast(vecs)
     joined = store.select(id_col, key, "File_Name", "SEC_Number").join(vecs, on=key, how="inner")
     return joined.select(F.col(id_col).cast("string").alias("id"),
                          F.col(vec_col).cast("array<float>").alias("values"), "File_Name", "SEC_Number")
 
 
-def upsert_vectors(index: DataFrame, records: DataFrame) -> DataFrame:
-    """Overwrite-or-insert by id; ids not in the batch are kept."""
-    kept = index.join(records.select("id"), on="id", how="left_anti")
-    return kept.unionByName(records.select(*index.columns))
+def upsert_vectors(index: DataFrame, records: DataFrame,
+                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Overwrite-or-insert by id; ids not in the batch are kept.
+
+    The batch is measured once (it feeds both the id filter and the
+    union); when its ids fit under ``broadcast_bytes`` the index streams
+    past them in a map-only anti join instead of being shuffled.
+    """
+    recs, _, _ = measured(records.select(*index.columns))
+    ids = recs.select("id")
+    id_bytes = ids.agg(F.sum(F.octet_length("id") + F.lit(16))).first()[0] or 0
+    if id_bytes <= broadcast_bytes:
+        ids = F.broadcast(ids)
+    kept = index.join(ids, on="id", how="left_anti")
+    return kept.unionByName(recs)
 
 
 def dimension_violations(index: DataFrame, dim: int) -> DataFrame:

@@ -106,3 +106,33 @@ def test_vector_index_upsert_replaces_by_id(spark):
     got = {r.id: (list(r.values), r.File_Name) for r in idx.read().collect()}
     assert got == {"1": ([1.0, 0.0], "f"), "2": ([1.0, 1.0], "g")}
     assert upsert_vectors(idx.read(), recs.limit(0)).count() == 2
+
+
+def test_merge_broadcast_and_shuffle_paths_agree(spark):
+    t = spark.range(0, 400).select(
+        (F.col("id") + 1).alias("ID"), F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"),
+        F.lit("old").alias("v"))
+    s = spark.range(300, 700).select(
+        F.concat(F.lit("k"), (F.col("id") % 550).cast("string")).alias("k"),
+        F.concat(F.lit("new"), F.col("id").cast("string")).alias("v"), F.col("id").alias("seq"))
+    small = merge_upsert(t, s, "k", ["seq"], COLS)  # default: batch broadcast
+    big = merge_upsert(t, s, "k", ["seq"], COLS, broadcast_bytes=0)  # shuffled full outer join
+    a, b = sorted(small.collect()), sorted(big.collect())
+    assert a == b
+    got = {r.k: (r.ID, r.v) for r in a}
+    # k = id % 550: ids 550..699 update k0..k149, ids 300..549 update or insert k300..k549
+    assert got["k0"] == (1, "new550") and got["k10"] == (11, "new560") and got["k200"] == (201, "old")
+    assert got["k320"] == (321, "new320") and got["k400"] == (401, "new400") and got["k549"] == (550, "new549")
+    assert sorted(i for i, _ in got.values()) == list(range(1, len(got) + 1))
+
+
+def test_upsert_latest_paths_agree_and_null_key(spark):
+    from docsift.streaming.incremental import upsert_latest
+
+    target = spark.createDataFrame([("a", 1, "x"), ("b", 5, "y"), (None, 2, "n0")], "k string, o long, v string")
+    batch = spark.createDataFrame([("a", 3, "x2"), ("b", 4, "late"), ("c", 1, "z"), (None, 7, "n1"), ("a", 2, "x1")],
+                                  "k string, o long, v string")
+    small = sorted(upsert_latest(target, batch, ["k"], ["o"]).collect(), key=str)
+    big = sorted(upsert_latest(target, batch, ["k"], ["o"], broadcast_bytes=0).collect(), key=str)
+    assert small == big
+    assert {(r.k, r.o, r.v) for r in small} == {("a", 3, "x2"), ("b", 5, "y"), ("c", 1, "z"), (None, 7, "n1")}
