@@ -37,6 +37,7 @@ def _load_all() -> None:
         q_chunks,
         q_embed,
         q_io,
+        q_jobs,
         q_listing,
         q_retrieve,
         q_store,

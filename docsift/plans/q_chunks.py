@@ -58,23 +58,33 @@ FROM (SELECT doc_id, File_Name, SEC_Number, Topic, PDF_Link,
       FROM (SELECT *, string_split(text, chr(10)) AS p FROM ({FORM_DOCS_SQL}) WHERE text IS NOT NULL))
 """)
 
-_SECTION_ARRAYS_SQL = f"""
+def section_arrays_sql(form_docs: str = FORM_DOCS_SQL) -> str:
+    """Heading array h and body array b of every non-null text."""
+    return f"""
 SELECT *, regexp_extract_all(text, '{HEADING_RE}') AS h,
        string_split_regex(text, '{BODY_SPLIT_RE}')[2:] AS b
-FROM ({FORM_DOCS_SQL}) WHERE text IS NOT NULL
+FROM ({form_docs}) WHERE text IS NOT NULL
 """
 
-SECTIONS_SQL = _typed_sql(f"""
+
+def sections_sql(form_docs: str = FORM_DOCS_SQL) -> str:
+    """Section chunks (CHK-2/3/9) of a relation with doc_id, text and the
+    four link columns."""
+    arrays = section_arrays_sql(form_docs)
+    return _typed_sql(f"""
 SELECT doc_id, File_Name, SEC_Number, Topic, PDF_Link, chunk_no,
        {S.py_strip("replace(head, '**', '')")} || chr(10) || body AS Chunk_Content,
        {S.word_count('body')} AS nw
 FROM (SELECT doc_id, File_Name, SEC_Number, Topic, PDF_Link, head, chunk_no,
              {S.py_strip("replace(replace(rawbody, '{', ''), '}', '')")} AS body
       FROM (SELECT *, unnest(h) AS head, unnest(b) AS rawbody, generate_subscripts(h, 1) AS chunk_no
-            FROM ({_SECTION_ARRAYS_SQL}) WHERE len(h) = len(b) AND len(h) > 0))
+            FROM ({arrays}) WHERE len(h) = len(b) AND len(h) > 0))
 """)
 
 
+SECTIONS_SQL = sections_sql()
+
+
 @register("page_chunks", sql=PAGES_SQL)
 def page_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """One chunk per line (page) of every document, blank pages kept."""
@@ -117,7 +127,7 @@ def running_words(spark: SparkSession, sf: str) -> DataFrame:
 @register("section_parity", sql=f"""
 SELECT doc_id::BIGINT AS doc_id, len(h)::BIGINT AS n_headings, len(b)::BIGINT AS n_bodies,
        len(h) = len(b) AS parity_ok
-FROM ({_SECTION_ARRAYS_SQL})
+FROM ({section_arrays_sql()})
 """)
 def section_parity(spark: SparkSession, sf: str) -> DataFrame:
     """Heading and body counts per document and the parity verdict."""

@@ -95,16 +95,21 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return rows.select("combined_columns", hash_vector("Chunk_Content", HASH_DIM).alias("Embeddings"))
 
 
-def _vector_summary(index: DataFrame) -> DataFrame:
-    v = F.col("values")
-    return index.select(
-        "id", "File_Name", "SEC_Number",
+def vector_stats(col: str = "values") -> list:
+    """Order-sensitive summary of a count vector: nonzeros, sum, squared
+    norm and a position-weighted checksum (all exact integers)."""
+    v = F.col(col)
+    return [
         F.size(F.filter(v, lambda x: x != 0)).cast("long").alias("nnz"),
         F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("total"),
         F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + (x * x).cast("long")).alias("sq_norm"),
         F.aggregate(F.transform(v, lambda x, i: (x * (i + 1)).cast("long")), F.lit(0).cast("long"),
                     lambda a, x: a + x).alias("checksum"),
-    )
+    ]
+
+
+def _vector_summary(index: DataFrame) -> DataFrame:
+    return index.select("id", "File_Name", "SEC_Number", *vector_stats("values"))
 
 
 _STORE_SQL = f"""
