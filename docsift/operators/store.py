@@ -274,7 +274,9 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
-    def _versions(self) -> list[int]:
+    def _versions(self, complete: bool = True) -> list[int]:
+        """Version numbers present; ``complete`` keeps only those whose
+        write finished (``_SUCCESS`` marker)."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path(self.root)
@@ -285,7 +287,7 @@ class VersionedTable:
         for st in fs.listStatus(path):
             name = st.getPath().getName()
             m = re.fullmatch(r"v(\d{6})", name)
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if m and (not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
                 out.append(int(m.group(1)))
         return sorted(out)
 
@@ -299,7 +301,9 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(self._path(vs[-1]))
 
     def write(self, df: DataFrame) -> str:
-        vs = self._versions()
+        # number past every folder, finished or not: a write that died
+        # half-way leaves its folder behind, and it is never read or reused
+        vs = self._versions(complete=False)
         path = self._path((vs[-1] if vs else 0) + 1)
         df.select(*self.schema.fieldNames()).write.mode("errorifexists").parquet(path)
         return path

@@ -136,3 +136,16 @@ def test_upsert_latest_paths_agree_and_null_key(spark):
     big = sorted(upsert_latest(target, batch, ["k"], ["o"], broadcast_bytes=0).collect(), key=str)
     assert small == big
     assert {(r.k, r.o, r.v) for r in small} == {("a", 3, "x2"), ("b", 5, "y"), ("c", 1, "z"), (None, 7, "n1")}
+
+
+def test_versioned_table_skips_an_unfinished_version(spark):
+    import os
+
+    root = scratch_path(spark, "version-test")
+    t = VersionedTable(spark, root, STORE_SCHEMA)
+    t.write(spark.createDataFrame([(1, "f", "s", None, "l", "c", "k", "1")], STORE_SCHEMA))
+    os.makedirs(os.path.join(root, "v000002"))  # a write that died: no _SUCCESS marker
+    assert [r.ID for r in t.read().collect()] == [1]  # unfinished version is not read
+    t.write(spark.createDataFrame([(2, "f", "s", None, "l", "c", "k", "1")], STORE_SCHEMA))
+    assert [r.ID for r in t.read().collect()] == [2]
+    assert sorted(os.listdir(root)) == ["v000001", "v000002", "v000003"]
