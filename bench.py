@@ -20,6 +20,7 @@ HEADLINE = [
     "rag_retrieve", "rag_answer", "answer_rounds", "fetch_context", "vector_topk", "filtered_topk",
     "page_chunks", "section_chunks", "hash_embeddings", "embed_chunks", "scrape_links",
     "absolute_links", "chunk_upsert", "vector_upsert", "insert_if_absent", "transcripts",
+    "ingest_job", "index_job", "chat_job",
 ]
 
 
