@@ -220,20 +220,23 @@ VECTOR_SCHEMA = T.StructType([
 
 def attach_vectors(store: DataFrame, embedded: DataFrame, key: str = "combined_columns",
                    vec_col: str = "Embeddings", id_col: str = "ID",
-                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                   broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Index records for every stored chunk whose key has a vector.
 
     ``embedded`` holds one vector per key (reduce a batch with
     :func:`last_per_key` first).  Rows without a vector, with an empty one or
     an all-zero one (a blank chunk: cosine is undefined) are skipped.  The
-    vector batch is measured: under ``broadcast_bytes`` it is broadcast and
-    the store streams past it without a shuffle.
+    vector batch is measured (and so embedded exactly once): under
+    ``broadcast_bytes`` it is broadcast and the store streams past it without
+    a shuffle.  ``None`` is for a known full load: nothing is measured and
+    the join is left to adaptive execution.
     """
     v = F.col(vec_col)
     vecs = embedded.select(key, vec_col).where(v.isNotNull() & (F.size(v) > 0) & F.exists(v, lambda x: x != 0))
-    vecs, _, nbytes = measured(vecs)
-    if nbytes <= broadcast_bytes:
-        vecs = F.broadcast(vecs)
+    if broadcast_bytes is not None:
+        vecs, _, nbytes = measured(vecs)
+        if nbytes <= broadcast_bytes:
+            vecs = F.broadcast(vecs)
     joined = store.select(id_col, key, "File_Name", "SEC_Number").join(vecs, on=key, how="inner")
     return joined.select(F.col(id_col).cast("string").alias("id"),
                          F.col(vec_col).cast("array<float>").alias("values"), "File_Name", "SEC_Number")
@@ -309,7 +312,7 @@ class VersionedTable:
         return path
 
     def reset(self) -> str:
-        return self.write(self.spark.createDataFrame([], self.schema))
+        return self.write(self.spark.createDataFrame([], self.schema).coalesce(1))
 
 
 STORE_SCHEMA = T.StructType(

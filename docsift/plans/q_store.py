@@ -83,8 +83,9 @@ class _Scenario:
     @cached_property
     def index_v1(self) -> DataFrame:
         # the first load embeds the chunk rows just stored (read back from
-        # the store's checkpoint instead of chunking the documents again)
-        return attach_vectors(self.store_v1, _vectors(self.store_v1))
+        # the store's checkpoint instead of chunking the documents again);
+        # a full load, so no size check: the join is a shuffled one
+        return attach_vectors(self.store_v1, _vectors(self.store_v1), broadcast_bytes=None)
 
     @cached_property
     def index_batch(self) -> DataFrame:
