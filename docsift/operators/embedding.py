@@ -5,7 +5,8 @@ each hashed to one of ``dim`` buckets, counted.  Token hashing runs in the
 JVM (``md5`` inside ``transform``); counting is one numpy ``bincount`` per
 Arrow batch.  Any real model can be plugged in instead through
 :func:`embed_chunks` (``embedder(list[str]) -> ndarray``), which runs once
-per Arrow batch in ``mapInPandas`` with the model loaded once per worker.
+per Arrow batch in ``mapInPandas``; a model naming a ``cache_key`` is loaded
+once per Python worker.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from docsift.functions.text import words
 from docsift.functions.vectors import count_vector, squared_norm, term_dims
+from docsift.operators.slots import worker_instance
 
 DEFAULT_DIM = 256
 # Fixed value: the token budget of the embedding model input.
@@ -68,7 +70,8 @@ def embed_chunks(df: DataFrame, embedder: Callable | None = None, text_col: str
 
     ``embedder=None`` keeps the whole computation in built-ins.  Otherwise the
     callable is applied once per Arrow batch; only the rows' own columns are
-    carried, so select what you need before calling.
+    carried, so select what you need before calling.  An embedder with a
+    ``cache_key`` is kept once per Python worker (see ``operators.slots``).
     """
     if embedder is None:
         return hash_embed(df, text_col, dim, out_col)
@@ -79,10 +82,11 @@ def embed_chunks(df: DataFrame, embedder: Callable | None = None, text_col: str
     )
 
     def run(batches):
+        model = worker_instance(embedder)
         for pdf in batches:
             if pdf.empty:
                 continue
-            vecs = np.asarray(embedder(pdf[text_col].tolist()), dtype=np.float32)
+            vecs = np.asarray(model(pdf[text_col].tolist()), dtype=np.float32)
             pdf[out_col] = list(vecs)
             pdf["Embedding_Dimension"] = np.int32(vecs.shape[1])
             yield pdf
