@@ -136,6 +136,12 @@ def test_upsert_latest_paths_agree_and_null_key(spark):
     big = sorted(upsert_latest(target, batch, ["k"], ["o"], broadcast_bytes=0).collect(), key=str)
     assert small == big
     assert {(r.k, r.o, r.v) for r in small} == {("a", 3, "x2"), ("b", 5, "y"), ("c", 1, "z"), (None, 7, "n1")}
+    # equal order value: the later arrival wins, on both paths
+    tie = spark.createDataFrame([("b", 5, "b-new")], "k string, o long, v string")
+    for limit in (None, 0):
+        kw = {} if limit is None else {"broadcast_bytes": limit}
+        got = {r.k: r.v for r in upsert_latest(target, tie, ["k"], ["o"], **kw).collect()}
+        assert got["b"] == "b-new" and got["a"] == "x"
 
 
 def test_versioned_table_skips_an_unfinished_version(spark):
