@@ -250,10 +250,12 @@ def upsert_vectors(index: DataFrame, records: DataFrame,
     union); when its ids fit under ``broadcast_bytes`` the index streams
     past them in a map-only anti join instead of being shuffled.
     """
-    recs, _, _ = measured(records.select(*index.columns))
+    recs, _, nbytes = measured(records.select(*index.columns))
     ids = recs.select("id")
-    id_bytes = ids.agg(F.sum(F.octet_length("id") + F.lit(16))).first()[0] or 0
-    if id_bytes <= broadcast_bytes:
+    # the ids are a part of the measured batch; size them only when the
+    # whole batch is over the limit
+    if nbytes <= broadcast_bytes or (
+            (ids.agg(F.sum(F.octet_length("id") + F.lit(16))).first()[0] or 0) <= broadcast_bytes):
         ids = F.broadcast(ids)
     kept = index.join(ids, on="id", how="left_anti")
     return kept.unionByName(recs)
