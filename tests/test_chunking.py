@@ -42,7 +42,7 @@ def test_strategy_switch_validates(spark):
 
     docs = _docs(spark, ["**A** b"])
     with pytest.raises(ValueError):
-        chunk_documents(docs, "PyPdf")
+        chunk_documents(docs, "Pages")  # names match exactly, case included
     chunks, bad = chunk_documents(docs, "sections")
     assert chunks.count() == 1 and bad.count() == 0
 
