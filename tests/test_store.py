@@ -155,3 +155,11 @@ def test_versioned_table_skips_an_unfinished_version(spark):
     t.write(spark.createDataFrame([(2, "f", "s", None, "l", "c", "k", "1")], STORE_SCHEMA))
     assert [r.ID for r in t.read().collect()] == [2]
     assert sorted(os.listdir(root)) == ["v000001", "v000002", "v000003"]
+
+
+def test_assign_ids_with_null_keys_and_many_ranges(spark):
+    rows = [(None, i) for i in range(5)] + [(k % 13, k) for k in range(300)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = sorted((r.ID, r.a, r.b) for r in assign_ids(df, ["a", "b"], num_partitions=9).collect())
+    want = sorted(rows, key=lambda t: (t[0] is not None, t[0] if t[0] is not None else 0, t[1]))
+    assert [(i, a, b) for i, a, b in got] == [(i + 1, a, b) for i, (a, b) in enumerate(want)]
