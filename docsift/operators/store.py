@@ -187,8 +187,11 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: list[str
     else:
         j = t.withColumn("_in_t", F.lit(True)).join(s, on=key, how="full_outer")
         existing = j.where(F.col("_in_t").isNotNull()).select(id_col, key, *vals)
+        # inserts take every value from the batch, so this branch reads only
+        # the key of the store (id assignment samples its input once more)
         inserts = j.where(F.col("_in_t").isNull()).select(
-            key, *vals, *[F.col(f"_s_{c}").alias(f"_o_{c}") for c in order])
+            key, *[F.col(f"_s_{c}").alias(c) for c in update_cols],
+            *[F.col(f"_s_{c}").alias(f"_o_{c}") for c in order])
     new = assign_ids(inserts, [f"_o_{c}" for c in order], start=max_id(target, id_col), id_col=id_col)
     return existing.unionByName(new.select(id_col, key, *update_cols))
 
