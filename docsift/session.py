@@ -38,6 +38,8 @@ def local_session(cpus: int | None = None, app: str = "docsift", extra: dict | N
         .config("spark.driver.memory", os.environ.get("DOCSIFT_DRIVER_MEMORY", "16g"))
         .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
         .config("spark.executorEnv.OMP_NUM_THREADS", "1")
+        # checkpoint files of results nobody references any more are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
