@@ -65,14 +65,22 @@ class HashEmbedder:
 
 
 def embed_chunks(df: DataFrame, embedder: Callable | None = None, text_col: str = "Chunk_Content",
-                 dim: int = DEFAULT_DIM, out_col: str = "Embeddings") -> DataFrame:
+                 dim: int = DEFAULT_DIM, out_col: str = "Embeddings",
+                 max_tokens: int | None = None) -> DataFrame:
     """Append ``Embeddings`` (array<float>) and ``Embedding_Dimension``.
 
     ``embedder=None`` keeps the whole computation in built-ins.  Otherwise the
     callable is applied once per Arrow batch; only the rows' own columns are
     carried, so select what you need before calling.  An embedder with a
     ``cache_key`` is kept once per Python worker (see ``operators.slots``).
+    ``max_tokens`` (e.g. ``MAX_TOKENS``) cuts each text to its first tokens
+    in the JVM before it reaches the model; the rows keep their full text.
     """
+    if max_tokens is not None:
+        model_text = "_model_text"
+        cut = df.withColumn(model_text, truncate_tokens(text_col, max_tokens))
+        out = embed_chunks(cut, embedder, model_text, dim, out_col)
+        return out.drop(model_text)
     if embedder is None:
         return hash_embed(df, text_col, dim, out_col)
     schema = T.StructType(
