@@ -64,6 +64,11 @@ class HashEmbedder:
         return out
 
 
+def hash_embedder(dim: int = DEFAULT_DIM) -> HashEmbedder:
+    """The stand-in model as a batch callable for the embedder slot."""
+    return HashEmbedder(dim)
+
+
 def embed_chunks(df: DataFrame, embedder: Callable | None = None, text_col: str = "Chunk_Content",
                  dim: int = DEFAULT_DIM, out_col: str = "Embeddings",
                  max_tokens: int | None = None) -> DataFrame:

@@ -355,3 +355,14 @@ class VectorIndex(VersionedTable):
         differs from the index's are left out and returned for quarantine."""
         good = records.where(F.col("values").isNotNull() & (F.size("values") == self.dim))
         return self.write(upsert_vectors(self.read(), good)), dimension_violations(records, self.dim)
+
+
+def reset_store(store: ChunkStore, index: VectorIndex) -> tuple[str, str]:
+    """Reset the chunk table and the vector index together (ids restart at
+    1 and no old vector can alias a new id)."""
+    return store.reset(), index.reset()
+
+
+def upsert_stats(records: DataFrame, by: list[str] = ("File_Name",)) -> DataFrame:
+    """Number of upserted index records per group (a partial aggregate)."""
+    return records.groupBy(*by).agg(F.count(F.lit(1)).cast("long").alias("n_upserted"))

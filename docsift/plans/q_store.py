@@ -27,6 +27,7 @@ from docsift.operators.store import (
     last_per_key,
     lookup,
     merge_upsert,
+    upsert_stats,
     upsert_vectors,
 )
 from docsift.plans import sqltext as S
@@ -234,8 +235,7 @@ SELECT File_Name, count(DISTINCT id)::BIGINT AS n_upserted FROM ({_BATCH_RECORDS
 """)
 def upsert_count(spark: SparkSession, sf: str) -> DataFrame:
     """Number of upserted index records per file."""
-    b = _Scenario(spark, sf).index_batch
-    return b.groupBy("File_Name").agg(F.count(F.lit(1)).cast("long").alias("n_upserted"))
+    return upsert_stats(_Scenario(spark, sf).index_batch)
 
 
 # ---------------------------------------------------------------- users

@@ -31,3 +31,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed listing pages (page_id, url, html): one row per fetched page."""
+    return spark.read.parquet(path).select("page_id", "url", "html")
