@@ -345,10 +345,21 @@ class ChunkStore(VersionedTable):
         return self.write(merged)
 
 
+# Similarity metrics the retrieval operator implements.
+METRICS = ("cosine",)
+
+
 class VectorIndex(VersionedTable):
-    def __init__(self, spark: SparkSession, root: str, dim: int):
+    """Vector records (id, values, metadata) with a fixed dimension and
+    metric; created empty on first use, like a create-if-absent index."""
+
+    def __init__(self, spark: SparkSession, root: str, dim: int, metric: str = "cosine"):
+        if metric not in METRICS:
+            raise ValueError(f"unsupported metric {metric!r}; expected one of {METRICS}")
+        if dim <= 0:
+            raise ValueError("the index dimension must be positive")
         super().__init__(spark, root, VECTOR_SCHEMA)
-        self.dim = dim
+        self.dim, self.metric = dim, metric
 
     def upsert(self, records: DataFrame) -> tuple[str, DataFrame]:
         """Write the index with ``records`` upserted; records whose dimension

@@ -163,3 +163,14 @@ def test_assign_ids_with_null_keys_and_many_ranges(spark):
     got = sorted((r.ID, r.a, r.b) for r in assign_ids(df, ["a", "b"], num_partitions=9).collect())
     want = sorted(rows, key=lambda t: (t[0] is not None, t[0] if t[0] is not None else 0, t[1]))
     assert [(i, a, b) for i, a, b in got] == [(i + 1, a, b) for i, (a, b) in enumerate(want)]
+
+
+def test_vector_index_checks_metric_and_dimension(spark):
+    import pytest
+
+    root = scratch_path(spark, "vec-metric")
+    assert VectorIndex(spark, root, dim=4).metric == "cosine"
+    with pytest.raises(ValueError):
+        VectorIndex(spark, root, dim=4, metric="dotproduct")
+    with pytest.raises(ValueError):
+        VectorIndex(spark, root, dim=0)
