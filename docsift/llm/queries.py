@@ -48,9 +48,9 @@ parts AS (SELECT source, greatest(1, ceil(rate / 16.0))::BIGINT AS parts, rate F
 draws AS (SELECT d.doc_id, d.source, p.rate / p.parts AS mean,
                  ('0x' || substr(md5('mix-1|' || d.doc_id || '|' || i), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
           FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, p.parts + 1)) t(i)),
-cdf AS (SELECT mean, list_transform(range(0, 81), k -> list_sum(list_transform(range(0, k + 1),
-          j -> exp(-mean + j * ln(mean) - lgamma(j + 1))))) AS cdf FROM (SELECT DISTINCT mean FROM draws)),
-counts AS (SELECT doc_id, source, sum(len(list_filter(cdf, c -> c <= u)))::BIGINT AS n
+cdf AS (SELECT mean, list_transform(range(0, 81), lambda k: list_sum(list_transform(range(0, k + 1),
+          lambda j: exp(-mean + j * ln(mean) - lgamma(j + 1))))) AS cdf FROM (SELECT DISTINCT mean FROM draws)),
+counts AS (SELECT doc_id, source, sum(len(list_filter(cdf, lambda c: c <= u)))::BIGINT AS n
            FROM draws JOIN cdf USING (mean) GROUP BY doc_id, source)
 SELECT c.doc_id, c.source, i::BIGINT AS copy,
        ('0x' || substr(md5('mix-1|order|' || c.doc_id || '|' || i), 1, 13))::BIGINT AS shuffle_key, md5(d.text) AS text_md5
@@ -77,6 +77,64 @@ def op6(spark, sf):
     return score(docs, train(docs, load(spark, sf, "labels")))
 
 
+@register("op2_chat_format")
+def op2(spark, sf):
+    """All conversations and one that holds control strings, formatted, encoded
+    and read back."""
+    import public_tokenizers
+
+    from docsift.llm.chat_format import format_conversations, read_back
+
+    rows = load(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    return read_back(format_conversations(rows.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register("op3_fingerprints")
+def op3(spark, sf):
+    """Fingerprints of all documents, their edited versions and neighbours."""
+    from docsift.llm.fingerprints import fingerprint_neighbours
+
+    return fingerprint_neighbours(load(spark, sf, "documents"))
+
+
+@register("op5_vp_ann")
+def op5(spark, sf):
+    """The 10 nearest vectors of every hundredth vector."""
+    from docsift.llm.vp_ann import nearest, usable
+
+    vectors = usable(load(spark, sf, "embeddings"))
+    return nearest(vectors, vectors.where("id % 100 = 0"), k=10)
+
+
+@register("op7_katz_lm")
+def op7(spark, sf):
+    """Katz backoff and unigram scores of all documents."""
+    from docsift.llm.katz_lm import score_corpus
+
+    return score_corpus(load(spark, sf, "documents"))
+
+
+@register("op8_warc")
+def op8(spark, sf):
+    """All pages written to WARC files and read back."""
+    from docsift.llm.warc import read_archives, write_archives
+    from docsift.session import scratch_path
+
+    root = scratch_path(spark, "warc")
+    return read_archives(write_archives(load(spark, sf, "pages"), root), root, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op10_license_scan")
+def op10(spark, sf):
+    """License notices in all documents."""
+    from docsift.llm.licenses import scan
+
+    return scan(load(spark, sf, "documents"))
+
+
 @register("op9_byte_bpe")
 def op9(spark, sf):
     """Byte-level BPE ids of every document and their decoding."""
