@@ -209,4 +209,4 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
         if out:
             yield drain()
 
-    return dealt.repartition("rng").sortWithinPartitions("rng", "ahead", "id", "text").mapInArrow(run, SCHEMA)
+    return dealt.repartition(shuffle_width(docs.sparkSession), "rng").sortWithinPartitions("rng", "ahead", "id", "text").mapInArrow(run, SCHEMA)

@@ -163,7 +163,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float =
     """query_id, rank, vec_id, score for the (id, vec) rows of ``queries``
     against all of ``vectors``."""
     spark = vectors.sparkSession
-    index = cut(build_index(cut(vectors, "vp-vectors"), shard), "vp-index").repartition("shard")
+    index = cut(build_index(cut(vectors, "vp-vectors"), shard), "vp-index")
+    index = index.repartition(max(1, index.count()), "shard")
     queries = cut(queries.groupBy("id").agg(F.min("vec").alias("vec")), "vp-queries")
     blocks = max(1, -(-queries.count() // block))
     found = None

@@ -135,7 +135,7 @@ def write_archives(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES) ->
         if out is not None:
             yield end(out)
 
-    dealt = own.unionByName(marks).repartition("rng").sortWithinPartitions("rng", "id", "kind", "url", "html")
+    dealt = own.unionByName(marks).repartition(shuffle_width(spark), "rng").sortWithinPartitions("rng", "id", "kind", "url", "html")
     temp, final = f"{root}/_manifest-{uuid.uuid4().hex}.tmp", f"{root}/_manifest"
     dealt.mapInArrow(run, MANIFEST).write.parquet(temp)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -203,4 +203,5 @@ def read_archives(manifest: DataFrame, root: str, payloads: bool = True) -> Data
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return manifest.select("file").repartition("file").mapInArrow(run, RECORDS)
+    # an explicit number, or the few short rows would be coalesced to one task
+    return manifest.select("file").repartition(shuffle_width(manifest.sparkSession), "file").mapInArrow(run, RECORDS)
