@@ -7,10 +7,12 @@ exact check of the survivors.
    collapse to the one with the smallest id first, so exact copies cost no
    pairs.
 2. Documents sharing a band key are candidates.  No bucket is ever expanded
-   into all pairs: each round tests a bucket's members against a few pivots,
-   only where the two are not connected yet, and a tested pivot leaves the
-   bucket.  Rounds (with more pivots each) go on until every bucket lies in
-   one component, so no link between components is missed.
+   into all pairs.  Every document is first tested against the most central
+   one (with the most candidates) it shares a bucket with.  Buckets that still
+   hold several components are then compared as tiles of signatures, members
+   of different components only: first each member's two likeliest partners
+   are verified, then, between what is still apart, every pair that the
+   comparison keeps, so no link between components is missed.
 3. A candidate pair's signatures are compared in batches of 32.  With ``m``
    of ``n`` values equal and a uniform prior, the similarity's posterior is
    Beta(m+1, n-m+1); the pair goes as soon as its probability of reaching the
@@ -41,10 +43,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import cut, small
+from docsift.llm.common import cut, shuffle_width, small
 from docsift.llm.components import components
 
-BANDS, ROWS, BATCH, MISS = 32, 5, 32, 1e-7
+BANDS, ROWS, BATCH, MISS = 32, 5, 32, 1e-6
+TILE = 2048
+CLASSES = 2048
 SIZE = BANDS * ROWS
 _rng = np.random.default_rng(20240711)
 _A = (_rng.integers(0, 1 << 32, SIZE, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
@@ -95,6 +99,22 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return mixed((sig.reshape(BANDS, ROWS).astype(np.uint64) * _P).sum(axis=1, dtype=np.uint64) + at).view(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Which of ``CLASSES`` hash classes a set occupies."""
+    held = np.zeros(CLASSES, bool)
+    held[(shingles >> np.uint64(17)) & np.uint64(CLASSES - 1)] = True
+    return np.packbits(held).tobytes()
+
+
+def can_link(n: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs can still reach the threshold.  Every class that only one
+    side occupies holds an element the other lacks, so this bounds the common
+    elements from above and never rejects a link."""
+    a, b = bits[x], bits[y]
+    both = np.minimum(n[x] - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64), n[y] - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
+    return 100 * both >= percent * (n[x] + n[y] - both)
+
+
 def least_matches(threshold: float, miss: float = MISS) -> list[int]:
     """For 32, 64, ... compared values: the fewest equal ones with which the
     posterior probability of ``similarity >= threshold`` still reaches
@@ -113,7 +133,7 @@ def _sign(docs: DataFrame, k: int) -> DataFrame:
     def run(batches):
         cache = _WordHash()
         for b in batches:
-            n, digest, sig, keys = [], [], [], []
+            n, digest, sig, keys, bits = [], [], [], [], []
             for text in b.column(1):
                 s = shingle_set(text.as_py(), k, cache)
                 n.append(len(s))
@@ -122,15 +142,41 @@ def _sign(docs: DataFrame, k: int) -> DataFrame:
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     sig.append((full & np.uint32(0xFFFF)).astype(np.uint16).tobytes())
                     keys.append(band_keys(full))
+                    bits.append(bitmap(s))
                 else:
-                    digest.append(None), sig.append(None), keys.append(None)
+                    digest.append(None), sig.append(None), keys.append(None), bits.append(None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n", "digest", "sig", "keys"])
+                 pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                names=["id", "n", "digest", "sig", "keys", "bits"])
 
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
-    return rows.mapInArrow(run, "id long, n long, digest binary, sig binary, keys array<long>")
+    return rows.mapInArrow(run, "id long, n long, digest binary, sig binary, keys array<long>, bits binary")
+
+
+def _sided(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
+    left = side.select(F.col("node").alias("a"), F.col(value).alias("va"))
+    right = side.select(F.col("node").alias("b"), F.col(value).alias("vb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) that the full shingle sets of both texts confirm."""
+
+    def verify(batches):
+        cache, last = _WordHash(), (None, None)
+        for b in batches:
+            good = []
+            for i, (a, ta, tb) in enumerate(zip(b.column(0).to_pylist(), b.column(2), b.column(3))):
+                if last[0] != (a, ta := ta.as_py()):
+                    last = ((a, ta), shingle_set(ta, k, cache))
+                s, t = last[1], shingle_set(tb.as_py(), k, cache)
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    good.append(i)
+            yield b.select(["a", "b"]).take(pa.array(good, pa.int64()))
+
+    return _sided(pairs, texts, "text").mapInArrow(verify, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -149,26 +195,98 @@ def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, perce
                 at = at[same[at] >= least]
             yield b.select(["a", "b"]).take(pa.array(at))
 
-    def verify(batches):
-        cache, last = _WordHash(), (None, None)
-        for b in batches:
-            good = []
-            for i, (a, ta, tb) in enumerate(zip(b.column(0).to_pylist(), b.column(2), b.column(3))):
-                if last[0] != (a, ta := ta.as_py()):
-                    last = ((a, ta), shingle_set(ta, k, cache))
-                s, t = last[1], shingle_set(tb.as_py(), k, cache)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                if 100 * both >= percent * (len(s) + len(t) - both):
-                    good.append(i)
-            yield b.select(["a", "b"]).take(pa.array(good, pa.int64()))
+    return _confirmed(_sided(pairs, sigs, "sig").mapInArrow(prune, "a long, b long"), texts, k, percent)
+
+
+def _likely_pairs(rows: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Pairs of different components inside the open buckets that the Bayesian
+    comparison keeps: (a, b), once per bucket at most.
 
-    def two(p, side, value):
-        left = side.select(F.col("node").alias("a"), F.col(value).alias("va"))
-        right = side.select(F.col("node").alias("b"), F.col(value).alias("vb"))
-        return p.join(left, "a").join(right, "b").select("a", "b", "va", "vb")
+    ``rows``: bucket, i, j, side, node, label, sig, n, bits; a group (bucket, i, j) is
+    one tile of at most ``2 * TILE`` members, so memory is bounded.  Tiles are
+    compared as matrices: only surviving pairs become rows, and with ``best``
+    only each member's most similar ones.  Members of the most frequent
+    component are compared with the others only.  What a comparison of the
+    sets' hash classes rules out (:func:`can_link`, without error) goes as
+    well: a large group's stragglers, too far from every member, stay few rows.
+    """
+    need = least_matches(percent / 100)
+
+    def tile(side, node, label, sig, n, bits, cross):
+        names, which, size = np.unique(label, return_inverse=True, return_counts=True)
+        if len(names) < 2:
+            return
+        minor = np.flatnonzero(which != size.argmax())
+        for lo in range(0, len(minor), 256):
+            x = minor[lo:lo + 256]
+            ok = which[x][:, None] != which[None, :]
+            ok &= (which[None, :] == size.argmax()) | (x[:, None] < np.arange(len(node))[None, :])
+            if cross:
+                ok &= side[x][:, None] != side[None, :]
+            r, c = np.nonzero(ok)
+            same = np.zeros(len(r), np.int64)
+            for step, least in enumerate(need):
+                part = slice(step * BATCH, (step + 1) * BATCH)
+                for at in range(0, len(r), 1 << 16):
+                    same[at:at + (1 << 16)] += (sig[x[r[at:at + (1 << 16)]], part] == sig[c[at:at + (1 << 16)], part]).sum(axis=1)
+                good = same >= least
+                r, c, same = r[good], c[good], same[good]
+            good = np.concatenate([can_link(n, bits, x[r[at:at + (1 << 15)]], c[at:at + (1 << 15)], percent)
+                                   for at in range(0, len(r), 1 << 15)]) if len(r) else np.zeros(0, bool)
+            r, c, same = r[good], c[good], same[good]
+            if best is not None:
+                order = np.lexsort((node[c], -same, r))
+                r, c = r[order], c[order]
+                first = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1]) if len(r) else np.zeros(0, np.int64)
+                nth = np.arange(len(r)) - np.repeat(first, np.diff(np.append(first, len(r))))
+                r, c = r[nth < best], c[nth < best]
+            u, v = node[x[r]], node[c]
+            yield np.minimum(u, v), np.maximum(u, v)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def flush():
+            t = pa.Table.from_batches(held).combine_chunks()
+            side, node, label, n = (t[c].to_numpy() for c in ("side", "node", "label", "n"))
+            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, SIZE)
+            bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(-1, CLASSES // 64)
+            yield from tile(side, node, label, sig, n, bits, t["i"][0].as_py() != t["j"][0].as_py())
 
-    likely = two(pairs, sigs, "sig").mapInArrow(prune, "a long, b long")
-    return two(likely, texts, "text").mapInArrow(verify, "a long, b long")
+        def out(found):
+            for u, v in found:
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["a", "b"])
+
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = [b.column(c).to_numpy() for c in ("bucket", "i", "j")]
+            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            edges = [0, *new.tolist(), b.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                this = tuple(int(k[lo]) for k in key)
+                if held and this != last:
+                    yield from out(flush())
+                    held.clear()
+                held.append(b.slice(lo, hi - lo))
+                last = this
+        if held:
+            yield from out(flush())
+
+    return (rows.repartition(shuffle_width(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def _tiles(state: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The open buckets' members dealt to tiles: a bucket of more than ``TILE``
+    members is cut by a hash into chunks, and every two chunks make a tile."""
+    chunks = F.ceil(F.col("size") / TILE).cast("long")
+    at = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    to = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    return (state.join(sigs, "node").withColumn("chunks", chunks).withColumn("side", at).withColumn("to", to)
+            .select("bucket", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "side", "node", "label", "sig", "n", "bits"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -179,38 +297,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     first = usable.groupBy("digest").agg(F.min("id").alias("node"))
     reps = usable.select("id", "digest", "keys").join(first, "digest").where("id = node")
     bands = reps.select("node", F.explode("keys").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("p"), F.max("node").alias("q")).where("p < q")
-    active = cut(bands.join(shared.select("bucket", "p"), "bucket").select("bucket", "node", "p"), "dedup-active")
-    nodes = cut(active.select("node").distinct(), "dedup-nodes")
+    shared = bands.groupBy("bucket").agg(F.min("node").alias("p"), F.max("node").alias("q"), F.count("*").alias("size")).where("p < q")
+    active = cut(bands.join(shared.select("bucket", "size"), "bucket").select("bucket", "node", "size").distinct(), "dedup-active")
+    # how many candidates a document has: a group's centre has the most
+    nodes = cut(active.groupBy("node").agg((-F.sum("size")).alias("rank")), "dedup-nodes")
     n_nodes = nodes.count()
-    links = label = None
+    label = None
     if n_nodes:
         near = small(nodes, n_nodes)
-        sigs = cut(usable.select(F.col("id").alias("node"), "sig").join(near, "node"), "dedup-sigs")
-        texts = cut(docs.select(F.col("doc_id").alias("node"), "text").where("text is not null").join(near, "node"), "dedup-texts")
-        # first every document against the smallest pivot it shares a bucket with
-        pairs = active.where("node > p").groupBy(F.col("node").alias("b")).agg(F.min("p").alias("a")).select("a", "b")
-        links = cut(_verified(pairs, sigs, texts, k, percent), "dedup-links")
-        label = components(links)
-        state, pivots = active.select("bucket", "node").distinct(), 4
-        while True:
-            known = state.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+        sigs = cut(usable.select(F.col("id").alias("node"), "sig", "n", "bits").join(near.select("node"), "node").dropDuplicates(["node"]), "dedup-sigs")
+        texts = cut(docs.select(F.col("doc_id").alias("node"), "text").where("text is not null").join(near.select("node"), "node"), "dedup-texts")
+        # first every document against the most central one it shares a bucket with
+        ranked = active.join(near, "node")
+        pivot = ranked.groupBy("bucket").agg(F.min(F.struct("rank", "node")).alias("p"))
+        star = (active.join(pivot, "bucket").where("node <> p.node").groupBy("node").agg(F.min("p").alias("p"))
+                .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
+        links = cut(_verified(star, sigs, texts, k, percent), "dedup-links")
+        # then whatever is not connected inside a bucket: the likeliest partners, and at last all that may be similar
+        for best in (2, None):
+            label = components(links)
+            known = active.join(label, "node", "left").select("bucket", "node", "size", F.coalesce("label", "node").alias("label"))
             open_ = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-            state = cut(known.join(open_.select("bucket"), "bucket"), "dedup-state")
-            group = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
-            pivot = state.groupBy("bucket", group.alias("g")).agg(F.min(F.struct("node", "label")).alias("p")) \
-                .select("bucket", F.col("p.node").alias("pn"), F.col("p.label").alias("pl"))
-            pairs = cut(state.join(pivot, "bucket").where("label <> pl")
-                        .select(F.least("node", "pn").alias("a"), F.greatest("node", "pn").alias("b")).distinct(), "dedup-pairs")
-            if pairs.isEmpty():
-                break
-            more = cut(_verified(pairs, sigs, texts, k, percent), "dedup-links")
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                label = components(links)
-            state = state.join(pivot, (state["bucket"] == pivot["bucket"]) & (state["node"] == pivot["pn"]), "left_anti") \
-                .select("bucket", "node")
-            pivots *= 8
+            state = known.join(open_.select("bucket"), "bucket")
+            pairs = _likely_pairs(_tiles(state, sigs), percent, best)
+            links = cut(_confirmed(pairs, texts, k, percent), "dedup-links").unionByName(
+                label.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
+        label = components(links)
     out = signed.select("id", "n", "digest").join(first, "digest", "left")
     out = out.join(label, "node", "left") if label is not None else out.withColumn("label", F.lit(None).cast("long"))
     linked = F.col("id").isNotNull()
