@@ -8,9 +8,9 @@ probabilities, 0 to 2), the probability of any toxicity and the grade.
 Features are the distinct lower-cased words of the *whole* text without
 leading and trailing punctuation, and their first 4, 5 and 6 letters (insults
 are inflected), hashed to 2^20.  The labels know only toxic 0/1, so the grade
-of a labelled row is 0 for clean rows and, for toxic rows, 1 or 2 by the share
-of their features which the sample shows (almost) only in toxic rows: the
-half with the larger share is grade 2.
+of a labelled row is 0 for clean rows and, for toxic rows, 1 or 2 by the number
+of their features which the sample shows (almost) only in toxic rows: those
+above the median are grade 2.
 
 The model is fitted on a bounded sample of labelled rows (``max_train``, half
 of it toxic where there are enough), chosen by the hash of the id.  Scoring
@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 BITS = 20
 PREFIXES = (4, 5, 6)
 GRADES = 3
-MAX_TRAIN = 12_000
+MAX_TRAIN = 8_000
 MIN_ROWS = 5            # a feature must occur in this many sampled rows
+SCREEN = 6.0
 _EDGE = re.compile(r"^\W+|\W+$")
 SCHEMA = "doc_id long, p_toxic double, expected_severity double, severity int, toxic boolean"
 
@@ -69,27 +70,38 @@ def text_features(text: str | None, cache: _Features) -> np.ndarray:
     return out
 
 
-def fit_ordinal(rows: list[np.ndarray], grade: np.ndarray, classes: int, l2: float = 1e-3,
-                steps: int = 120, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(flat: np.ndarray, lens: np.ndarray, grade: np.ndarray, classes: int, l2: float = 1e-4,
+                steps: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights (dense over the hashed features) and thresholds of the
     proportional-odds model, by full-batch Adam on the penalised mean
-    log-likelihood.  Rare features (fewer than ``MIN_ROWS`` rows) get no weight."""
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    often = np.bincount(flat, minlength=1 << BITS) >= MIN_ROWS
+    log-likelihood.  ``flat`` holds the rows' features one after the other,
+    ``lens`` how many each row has.  Features of fewer than ``MIN_ROWS`` rows,
+    or whose rates in toxic and clean rows differ by under ``SCREEN`` standard
+    errors, get no weight."""
+    rows = np.arange(len(lens))
+    # screening: features whose rates among toxic and clean rows differ clearly
+    toxic, of_toxic = (grade > 0).sum(), np.repeat(grade > 0, lens)
+    has = [np.bincount(flat[of_toxic == y], minlength=1 << BITS) for y in (True, False)]
+    size = (max(1, toxic), max(1, len(lens) - toxic))
+    both = (has[0] + has[1]) / len(lens)
+    gap = has[0] / size[0] - has[1] / size[1]
+    often = (has[0] + has[1] >= MIN_ROWS) & (np.abs(gap) >= SCREEN * np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / size[0] + 1 / size[1])))
+    used = np.flatnonzero(often)
     keep = often[flat]
-    used, flat = np.unique(flat[keep], return_inverse=True)
-    owner, n = owner[keep], max(1, len(rows))
+    owner = np.repeat(rows.astype(np.int32), lens)[keep]
+    flat = (np.cumsum(often, dtype=np.int32) - 1)[flat[keep]]
+    n = max(1, len(rows))
+    # a feature counts by its log-odds between toxic and clean rows, so telling ones move first
+    value = np.abs(np.log((has[0][used] + 0.5) / (size[0] + 1)) - np.log((has[1][used] + 0.5) / (size[1] + 1)))
     w, theta = np.zeros(len(used)), np.linspace(0.5, 1.5, classes - 1)
     m1, v1 = np.zeros(len(used) + classes - 1), np.zeros(len(used) + classes - 1)
     for t in range(1, steps + 1):
-        s = np.bincount(owner, weights=w[flat], minlength=len(rows))
+        s = np.bincount(owner, weights=(w * value)[flat], minlength=len(rows))
         above = np.hstack([np.ones((len(rows), 1)), _sigmoid(s[:, None] - theta), np.zeros((len(rows), 1))])
-        i = np.arange(len(rows))
-        hi, lo = above[i, grade], above[i, grade + 1]
+        hi, lo = above[rows, grade], above[rows, grade + 1]
         p = np.maximum(hi - lo, 1e-12)
         ds = -(1 - hi - lo) / n
-        dw = np.bincount(flat, weights=ds[owner], minlength=len(used)) + l2 * w
+        dw = np.bincount(flat, weights=ds[owner], minlength=len(used)) * value + l2 * w
         dt = np.zeros(classes - 1)
         for j in range(classes - 1):
             slope = above[:, j + 1] * (1 - above[:, j + 1]) / p
@@ -101,7 +113,7 @@ def fit_ordinal(rows: list[np.ndarray], grade: np.ndarray, classes: int, l2: flo
         for j in range(1, classes - 1):                      # the thresholds stay ordered
             theta[j] = max(theta[j], theta[j - 1] + 1e-3)
     dense = np.zeros(1 << BITS, dtype=np.float32)
-    dense[used] = w
+    dense[used] = w * value
     return dense, theta
 
 
@@ -109,19 +121,20 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def grades_of(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """0 for clean rows; toxic rows 1 or 2 by their share of marker features
+def grades_of(flat: np.ndarray, lens: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """0 for clean rows; toxic rows 1 or 2 by their number of marker features
     (log-odds of at least 3 between toxic and clean rows of the sample)."""
-    count = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
-    for r, y in zip(rows, toxic):
-        count[y][r] += 1
+    of_toxic = np.repeat(toxic == 1, lens)
+    count = [np.bincount(flat[of_toxic == y], minlength=1 << BITS) for y in (False, True)]
     size = [max(1, int((toxic == y).sum())) for y in (0, 1)]
     odds = np.log((count[1] + 0.5) / (size[1] + 1)) - np.log((count[0] + 0.5) / (size[0] + 1))
     marker = (odds >= 3) & (count[1] >= MIN_ROWS)
-    share = np.array([marker[r].mean() if len(r) else 0.0 for r in rows])
+    ends = np.cumsum(lens)
+    hits = np.concatenate([[0], np.cumsum(marker[flat], dtype=np.int64)])
+    marks = hits[ends] - hits[ends - lens]
     grade = toxic.astype(np.int64)
     if (toxic == 1).any():
-        grade[(toxic == 1) & (share > np.median(share[toxic == 1]))] = 2
+        grade[(toxic == 1) & (marks > np.median(marks[toxic == 1]))] = 2
     return grade
 
 
@@ -142,15 +155,14 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array([f.astype(np.int32) for f in found], pa.list_(pa.int32()))],
                                              names=["_id", "_toxic", "f"])
 
-    got = rows.mapInArrow(features, "_id long, _toxic int, f array<int>").dropDuplicates(["_id"]).toArrow()
-    order = np.argsort(got["_id"].to_numpy())
-    toxic = got["_toxic"].to_numpy()[order].astype(np.int64)
+    # at most ``max_train`` rows of features reach the driver
+    got = rows.mapInArrow(features, "_id long, _toxic int, f array<int>").dropDuplicates(["_id"]).toArrow().sort_by("_id").combine_chunks()
+    toxic = got["_toxic"].to_numpy().astype(np.int64)
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return None
     lists = got["f"].combine_chunks()
-    flat, off = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy()
-    found = [flat[off[i]:off[i + 1]] for i in order]
-    return fit_ordinal(found, grades_of(found, toxic), GRADES)
+    lens, flat = np.diff(lists.offsets.to_numpy()).astype(np.int64), lists.flatten().to_numpy()
+    return fit_ordinal(flat, lens, grades_of(flat, lens, toxic), GRADES)
 
 
 def _above(texts: pa.Array, model, cache: _Features) -> np.ndarray:
