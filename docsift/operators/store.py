@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import os
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -103,8 +105,9 @@ def dense_rank_within(df: DataFrame, group: list[str], order: list[str], out_col
     minus the first index of the group (a partial-aggregated min), instead of
     a window that would sort a hot group in a single task."""
     idx = assign_ids(df, group + order, id_col="_g")
-    first = idx.groupBy(*group).agg(F.min("_g").alias("_g0"))
-    return idx.join(first, on=group).withColumn(out_col, (F.col("_g") - F.col("_g0")).cast("long")) \
+    first = idx.groupBy(*[F.col(c).alias(f"_k_{c}") for c in group]).agg(F.min("_g").alias("_g0"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in group])   # null is a group too
+    return idx.join(first, same).drop(*[f"_k_{c}" for c in group]).withColumn(out_col, (F.col("_g") - F.col("_g0")).cast("long")) \
               .drop("_g", "_g0")
 
 
@@ -201,8 +204,14 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: list[str],
     """Rows to insert (first request per new key) and rejected requests
     (key already present, or a later duplicate in the same batch)."""
     first = first_per_key(source, key, order)
-    accepted = first.join(target.select(*key), on=key, how="left_anti")
-    rejected = source.join(accepted.select(*key, *order), on=key + order, how="left_anti")
+    def known(cols, names):
+        return reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(cols, names)])
+
+    taken = [f"_t_{c}" for c in key]
+    accepted = first.join(target.select(*[F.col(c).alias(n) for c, n in zip(key, taken)]), known(key, taken), "left_anti")
+    both = list(dict.fromkeys(key + list(order)))
+    kept = [f"_a_{c}" for c in both]
+    rejected = source.join(accepted.select(*[F.col(c).alias(n) for c, n in zip(both, kept)]), known(both, kept), "left_anti")
     return accepted.select(*source.columns), rejected
 
 

@@ -20,7 +20,9 @@ CHUNK_CSV_SCHEMA = T.StructType([
     T.StructField("Total_Tokens_in_PDF", T.LongType()),
 ])
 
-_CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# padding is part of a text, and an empty text is not a missing one (``\\N``)
+_CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false",
+                "ignoreTrailingWhiteSpace": "false", "nullValue": "\\N"}
 
 
 def read_document_bytes(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
