@@ -71,8 +71,9 @@ class Sketches:
         keys = []
         for p in paragraphs(text):
             n = times[p] = times.get(p, 0) + 1
-            keys.append(xxhash.xxh3_64_intdigest(p, seed=n))
-        self.keys = np.array(keys, np.uint64)
+            keys.append(xxhash.xxh3_64_intdigest(f"{n}:{p}"))
+        # distinct, or two equal digests would never peel
+        self.keys = np.unique(np.array(keys, np.uint64))
         self.made: dict[int, tuple] = {}
 
     def of(self, cells: int) -> tuple:
@@ -160,15 +161,14 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
     likeness to each other and to the next document's."""
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     bounds = key_bounds(rows, "id", 2 * shuffle_width(docs.sparkSession))
+    at = range_number(F.col("id"), bounds)
+    own = F.struct(at.alias("rng"), F.lit(0).alias("ahead"))
+    before = F.when(at > 0, at - 1).otherwise(F.lit(len(bounds) - 1)).cast("int")
+    head = F.struct(before.alias("rng"), F.lit(1).alias("ahead"))
     # no id, so no order: such rows are dealt by their text
-    loose = rows.where("id is null").select((-1 - F.pmod(F.xxhash64("text"), F.lit(64))).cast("int").alias("rng"), F.lit(0).alias("ahead"), "id", "text")
-    dealt = loose
-    if bounds:
-        placed = rows.where("id is not null").withColumn("rng", range_number(F.col("id"), bounds))
-        own = placed.select("rng", F.lit(0).alias("ahead"), "id", "text")
-        heads = placed.where(F.col("id").isin(bounds)).select(
-            F.when(F.col("rng") > 0, F.col("rng") - 1).otherwise(len(bounds) - 1).cast("int").alias("rng"), F.lit(1).alias("ahead"), "id", "text")
-        dealt = own.unionByName(heads).unionByName(loose)
+    loose = F.struct((-1 - F.pmod(F.xxhash64("text"), F.lit(64))).cast("int").alias("rng"), F.lit(0).alias("ahead"))
+    to = F.when(F.col("id").isNull(), F.array(loose)).when(F.col("id").isin(bounds), F.array(own, head)).otherwise(F.array(own))
+    dealt = rows.withColumn("to", F.explode(to)).select("to.rng", "to.ahead", "id", "text")
 
     def run(batches):
         out = []
