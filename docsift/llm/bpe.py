@@ -45,6 +45,10 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bytes_of = {b: a for a, b in self.ranks.items()}
         self.byte = [self.ranks[bytes([i])] for i in range(256)]
+        known = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.lengths = np.array([len(x) for x in known], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(known), np.uint8)
         self.pattern = regex.compile(pattern)
         self.pairs: dict[tuple[int, int], int] = {}
         self.known: dict[str, tuple] = {}
@@ -141,16 +145,24 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
     return out
 
 
+class _Numbers(dict):
+    """piece -> number, in order of appearance."""
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        return n
+
+
 def encode_texts(texts: list[str], vocab: Vocabulary) -> list[np.ndarray]:
     """Ids of whole texts, as one corpus."""
     known = vocab.known
     if len(known) > CACHE:
         known.clear()
-    local: dict[str, int] = {}
+    local = _Numbers()
     rows = []
     for text in texts:
         found = (m.group() for m in vocab.pattern.finditer(text)) if len(text) > 4 * BLOCK_CHARS else vocab.pattern.findall(text)
-        rows.append(np.array([local.setdefault(t, len(local)) for t in found], dtype=np.int64))
+        rows.append(np.fromiter(map(local.__getitem__, found), np.int64))
     fresh = [t for t in local if t not in known]
     for t, ids in zip(fresh, replay([t.encode("utf-8") for t in fresh], vocab)):
         known[t] = ids
@@ -167,6 +179,18 @@ def encode_texts(texts: list[str], vocab: Vocabulary) -> list[np.ndarray]:
     return out
 
 
+def decode_lists(lists: pa.ListArray, vocab: Vocabulary) -> pa.Array:
+    """Bytes of every id list, gathered from the vocabulary's bytes at once."""
+    ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    size = vocab.lengths[ids]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    flat = vocab.flat[np.repeat(vocab.starts[ids] - ends + size, size) + np.arange(total)].tobytes()
+    per = np.array([0 if x is None else x for x in lists.value_lengths().to_pylist()], np.int64)
+    edge = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per)])]
+    return pa.array([flat[a:b] for a, b in zip(edge[:-1], edge[1:])], pa.binary())
+
+
 def _blocks(texts: list) -> list[tuple[int, int]]:
     cuts, begin, held = [], 0, 0
     for i, t in enumerate(texts):
@@ -213,8 +237,8 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", keep: l
     def run(batches):
         vocab, arrow = vocabulary(path, pattern), packed(schema)
         for b in batches:
-            got = [b"".join(map(vocab.bytes_of.__getitem__, ids.as_py() or ())) for ids in b.column(len(kept))]
-            part = [b.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*part, pa.array(got, arrow.field(len(kept)).type)], schema=arrow)
+            for lo in range(0, b.num_rows, 500):
+                part = [b.column(i).slice(lo, 500).cast(arrow.field(i).type) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*part, decode_lists(b.column(len(kept)).slice(lo, 500), vocab)], schema=arrow)
 
     return source.mapInArrow(run, schema)
