@@ -22,6 +22,7 @@ are, except that ``ids`` (``decoded``) is replaced.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 from functools import lru_cache
 
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from docsift.llm.common import packed
 
 BLOCK_CHARS = 1_000_000
-CACHE = 200_000
+CACHE = 400_000
 
 
 class Vocabulary:
@@ -84,13 +85,16 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
         tok.append(-1)                           # wall between pieces
     n = len(tok)
     right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-    rank_of, index = vocab.pair_rank, {}
-    for pos in range(n - 1):
-        a, b = tok[pos], tok[pos + 1]
-        if a >= 0 and b >= 0:
-            r = rank_of(a, b)
-            if r >= 0:
-                index.setdefault(r, []).append(pos)
+    rank_of, ready, index = vocab.pair_rank, vocab.pairs.get, {}
+    for pos, pair in enumerate(zip(tok, tok[1:])):
+        r = ready(pair)
+        if r is None:
+            r = rank_of(*pair) if pair[0] >= 0 and pair[1] >= 0 else -1
+        if r >= 0:
+            if r in index:
+                index[r].append(pos)
+            else:
+                index[r] = [pos]
     heap = list(index)
     heapq.heapify(heap)
     while heap:
@@ -105,7 +109,10 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
                 continue
             nxt = right[pos]
             b = tok[nxt] if nxt < n else -1
-            if b < 0 or rank_of(a, b) != rank:
+            if b < 0:
+                continue
+            r = ready((a, b))
+            if (rank_of(a, b) if r is None else r) != rank:
                 continue                         # an earlier merge took one of the two
             tok[pos] = rank
             tok[nxt] = -2
@@ -115,7 +122,9 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
                 left[after] = pos
             before, first = left[pos], rank + 1
             if before >= 0 and tok[before] >= 0:
-                r = rank_of(tok[before], rank)
+                r = ready((tok[before], rank))
+                if r is None:
+                    r = rank_of(tok[before], rank)
                 if r >= 0:
                     if r not in index:
                         index[r] = []
@@ -123,7 +132,9 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
                     index[r].append(before)
                     first = min(first, r)
             if after < n and tok[after] >= 0:
-                r = rank_of(rank, tok[after])
+                r = ready((rank, tok[after]))
+                if r is None:
+                    r = rank_of(rank, tok[after])
                 if r >= 0:
                     if r not in index:
                         index[r] = []
@@ -164,8 +175,13 @@ def encode_texts(texts: list[str], vocab: Vocabulary) -> list[np.ndarray]:
         found = (m.group() for m in vocab.pattern.finditer(text)) if len(text) > 4 * BLOCK_CHARS else vocab.pattern.findall(text)
         rows.append(np.fromiter(map(local.__getitem__, found), np.int64))
     fresh = [t for t in local if t not in known]
-    for t, ids in zip(fresh, replay([t.encode("utf-8") for t in fresh], vocab)):
-        known[t] = ids
+    collecting = gc.isenabled()
+    gc.disable()                                 # a replay makes many small lists and no cycles
+    try:
+        known.update(zip(fresh, replay([t.encode("utf-8") for t in fresh], vocab)))
+    finally:
+        if collecting:
+            gc.enable()
     ids = [known[t] for t in local]
     size = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter((x for t in ids for x in t), np.int32, int(size.sum()))
