@@ -1,16 +1,18 @@
 """Byte-level BPE encoding and decoding by merge replay over a corpus.
 
 A text is cut by the tokenizer's pattern; the distinct pieces of a block of
-whole texts form a corpus of byte sequences.  An inverted index lists, for
-each rank, the positions where the pair of neighbouring tokens merges into
-that rank.  Ranks are applied in order over the whole corpus at once; a merge
-touches only its two neighbours, whose new pairs enter the index.  Where a
-merge creates a pair of the same or a lower rank, the pending positions go
-back to the index so that it is served first, which makes every piece's merge
-sequence the one of a piece-by-piece encoder (lowest rank, then leftmost).
-
-Each Python worker keeps known pieces in a bounded cache; a full cache is
-emptied, which costs time only.  Blocks are bounded by characters, so memory
+whole texts form a corpus of byte sequences.  An inverted index lists the
+positions where a pair of neighbouring tokens merges, grouped by bands of the
+merge's rank.  Bands are served in rank order over the whole corpus at once;
+within a band a wave applies, in every piece, the pending merge of the lowest
+rank (then leftmost).  Pieces do not touch each other, so this is the merge
+sequence of a piece-by-piece encoder.  A merge touches only its two
+neighbours, whose new pairs enter the index: those of the band at hand, or of
+a lower rank, come up in the next wave.  Pieces over ``LONG`` bytes, which
+would need a wave for each of their merges, are replayed rank by rank.
+
+Each Python worker keeps the ids of known pieces in a bounded store; a full
+store is emptied, which costs time only.  Blocks are bounded by characters, so memory
 follows the block (or the longest single text).
 
 Defined results: a null text is an empty one (no ids, empty bytes); special
@@ -22,9 +24,9 @@ are, except that ``ids`` (``decoded``) is replaced.
 from __future__ import annotations
 
 import base64
-import gc
 import heapq
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,16 @@ from docsift.llm.common import packed
 
 BLOCK_CHARS = 1_000_000
 CACHE = 400_000
+LONG = 250                                       # bytes; offsets in a piece fit eight bits
+NONE = 1 << 30                                   # rank of a pair that never merges
+
+
+class _Numbers(dict):
+    """piece -> number, in order of appearance."""
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        return n
 
 
 class Vocabulary:
@@ -52,7 +64,31 @@ class Vocabulary:
         self.flat = np.frombuffer(b"".join(known), np.uint8)
         self.pattern = regex.compile(pattern)
         self.pairs: dict[tuple[int, int], int] = {}
-        self.known: dict[str, tuple] = {}
+        self.clear()
+        merges = []
+        for word, rank in self.ranks.items():
+            for i in range(1, len(word)):
+                a, b = self.ranks.get(word[:i]), self.ranks.get(word[i:])
+                if a is not None and b is not None:
+                    merges.append((a << 32 | b, rank))
+        merges.sort()
+        self.merge_keys = np.array([k for k, _ in merges], np.int64)
+        self.merge_ranks = np.array([r for _, r in merges], np.int64)
+        # bands of the index hold about as many possible merges each
+        self.bands = np.unique(np.quantile(np.sort(self.merge_ranks), np.linspace(0, 1, 65)[1:-1] ** 2).astype(np.int64))
+
+    def clear(self) -> None:
+        """Forget the pieces seen: number of each piece, and their ids."""
+        self.known = _Numbers()
+        self.ids = np.zeros(0, np.int32)
+        self.sizes = np.zeros(0, np.int64)
+        self.begins = np.zeros(0, np.int64)
+
+    def merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of merged pairs of token ids; ``NONE`` where nothing merges."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.merge_keys, key), len(self.merge_keys) - 1)
+        return np.where(self.merge_keys[at] == key, self.merge_ranks[at], NONE)
 
     def pair_rank(self, a: int, b: int) -> int:
         """Rank of the merged pair, or -1."""
@@ -69,17 +105,12 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(path, pattern)
 
 
-def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
-    """Token ids of every piece of a corpus of distinct byte strings."""
-    out: list = [None] * len(pieces)
+def replay_long(pieces: list[bytes], vocab: Vocabulary) -> list[list[int]]:
+    """Token ids of long byte strings: the index lists positions rank by rank."""
+    out: list = []
     tok: list[int] = []
-    start, whole, byte, ranks = [], [], vocab.byte, vocab.ranks
-    for i, p in enumerate(pieces):
-        got = ranks.get(p)
-        if got is not None:                      # the piece is a token itself
-            out[i] = (got,)
-            continue
-        whole.append(i)
+    start, byte = [], vocab.byte
+    for p in pieces:
         start.append(len(tok))
         tok.extend(byte[c] for c in p)
         tok.append(-1)                           # wall between pieces
@@ -147,51 +178,127 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
                     heapq.heappush(heap, rank)
                 index[rank].extend(todo[j + 1:])
                 break
-    for i, s in zip(whole, start):
-        ids, pos = [], s
+    for pos in start:
+        ids = []
         while tok[pos] != -1:
             ids.append(tok[pos])
             pos = right[pos]
-        out[i] = tuple(ids)
+        out.append(ids)
     return out
 
 
-class _Numbers(dict):
-    """piece -> number, in order of appearance."""
+def replay_waves(pieces: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of byte strings of at most ``LONG`` bytes: all ids in order,
+    and the number of ids of each string."""
+    if not pieces:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    start = np.cumsum(size) - size
+    n = int(size.sum())
+    word = np.repeat(np.arange(len(pieces)), size)
+    tok = np.array(vocab.byte, np.int64)[np.frombuffer(b"".join(pieces), np.uint8)]
+    right, left = np.arange(1, n + 1), np.arange(-1, n - 1)
+    right[start + size - 1] = -1
+    left[start] = -1
+    alive = np.ones(n, bool)
+    rank = np.full(n, NONE, np.int64)            # of the pair that begins here
+    inner = np.flatnonzero(right >= 0)
+    rank[inner] = vocab.merge_rank(tok[inner], tok[inner + 1])
+
+    index: list[list[np.ndarray]] = [[] for _ in range(len(vocab.bands) + 1)]
+
+    def enter(positions: np.ndarray) -> None:
+        band = np.searchsorted(vocab.bands, rank[positions], "right")
+        order = np.argsort(band, kind="stable")
+        cuts = np.flatnonzero(np.diff(band[order])) + 1
+        for part in np.split(positions[order], cuts):
+            if len(part):
+                index[int(np.searchsorted(vocab.bands, rank[part[0]], "right"))].append(part)
+
+    enter(inner[rank[inner] < NONE])
+    for number in range(len(index)):
+        limit = vocab.bands[number] if number < len(vocab.bands) else NONE
+        pending = np.concatenate(index[number]) if index[number] else np.zeros(0, np.int64)
+        index[number] = []
+        while len(pending):
+            pending = pending[rank[pending] < limit]      # the rest lost a token to another merge
+            w = word[pending]
+            key = np.sort(w << 40 | rank[pending] << 8 | (pending - start[w]))
+            w = key >> 40
+            new = np.ones(len(key), bool)
+            new[1:] = w[1:] != w[:-1]                     # lowest rank, then leftmost, of each piece
+            at = start[w] + (key & 255)
+            pos, pending = at[new], at[~new & (key != np.roll(key, 1))]
+            gone = right[pos]
+            after, before = right[gone], left[pos]
+            tok[pos] = rank[pos]
+            right[pos] = after
+            alive[gone] = False
+            rank[gone] = rank[pos] = NONE
+            more = after >= 0
+            left[after[more]] = pos[more]
+            rank[pos[more]] = vocab.merge_rank(tok[pos[more]], tok[after[more]])
+            back = before >= 0
+            rank[before[back]] = vocab.merge_rank(tok[before[back]], tok[pos[back]])
+            touched = np.concatenate([pos[more], before[back]])
+            now = rank[touched] < limit
+            later = touched[~now]
+            enter(later[rank[later] < NONE])
+            pending = np.concatenate([pending, touched[now]])
+    return tok[alive].astype(np.int32), np.bincount(word[alive], minlength=len(pieces))
+
+
+def replay_flat(pieces: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """All token ids of a corpus of distinct byte strings, in order, and the
+    number of ids of each string."""
+    got = [vocab.ranks.get(p, -1) for p in pieces]        # a piece may be a token itself
+    short = [i for i, (p, g) in enumerate(zip(pieces, got)) if g < 0 and 0 < len(p) <= LONG]
+    long = [i for i, (p, g) in enumerate(zip(pieces, got)) if g < 0 and len(p) > LONG]
+    sizes = (np.array(got, np.int64) >= 0).astype(np.int64)
+    ids, count = replay_waves([pieces[i] for i in short], vocab)
+    sizes[short] = count
+    slow = replay_long([pieces[i] for i in long], vocab)
+    sizes[long] = [len(x) for x in slow]
+    begin = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.int32)
+    whole = np.flatnonzero(np.array(got, np.int64) >= 0)
+    out[begin[whole]] = np.array(got, np.int64)[whole]
+    ends = np.cumsum(count)
+    out[np.repeat(begin[short] - ends + count, count) + np.arange(len(ids))] = ids
+    for i, x in zip(long, slow):
+        out[begin[i]:begin[i] + len(x)] = x
+    return out, sizes
 
-    def __missing__(self, piece: str) -> int:
-        n = self[piece] = len(self)
-        return n
+
+def replay(pieces: list[bytes], vocab: Vocabulary) -> list[tuple]:
+    """Token ids of every piece of a corpus of distinct byte strings."""
+    ids, sizes = replay_flat(pieces, vocab)
+    ends = np.cumsum(sizes)
+    return [tuple(ids[e - n:e].tolist()) for e, n in zip(ends, sizes)]
 
 
 def encode_texts(texts: list[str], vocab: Vocabulary) -> list[np.ndarray]:
     """Ids of whole texts, as one corpus."""
+    if len(vocab.known) > CACHE or len(vocab.known) != len(vocab.sizes):
+        vocab.clear()
     known = vocab.known
-    if len(known) > CACHE:
-        known.clear()
-    local = _Numbers()
+    seen = len(known)
     rows = []
     for text in texts:
         found = (m.group() for m in vocab.pattern.finditer(text)) if len(text) > 4 * BLOCK_CHARS else vocab.pattern.findall(text)
-        rows.append(np.fromiter(map(local.__getitem__, found), np.int64))
-    fresh = [t for t in local if t not in known]
-    collecting = gc.isenabled()
-    gc.disable()                                 # a replay makes many small lists and no cycles
-    try:
-        known.update(zip(fresh, replay([t.encode("utf-8") for t in fresh], vocab)))
-    finally:
-        if collecting:
-            gc.enable()
-    ids = [known[t] for t in local]
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((x for t in ids for x in t), np.int32, int(size.sum()))
-    begin = np.concatenate([[0], np.cumsum(size)])[:-1]
+        rows.append(np.fromiter(map(known.__getitem__, found), np.int64))
+    fresh = [t.encode("utf-8") for t in islice(known, seen, None)]
+    if fresh:
+        ids, sizes = replay_flat(fresh, vocab)
+        vocab.ids = np.concatenate([vocab.ids, ids])
+        vocab.sizes = np.concatenate([vocab.sizes, sizes])
+        vocab.begins = np.cumsum(vocab.sizes) - vocab.sizes
     out = []
     for r in rows:
-        s = size[r]
+        s = vocab.sizes[r]
         ends = np.cumsum(s)
         total = int(ends[-1]) if len(ends) else 0
-        out.append(flat[np.repeat(begin[r] - ends + s, s) + np.arange(total)])
+        out.append(vocab.ids[np.repeat(vocab.begins[r] - ends + s, s) + np.arange(total)])
     return out
 
 

@@ -152,6 +152,18 @@ def test_replay_order_equals_the_library_on_random_bytes():
                                                              else tuple(enc._encode_single_piece(w)) for w in words]
 
 
+def test_replay_of_pieces_around_the_wave_limit():
+    enc, vocab = reference(), bpe.vocabulary(PATH, P.PATTERN)
+    rng = random.Random(8)
+    words = ["a" * n for n in (249, 250, 251, 5000)] + ["".join(rng.choices("abé=", k=rng.randint(90, 400))) for _ in range(600)]
+    single = getattr(enc, "encode_single_piece", None) or enc._encode_single_piece
+    assert bpe.replay([w.encode() for w in words], vocab) == [tuple(single(w)) for w in words]
+    assert bpe.replay([], vocab) == [] and bpe.replay([b"a", b""], vocab) == [(vocab.byte[97],), ()]
+    vocab.clear()
+    texts = [" ".join(words), "", words[0], "the the"]
+    assert [x.tolist() for x in bpe.encode_texts(texts, vocab)] == [enc.encode_ordinary(t) for t in texts]
+
+
 def test_mixing_counts_follow_the_seeded_poisson(spark):
     rows = docs(spark, ODD + [(100 + i, "w" * 50) for i in range(300)])
     out = mixing.mix(rows, epochs=3.0)
