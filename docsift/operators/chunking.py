@@ -52,14 +52,17 @@ def running_sum(counts_col) -> Column:
     return _running_sum_once(F.col(counts_col) if isinstance(counts_col, str) else counts_col)
 
 
-def _explode_chunks(df: DataFrame, keep: list[str], contents: Column, counts: Column,
-                    running: bool = True) -> DataFrame:
-    staged = df.select(*keep, contents.alias("_contents"), counts.alias("_counts"))
-    parts = [F.col("_contents").alias("c"), F.col("_counts").alias("n")]
+def _explode_chunks(df: DataFrame, keep: list[str], chunks: Column, running: bool = True) -> DataFrame:
+    """One row per entry of ``chunks``, an array of (c: content, n: words)."""
+    staged = df.select(*keep, chunks.alias("_chunks"))
+    zipped = F.col("_chunks")
     if running:
-        staged = staged.withColumn("_running", running_sum("_counts"))
-        parts.append(F.col("_running").alias("r"))
-    exploded = staged.select(*keep, F.posexplode(F.arrays_zip(*parts)).alias("_pos", "_z"))
+        staged = staged.withColumn("_running", running_sum(F.col("_chunks.n")))
+        zipped = F.arrays_zip(F.col("_chunks.c").alias("c"), F.col("_chunks.n").alias("n"),
+                              F.col("_running").alias("r"))
+    # a plain posexplode would make the optimizer infer a filter on the array
+    # and evaluate its expressions again below it
+    exploded = staged.select(*keep, F.posexplode_outer(zipped).alias("_pos", "_z")).where(F.col("_pos").isNotNull())
     cols = [
         *keep,
         (F.col("_pos") + 1).cast("int").alias("Chunk_No"),
@@ -81,8 +84,8 @@ def chunk_pages(df: DataFrame, text_col: str = "text", keep: list[str] | None =
     """
     keep = keep if keep is not None else [c for c in df.columns if c != text_col]
     pages = F.split(F.col(text_col), page_sep, -1)
-    counts = F.transform(pages, lambda p: word_count(p))
-    return _explode_chunks(df, keep, pages, counts, running)
+    chunks = F.transform(pages, lambda p: F.struct(p.alias("c"), word_count(p).alias("n")))
+    return _explode_chunks(df, keep, chunks, running)
 
 
 def section_arrays(text_col: str) -> tuple[Column, Column]:
@@ -104,37 +107,41 @@ def split_valid(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataF
     return good, bad
 
 
-def chunk_sections(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def chunk_sections(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
+                   running: bool = True) -> DataFrame:
     """One row per ``**heading**`` section; the preamble is dropped.
 
     Content is ``heading + "\\n" + body``; the heading loses every ``**``,
     the body every brace, both are stripped; the word count is of the body.
-    Callers should pass documents through :func:`split_valid` first: a
-    document with a heading/body count mismatch would be zipped short here.
+    A document whose heading count differs from its body count gives no
+    chunk; :func:`split_valid` returns such documents.  The guard is part of
+    the array expression (a filter would evaluate both patterns again below
+    the projection), so each pattern runs once per document.
+    ``running=False`` leaves out the running word total.
     """
     keep = keep if keep is not None else [c for c in df.columns if c != text_col]
     heads, bodies = section_arrays(text_col)
-    clean_heads = F.transform(heads, lambda h: py_strip(F.replace(h, F.lit("**"), F.lit(""))))
-    clean_bodies = F.transform(
-        bodies,
-        lambda b: py_strip(F.replace(F.replace(b, F.lit("{"), F.lit("")), F.lit("}"), F.lit(""))),
-    )
-    pairs = F.arrays_zip(clean_heads.alias("h"), clean_bodies.alias("b"))
-    pairs = F.filter(pairs, lambda p: p["h"].isNotNull() & p["b"].isNotNull())
-    contents = F.transform(pairs, lambda p: F.concat(p["h"], F.lit("\n"), p["b"]))
-    counts = F.transform(pairs, lambda p: word_count(p["b"]))
-    return _explode_chunks(df, keep, contents, counts)
-
-
-def chunk_documents(df: DataFrame, strategy: str, text_col: str = "text",
-                    keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    found = df.select(*keep, heads.alias("_heads"), bodies.alias("_bodies"))
+    clean = found.select(*keep, F.when(
+        F.size("_heads") == F.size("_bodies"),
+        F.transform(F.arrays_zip(F.col("_heads").alias("h"), F.col("_bodies").alias("b")), lambda p: F.struct(
+            py_strip(F.replace(p["h"], F.lit("**"), F.lit(""))).alias("h"),
+            py_strip(F.replace(F.replace(p["b"], F.lit("{"), F.lit("")), F.lit("}"), F.lit(""))).alias("b"))),
+    ).alias("_pairs"))
+    chunks = F.transform("_pairs", lambda p: F.struct(
+        F.concat(p["h"], F.lit("\n"), p["b"]).alias("c"), word_count(p["b"]).alias("n")))
+    return _explode_chunks(clean, keep, chunks, running)
+
+
+def chunk_documents(df: DataFrame, strategy: str, text_col: str = "text", keep: list[str] | None = None,
+                    running: bool = True) -> tuple[DataFrame, DataFrame]:
     """Strategy switch.  Returns (chunks, quarantined documents)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown chunking strategy {strategy!r}; expected one of {STRATEGIES}")
     if strategy == "pages":
-        return chunk_pages(df, text_col, keep), df.limit(0)
-    good, bad = split_valid(df, text_col)
-    return chunk_sections(good, text_col, keep), bad
+        return chunk_pages(df, text_col, keep, running=running), df.limit(0)
+    _, bad = split_valid(df, text_col)
+    return chunk_sections(df, text_col, keep, running), bad
 
 
 def quarantine_missing(documents: DataFrame, chunks: DataFrame, key: list[str]) -> DataFrame:

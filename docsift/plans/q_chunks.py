@@ -15,7 +15,6 @@ from docsift.operators.chunking import (
     chunk_sections,
     quarantine_missing,
     section_arrays,
-    split_valid,
 )
 from docsift.plans import sqltext as S
 from docsift.plans.catalog import register
@@ -94,8 +93,7 @@ def page_chunks(spark: SparkSession, sf: str) -> DataFrame:
 @register("section_chunks", sql=SECTIONS_SQL)
 def section_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """One chunk per ``**heading**`` section of every valid document."""
-    good, _ = split_valid(form_documents(spark, sf), "text")
-    return _typed(chunk_sections(good, "text"))
+    return _typed(chunk_sections(form_documents(spark, sf), "text"))
 
 
 @register("word_count", sql=f"""
@@ -150,7 +148,7 @@ def chunk_strategy(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf).select("doc_id", "text")
     outs = []
     for strategy in ("pages", "sections"):
-        chunks, _ = chunk_documents(docs, strategy, "text", keep=["doc_id"])
+        chunks, _ = chunk_documents(docs, strategy, "text", keep=["doc_id"], running=False)
         outs.append(chunks.groupBy("doc_id").agg(
             F.count(F.lit(1)).cast("long").alias("n_chunks"),
             F.sum("Number_of_Words").cast("long").alias("n_words"),
@@ -165,6 +163,6 @@ WHERE NOT EXISTS (SELECT 1 FROM ({SECTIONS_SQL}) s WHERE s.doc_id = f.doc_id)
 def missing_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that yield no section chunk, set aside for the log."""
     docs = form_documents(spark, sf)
-    chunks, _ = chunk_documents(docs, "sections", "text")
+    chunks, _ = chunk_documents(docs, "sections", "text", running=False)
     miss = quarantine_missing(docs, chunks, ["doc_id"])
     return miss.select(F.col("doc_id").cast("long"), "File_Name", "SEC_Number")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from docsift.functions.text import words
 from docsift.functions.vectors import format_vector_text, parse_vector_text
-from docsift.operators.chunking import chunk_sections, split_valid
+from docsift.operators.chunking import chunk_sections
 from docsift.operators.embedding import (
     MAX_TOKENS,
     HashEmbedder,
@@ -50,8 +50,8 @@ FROM ({S.term_counts('SELECT doc_id, Chunk_No, Chunk_Content FROM s', 'doc_id, C
 def embed_chunks_q(spark: SparkSession, sf: str) -> DataFrame:
     """Section chunks through the pluggable batch embedder slot (a Python
     model called once per Arrow batch); nonzero entries in long form."""
-    good, _ = split_valid(documents(spark, sf).select("doc_id", "text"), "text")
-    chunks = chunk_sections(good, "text", keep=["doc_id"]).select("doc_id", "Chunk_No", "Chunk_Content")
+    docs = documents(spark, sf).select("doc_id", "text")
+    chunks = chunk_sections(docs, "text", keep=["doc_id"], running=False).select("doc_id", "Chunk_No", "Chunk_Content")
     emb = embed_chunks(chunks, embedder=HashEmbedder(HASH_DIM))
     long = emb.select("doc_id", "Chunk_No", "Embedding_Dimension",
                       F.posexplode("Embeddings").alias("dim", "n")).where(F.col("n") > 0)

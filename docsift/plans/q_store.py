@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.text import keyed_hash
-from docsift.operators.chunking import chunk_pages, chunk_sections, split_valid
+from docsift.operators.chunking import chunk_pages, chunk_sections
 from docsift.operators.embedding import hash_vector
 from docsift.operators.store import (
     UPDATE_COLUMNS,
@@ -64,13 +64,13 @@ class _Scenario:
 
     @cached_property
     def page_rows(self) -> DataFrame:
-        return _rows(chunk_pages(form_documents(self.spark, self.sf), "text"))
+        return _rows(chunk_pages(form_documents(self.spark, self.sf), "text", running=False))
 
     @cached_property
     def section_rows(self) -> DataFrame:
         # the batch feeds both the MERGE and the embedding: chunk it once
-        good, _ = split_valid(form_documents(self.spark, self.sf), "text")
-        return _rows(chunk_sections(good, "text")).checkpoint(eager=True)
+        docs = form_documents(self.spark, self.sf)
+        return _rows(chunk_sections(docs, "text", running=False)).checkpoint(eager=True)
 
     @cached_property
     def store_v1(self) -> DataFrame:

@@ -52,3 +52,11 @@ def test_running_total_equals_document_words(spark):
     out = chunk_pages(_docs(spark, texts), "text")
     last = {r.doc_id: r.Total_Tokens_in_PDF for r in out.collect() if r.Chunk_No == len(texts[r.doc_id].split("\n"))}
     assert last == {i: len(t.split()) for i, t in enumerate(texts)}
+
+
+def test_sections_guard_and_single_pattern_evaluation(spark):
+    docs = _docs(spark, ["## x ## no body marks", "**C**\nok"])
+    out = chunk_sections(docs, "text", running=False)
+    assert [r.Chunk_Content for r in out.collect()] == ["C\nok"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "ArrowEvalPython" not in plan
