@@ -351,6 +351,36 @@ def test_katz_matches_plain_dictionaries_and_is_normalised(spark):
     assert katz_lm.score_corpus(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_katz_keeps_every_word_as_a_history(spark):
+    """More words than any list of frequent ones held before (16,384)."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{int(25_000 * rng.random() ** 1.2)}" for _ in range(400))) for i in range(250)]
+    texts = [(i, [*t.split(), None], katz_lm.held_out(i)) for i, t in rows]
+    uni = Counter(w for _, ws, held in texts if not held for w in ws)
+    assert len(uni) > 16_500
+    pair = Counter(p for _, ws, held in texts if not held for p in zip(["start", *ws[:-1]], ws))
+    share = katz_lm.Unigram(sum(uni.values()), [float(sum(c == r for c in uni.values())) for r in range(1, 7)])
+    p1 = {c: float(share.of(np.array([c]))[0]) for c in {0, *uni.values()}}
+    d = katz_lm.discounts([float(sum(c == r for c in pair.values())) for r in range(1, 7)])
+    total, left, mass = Counter(), Counter(), Counter()
+    for (h, w), c in pair.items():
+        total[h] += c
+        left[h] += (1 - d[c]) * c if c <= 5 else 0
+        mass[h] += p1[uni[w]]
+
+    def prob(h, w):
+        if not total[h]:
+            return p1[uni[w]]
+        base, gap = (total[h], left[h]) if left[h] > 0 else (total[h] + 1, 1)
+        c = pair[h, w]
+        return (d[c] if c <= 5 else 1) * c / base if c else gap / base / (1 - mass[h]) * p1[uni[w]]
+
+    got = {r["doc_id"]: r["score"] for r in katz_lm.score_corpus(docs(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for i, ws, _ in texts:
+        assert abs(got[i] - sum(math.log10(prob(h, w)) for h, w in zip(["start", *ws[:-1]], ws))) < 1e-6
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(i, f"http://h/{i} x\n", f"<p>{i % 7}</p>" * 30) for i in range(60)] + [(100, None, None), (101, "u", ""), (None, "n", "<p>1</p>" * 30), (102, "s", "tiny"), (103, "s", "tiny"),
                                                                                (0, "http://h/0 x\n", "<p>0</p>" * 30)]
