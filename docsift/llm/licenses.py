@@ -1,7 +1,17 @@
 """License scan: MinHash bands over overlapping text windows, exact check.
 
-Templates are cut into five-word shingles (a shorter one is a single shingle,
-looked up as such).  For a template of ``n`` shingles a document is read as
+The templates are ``TEMPLATES`` and the rows of ``license_templates.jsonl``
+beside this file (license, kind, keys, text): whole license texts, usual
+headers and notices.  Several templates may share a name; keys are phrases
+that must stand unchanged in a match, such as a license's name and version.
+
+Templates of fewer than ``SHORT`` words are matched by words: a place where at
+most ``n * (1 - containment)`` of the ``n`` words are changed, missing or
+added is found, with ``1 - edits / n`` as its containment.  Of a template cut
+into one piece more than the edits allowed one piece stands unchanged (with a
+key, the key does), so pieces are looked up and the rest is aligned.
+
+Longer templates are cut into five-word shingles.  For a template of ``n`` shingles a document is read as
 windows of ``2 * half`` shingles that overlap by half, ``half`` being the power
 of two that is at least ``n``: a whole copy lies inside some window, with
 ``J = n / (2 * half) > 0.25``.  A window and a template share a band
@@ -9,7 +19,7 @@ of two that is at least ``n``: a whole copy lies inside some window, with
 ``1 - (1 - J)^BANDS``: over 0.999998 for a whole copy, over 0.9999 for one of
 containment 0.8.  Candidates are verified on the full shingles of the window
 and half a window around it: a template is found where the share of its
-shingles there is at least ``containment``.  Touching spans of one template
+shingles there is at least ``containment``.  Touching spans of one name
 are one match; its containment is the largest.
 
 Words are the lower-cased words without punctuation at their edges.
@@ -23,6 +33,8 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 
 import numpy as np
@@ -32,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 K = 5
+SHORT = 20                                 # templates of fewer words are matched by words
 BANDS = 48
 CHUNK = 1 << 16                            # shingles hashed at a time; a multiple of every ``half``
 MAX_TEMPLATES = 10_000
@@ -52,6 +65,9 @@ TEMPLATES = {
                  "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
                  "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
 }
+KEYS = {"Apache-2.0": ["Apache License, Version 2.0"], "CC-BY-NC-4.0": ["CC BY-NC 4.0"], "GPL-3.0": ["GNU General Public License, version 3"], "MIT": ["MIT License"],
+        "GPL-3.0-header": ["GNU General Public License", "version 3 of the License"]}
+TABLE = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_templates.jsonl")
 _EDGE = re.compile(r"^\W+|\W+$")
 _rng = np.random.default_rng(31)
 _A = (_rng.integers(0, 1 << 32, BANDS, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
@@ -89,33 +105,105 @@ def shingles(h: np.ndarray) -> np.ndarray:
     return acc ^ (acc >> np.uint64(29))
 
 
+def library() -> list[tuple[str, str, list[str]]]:
+    """(name, text, keys) of all registered templates; read on the driver."""
+    with open(TABLE, encoding="utf-8") as f:
+        rows = [json.loads(line) for line in f]
+    return [(name, text, KEYS.get(name, [])) for name, text in TEMPLATES.items()] + [(r["license"], r["text"], r["keys"]) for r in rows]
+
+
+def runs(h: np.ndarray, widths) -> dict[int, np.ndarray]:
+    """Hashes of the runs of so many words, by width."""
+    out, acc = {}, h
+    for m in range(1, min(max(widths, default=0), len(h)) + 1):
+        if m > 1:
+            acc = acc[:-1] * _C + h[m - 1:]
+        if m in widths:
+            x = (acc ^ (acc >> np.uint64(31))) * _C
+            out[m] = x ^ (x >> np.uint64(29))
+    return out
+
+
+def aligned(a: list[int], b: list[int]) -> tuple[int, int]:
+    """Least word edits from ``a`` to a start of ``b``, and that start's length."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row = row, [i + 1]
+        for j, y in enumerate(b):
+            row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+    return min((d, j) for j, d in enumerate(row))
+
+
+def _holds(h: np.ndarray, key: np.ndarray) -> bool:
+    at = np.flatnonzero(h[:len(h) - len(key) + 1] == key[0]) if len(h) >= len(key) else ()
+    return any(np.array_equal(h[i:i + len(key)], key) for i in at)
+
+
 class Templates:
-    def __init__(self, texts: dict[str, str], containment: float):
+    def __init__(self, texts: dict[str, str] | list[tuple[str, str, list[str]]], containment: float):
         if len(texts) > MAX_TEMPLATES:
             raise ValueError(f"more than {MAX_TEMPLATES} templates")
         cache = _Words()
         self.containment = containment
-        self.names, self.sets = [], []
+        self.names, self.sets, self.keys = [], [], []
         self.bands: dict[int, dict[tuple[int, int], list[int]]] = {}     # half window -> (band, value) -> templates
-        self.short: dict[int, dict[int, list[int]]] = {}                 # words -> their one shingle -> templates
-        for name in sorted(texts):
-            h, _ = words_of(texts[name] or "", cache)
+        # words of a piece's start -> hash -> (template, piece's place and words): pieces of short templates
+        self.short: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+        rows = [(name, text, []) for name, text in texts.items()] if isinstance(texts, dict) else texts
+        for name, text, keys in sorted(rows):
+            h, _ = words_of(text or "", cache)
             if not len(h):
                 continue
-            s, t = np.unique(shingles(h)), len(self.names)
-            self.names.append(name), self.sets.append(s)
-            if len(h) < K:
-                self.short.setdefault(len(h), {}).setdefault(int(s[0]), []).append(t)
+            t = len(self.names)
+            self.names.append(name), self.keys.append([words_of(key, cache)[0] for key in keys])
+            if len(h) < SHORT:
+                self.sets.append(h)
+                if keys:
+                    key = self.keys[t][0]
+                    pieces = [(at, at + len(key)) for at in range(len(h)) if np.array_equal(h[at:at + len(key)], key)][:1]
+                    if not pieces:
+                        raise ValueError(f"a template of {name} does not hold its key")
+                else:
+                    edge = [i * len(h) // (self.edits(len(h)) + 1) for i in range(self.edits(len(h)) + 2)]
+                    pieces = list(zip(edge[:-1], edge[1:]))
+                for lo, hi in pieces:
+                    width = min(K, hi - lo)
+                    first = int(runs(h[lo:lo + width], [width])[width][0])
+                    self.short.setdefault(width, {}).setdefault(first, []).append((t, lo, hi - lo))
                 continue
+            s = np.unique(shingles(h))
+            self.sets.append(s)
             half = 1 << (len(h) - K).bit_length()
             x = (s >> np.uint64(32)).astype(np.uint32)
             for k, v in enumerate((_A * x + _B).min(axis=1).tolist()):
                 self.bands.setdefault(half, {}).setdefault((k, v), []).append(t)
+        self.starts = {}
+        for width, found in self.short.items():
+            self.starts[width] = np.zeros(1 << 16, bool)
+            self.starts[width][[x >> 48 for x in found]] = True
         # which low 16 bits a template's band values have: skips almost every window at once
         self.maybe = {half: np.zeros(1 << 16, bool) for half in self.bands}
         for half, values in self.bands.items():
             self.maybe[half][[v & 0xFFFF for _, v in values]] = True
 
+    def edits(self, n: int) -> int:
+        """Words of ``n`` that may differ."""
+        return int(n * (1 - self.containment) + 1e-9)
+
+    def _near(self, h: np.ndarray, t: int, at: int, lo: int, size: int) -> tuple[int, int, float] | None:
+        """The span and containment of short template ``t`` with its piece
+        ``lo``, ``size`` at word ``at``; None if it is not similar enough."""
+        own = self.sets[t]
+        n = len(own)
+        if at >= lo and np.array_equal(h[at - lo:at - lo + n], own):
+            return at - lo, at - lo + n, 1.0
+        if not np.array_equal(h[at:at + size], own[lo:lo + size]):
+            return None
+        e, end = self.edits(n), at + size
+        left, before = aligned(own[:lo][::-1].tolist(), h[max(0, at - lo - e):at][::-1].tolist())
+        right, after = aligned(own[lo + size:].tolist(), h[end:end + n - lo - size + e].tolist())
+        return (at - before, end + after, 1 - (left + right) / n) if left + right <= e else None
+
     def _candidates(self, s: np.ndarray) -> set[tuple[int, int, int]]:
         """(template, window's first and last shingle) that share a band."""
         found, reach = set(), 2 * max(self.bands)
@@ -139,13 +227,13 @@ class Templates:
         h, place = words_of(text, cache)
         if not len(h):
             return []
-        spans: dict[int, list[tuple[int, int, float]]] = {}
-        for n, single in self.short.items():
-            if len(h) >= n:
-                of_n = np.concatenate([shingles(h[i:i + n]) for i in range(len(h) - n + 1)]) if n < K else h
-                for at in np.flatnonzero(np.isin(of_n, np.array(list(single), np.uint64))).tolist():
-                    for t in single[int(of_n[at])]:
-                        spans.setdefault(t, []).append((at, at + n, 1.0))
+        spans: dict[str, list[tuple[int, int, float]]] = {}
+        for width, first in runs(h, self.short.keys()).items():
+            pieces = self.short[width]
+            for at in np.flatnonzero(self.starts[width][(first >> np.uint64(48)).astype(np.int64)]).tolist():
+                for t, lo, size in pieces.get(int(first[at]), ()):
+                    if (got := self._near(h, t, at, lo, size)) is not None:
+                        spans.setdefault(self.names[t], []).append(got)
         if len(h) >= K and self.bands:
             s = shingles(h)
             for t, lo, hi in sorted(self._candidates(s)):
@@ -154,7 +242,9 @@ class Templates:
                 share = len(np.unique(s[lo:hi][inside])) / len(self.sets[t])
                 if share >= self.containment:
                     got = np.flatnonzero(inside)
-                    spans.setdefault(t, []).append((lo + int(got[0]), lo + int(got[-1]) + K, share))
+                    begin, end = lo + int(got[0]), lo + int(got[-1]) + K
+                    if all(_holds(h[begin:end], key) for key in self.keys[t]):
+                        spans.setdefault(self.names[t], []).append((begin, end, share))
         out = []
         for t in sorted(spans):
             merged: list[list] = []
@@ -163,13 +253,13 @@ class Templates:
                     merged[-1][1], merged[-1][2] = max(merged[-1][1], hi), max(merged[-1][2], share)
                 else:
                     merged.append([lo, hi, share])
-            out += [(self.names[t], share, int(place[lo]), int(place[hi - 1])) for lo, hi, share in merged]
+            out += [(t, share, int(place[lo]), int(place[hi - 1])) for lo, hi, share in merged]
         return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = 0.8) -> DataFrame:
     """One row per match: document, license, containment and raw word range."""
-    shared = docs.sparkSession.sparkContext.broadcast(Templates(TEMPLATES if templates is None else templates, containment))
+    shared = docs.sparkSession.sparkContext.broadcast(Templates(library() if templates is None else templates, containment))
 
     def run(batches):
         find, cache = shared.value.find, _Words()

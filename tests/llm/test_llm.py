@@ -424,6 +424,24 @@ def test_license_scan(spark):
     assert licenses.scan(docs(spark, ODD).limit(0)).count() == 0
 
 
+def test_license_scan_finds_other_licenses_and_changed_notices(spark):
+    """Notices with one word changed or added, and whole texts of the table."""
+    said = {"MIT": "It is distributed under the MIT license, see there.", "GPL-3.0": "This book is licensed under the GNU General Public License, version 3",
+            "CC-BY-NC-4.0": "shared under CC BY-NC 4.0 here", "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.", "MPL-2.0": "released under the Mozilla Public License 2.0",
+            "LGPL-2.1": "under the terms of the GNU Lesser General Public License, version 2.1", "AGPL-3.0": "SPDX-License-Identifier: AGPL-3.0-only", "ISC": "Released under the ISC license"}
+    texts = list(said.items()) + [(name, text) for name, text, _ in licenses.library() if name.endswith("-text")]
+    got = {}
+    for r in licenses.scan(docs(spark, [(i, f"some words before. {t} and some after") for i, (_, t) in enumerate(texts)])).collect():
+        got.setdefault(r["doc_id"], {})[r["license"]] = r["containment"]
+    for i, (name, _) in enumerate(texts):
+        assert got[i][name] == 1.0 if name.endswith("-text") else list(got[i]) == [name] and got[i][name] >= 0.8, (name, got.get(i))
+    none = ["released under the old bridge", "the license of the GNU Lesser General Public house", "Licensed under CC BY 9.0", "a MIT student got a driving license"]
+    assert licenses.scan(docs(spark, list(enumerate(none)))).count() == 0
+    header = licenses.TEMPLATES["GPL-3.0-header"]
+    for v in "23":
+        assert {r["license"] for r in licenses.scan(docs(spark, [(1, header.replace("version 3", f"version {v}"))])).collect()} == {f"GPL-{v}.0-header"}
+
+
 def test_pipeline_stages_match_plain_code(spark):
     import corpus_pipeline as cp
 
