@@ -1,8 +1,10 @@
-"""Document fingerprints: invertible Bloom lookup sketches of paragraphs.
+"""Document fingerprints: invertible Bloom lookup sketches of pieces.
 
-A text's paragraphs (lines, cut after sentence ends, and a sentence over
-``PIECE`` characters after words chosen by their hash, so that every cut
-depends on the text around it only) give 64-bit digests, numbered when they repeat.  A sketch has three rows of cells;
+A text is cut by its content: after every code point where a rolling hash of
+the last ``WINDOW`` code points has its top bits 0 (one of ``1 << CUT_BITS``),
+so that a cut depends on the text around it only, and wherever a piece would
+exceed ``LONGEST`` code points.  Language, spaces and line ends play no part.
+The pieces give 64-bit digests, numbered when they repeat.  A sketch has three rows of cells;
 each digest goes into one cell of every row, which holds a count, the XOR of
 its digests and of their checks.  Two versions' sketches are subtracted cell by
 cell: what both hold cancels out, and peeling cells with one digest left gives
@@ -28,7 +30,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -38,40 +39,43 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import key_bounds, range_number, shuffle_width
 
-PIECE = 240
+WINDOW, CUT_BITS, LONGEST = 8, 5, 96       # code points; pieces have some 30 on average
 CELLS = 8                                  # cells in each of the three rows of a fingerprint
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_ROWS = np.array(_C[:3], np.uint64)[:, None]
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def paragraphs(text: str) -> list[str]:
-    out = []
-    for line in text.split("\n"):
-        for s in _SENTENCE.split(line):
-            if len(s) <= PIECE:
-                if s:
-                    out.append(s)
-                continue
-            words, begin = s.split(" "), 0
-            for i, w in enumerate(words):
-                if xxhash.xxh32_intdigest(w) & 15 == 0 or i - begin >= 256:
-                    out.append(" ".join(words[begin:i + 1]))
-                    begin = i + 1
-            if begin < len(words):
-                out.append(" ".join(words[begin:]))
-    return out
+def piece_ends(codes: np.ndarray) -> np.ndarray:
+    """Where the pieces of a text's code points (uint32) end."""
+    h = (codes + np.uint32(1)) * np.uint32(0x9E3779B1)
+    h ^= h >> np.uint32(15)
+    width, base = 1, 0x85EBCA6B
+    while width < WINDOW and len(h) > width:             # hashes of twice as many code points
+        h = h[:-width] * np.uint32(base) + h[width:]
+        width, base = 2 * width, base * base & 0xFFFFFFFF
+    found = np.flatnonzero((h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - CUT_BITS) == 0) + WINDOW if width == WINDOW else np.zeros(0, np.int64)
+    ends = np.append(found, len(codes)) if len(codes) and (not len(found) or found[-1] < len(codes)) else found
+    size = np.diff(ends, prepend=0)
+    more = (size - 1) // LONGEST
+    if not more.any():
+        return ends
+    nth = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    return np.sort(np.append(ends, np.repeat(ends - size, more) + nth * LONGEST))
 
 
 class Sketches:
     """A text's digests and its sketches of any size."""
 
     def __init__(self, text: str):
-        times: dict[str, int] = {}
+        raw, begin = text.encode("utf-32-le"), 0
+        times: dict[bytes, int] = {}
         keys = []
-        for p in paragraphs(text):
+        for end in (4 * piece_ends(np.frombuffer(raw, "<u4"))).tolist():
+            p = raw[begin:end]
             n = times[p] = times.get(p, 0) + 1
-            keys.append(xxhash.xxh3_64_intdigest(f"{n}:{p}"))
+            keys.append(xxhash.xxh3_64_intdigest(p, n))
+            begin = end
         # distinct, or two equal digests would never peel
         self.keys = np.unique(np.array(keys, np.uint64))
         self.made: dict[int, tuple] = {}
@@ -94,13 +98,11 @@ def _check(keys: np.ndarray) -> np.ndarray:
 
 
 def _put(count, key, check, keys, sign, cells: int) -> None:
-    sums = _check(keys)
-    for row in range(3):
-        at = (((keys ^ (keys >> np.uint64(29))) * _C[row]) >> np.uint64(33)) % np.uint64(cells) + np.uint64(row * cells)
-        at = at.astype(np.int64)
-        np.add.at(count, at, sign)
-        np.bitwise_xor.at(key, at, keys)
-        np.bitwise_xor.at(check, at, sums)
+    mixed = keys ^ (keys >> np.uint64(29))
+    at = ((((mixed * _ROWS) >> np.uint64(33)) % np.uint64(cells)).astype(np.int64) + np.arange(0, 3 * cells, cells)[:, None]).reshape(-1)
+    np.add.at(count, at, np.tile(sign, 3))
+    np.bitwise_xor.at(key, at, np.tile(keys, 3))
+    np.bitwise_xor.at(check, at, np.tile(_check(keys), 3))
 
 
 def peel(a: tuple, b: tuple, cells: int) -> tuple[np.ndarray, np.ndarray] | None:

@@ -246,6 +246,27 @@ def test_fingerprints_of_neighbours(spark):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
+def test_edited_versions_keep_their_share(spark):
+    """Three quarters of every text stay: so do about as many digests, in
+    texts without spaces, sentences or variety too."""
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(3000)), "".join(rng.choices("abc(){};=.,", k=4000)), base64.b64encode(rng.randbytes(3000)).decode(),
+             " ".join(word(5) for _ in range(600)), "ab cd " * 700, "a" * 4000, " ".join(word(4) + "." for _ in range(800)), "".join(chr(rng.randrange(0x1F300, 0x1F600)) for _ in range(2000))]
+    short = [word(rng.randint(128, 400)) for _ in range(100)]
+    got = {r["doc_id"]: r["near_edited"] for r in fingerprints.fingerprint_neighbours(docs(spark, list(enumerate(texts + short)))).collect()}
+    for i, t in enumerate(texts):
+        after = (texts + short)[i + 1]
+        old, new = (set(fingerprints.Sketches(x).keys.tolist()) for x in (t, t[:len(t) - len(t) // 4] + after[:len(t) // 4]))
+        assert abs(len(old & new) / len(old) - 0.75) < 0.08 and abs(got[i] - 2 * len(old & new) / (len(old) + len(new))) < 1e-9, (i, got[i])
+    assert all(got[len(texts) + i] > 0 for i in range(len(short)))
+    for t in (*texts, *short, "", "x", "é🙂" * 4):
+        ends = fingerprints.piece_ends(np.frombuffer(t.encode("utf-32-le"), "<u4")).tolist()
+        assert ends == sorted(set(ends)) and ends[-1:] == [len(t)] * bool(t) and max(np.diff([0, *ends]), default=0) <= fingerprints.LONGEST
+    changed = texts[0][:1500] + "inserted" + texts[0][1500:]
+    assert fingerprints.likeness(fingerprints.Sketches(texts[0]), fingerprints.Sketches(changed)) > 0.95
+
+
 def brute_nearest(rows, queries, k):
     out = {}
     for q, v in queries:
