@@ -28,7 +28,7 @@ Defined results: a null or empty text (or one of white space) has an empty
 set, is linked with nothing and kept; fewer than ``k`` words make one shingle
 of the whole sequence; a null id takes no part in links, its component is
 null and the row is kept; rows that repeat an id and a text share one result
-each; an empty table gives an empty result.  Only the id and text columns are
+each; rows that repeat an id with another text are decided by their own text; an empty table gives an empty result.  Only the id and text columns are
 read, so other columns may have any name.
 """
 
@@ -146,12 +146,13 @@ def _sign(docs: DataFrame, k: int) -> DataFrame:
                 else:
                     digest.append(None), sig.append(None), keys.append(None), bits.append(None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                [b.column(0).cast(pa.int64()), b.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                names=["id", "n", "digest", "sig", "keys", "bits"])
+                names=["id", "t", "n", "digest", "sig", "keys", "bits"])
 
-    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
-    return rows.mapInArrow(run, "id long, n long, digest binary, sig binary, keys array<long>, bits binary")
+    # t tells the texts of one id apart
+    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"), F.xxhash64("text").alias("t"))
+    return rows.mapInArrow(run, "id long, t long, n long, digest binary, sig binary, keys array<long>, bits binary")
 
 
 def _sided(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
@@ -289,13 +290,29 @@ def _tiles(state: DataFrame, sigs: DataFrame) -> DataFrame:
             .select("bucket", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "side", "node", "label", "sig", "n", "bits"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable over links),
-    kept (the id is its component's): one row per input row."""
+def _nodes(usable: DataFrame) -> tuple[DataFrame, bool]:
+    """digest, id, t, node of every distinct set: the smallest id with it (and
+    its text) and its node, which is that id; of an id that is the smallest of
+    several sets all but one get numbers above the ids.  Whether there are such."""
+    first = usable.groupBy("digest").agg(F.min(F.struct("id", "t")).alias("r")).select("digest", "r.id", "r.t")
+    shared = first.groupBy("id").agg(F.count("*").alias("c"), F.min("digest").alias("d")).where("c > 1").select("id", "d")
+    more = cut(first.join(shared, "id").where("digest <> d").select("digest", F.monotonically_increasing_id().alias("nth")), "dedup-more")
+    ends = more.agg(F.max("nth")).first()[0]
+    if ends is None:
+        return first.withColumn("node", F.col("id")), False
+    above = usable.agg(F.max("id")).first()[0] + 1
+    if above + ends >= 1 << 63:
+        raise ValueError("no numbers are left above the ids")
+    return first.join(more, "digest", "left").select("digest", "id", "t", F.coalesce(F.col("nth") + above, "id").alias("node")), True
+
+
+def _decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """id, t, n, comp (smallest id reachable over links), part (the component's
+    node, null for an empty set) of every row."""
     signed = cut(_sign(docs, k), "dedup-signed")
     usable = signed.where("id is not null and n > 0")
-    first = usable.groupBy("digest").agg(F.min("id").alias("node"))
-    reps = usable.select("id", "digest", "keys").join(first, "digest").where("id = node")
+    first, several = _nodes(usable)
+    reps = usable.select("id", "t", "digest", "keys").join(first.select("digest", F.col("id").alias("i"), F.col("t").alias("u"), "node"), "digest").where("id = i and t = u")
     bands = reps.select("node", F.explode("keys").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.min("node").alias("p"), F.max("node").alias("q"), F.count("*").alias("size")).where("p < q")
     active = cut(bands.join(shared.select("bucket", "size"), "bucket").select("bucket", "node", "size").distinct(), "dedup-active")
@@ -305,8 +322,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     label = None
     if n_nodes:
         near = small(nodes, n_nodes)
-        sigs = cut(usable.select(F.col("id").alias("node"), "sig", "n", "bits").join(near.select("node"), "node").dropDuplicates(["node"]), "dedup-sigs")
-        texts = cut(docs.select(F.col("doc_id").alias("node"), "text").where("text is not null").join(near.select("node"), "node"), "dedup-texts")
+        # a node is one text of an id
+        own = small(cut(first.join(near.select("node"), "node").select("id", "t", "node"), "dedup-own"), n_nodes)
+        sigs = cut(usable.select("id", "t", "sig", "n", "bits").join(own, ["id", "t"]).drop("id", "t").dropDuplicates(["node"]), "dedup-sigs")
+        texts = cut(docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"), "text").where("text is not null").join(own, ["id", "t"])
+                    .select("node", "text"), "dedup-texts")
         # first every document against the most central one it shares a bucket with
         ranked = active.join(near, "node")
         pivot = ranked.groupBy("bucket").agg(F.min(F.struct("rank", "node")).alias("p"))
@@ -323,30 +343,48 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             links = cut(_confirmed(pairs, texts, k, percent), "dedup-links").unionByName(
                 label.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
         label = components(links)
-    out = signed.select("id", "n", "digest").join(first, "digest", "left")
-    out = out.join(label, "node", "left") if label is not None else out.withColumn("label", F.lit(None).cast("long"))
+    known = first.select("digest", F.col("id").alias("low"), "node")
+    known = known.join(label, "node", "left") if label is not None else known.withColumn("label", F.lit(None).cast("long"))
+    if several and label is not None:
+        # a label may be a number above the ids, or not the smallest id's
+        known = cut(known, "dedup-known")
+        lows = known.where("label is not null").groupBy("label").agg(F.min("low").alias("least"))
+        known = known.join(lows, "label", "left")
+    else:
+        known = known.withColumn("least", F.col("label"))
+    known = known.select("digest", F.coalesce("least", "low").alias("found"), F.coalesce("label", "node").alias("part"))
     linked = F.col("id").isNotNull()
-    comp = F.when(linked, F.coalesce("label", "node", "id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), comp.alias("component_id"),
-                      F.col("id").eqNullSafe(comp).alias("kept"))
+    return signed.select("id", "t", "n", "digest").join(known, "digest", "left").select(
+        "id", "t", "n", F.when(linked, F.coalesce("found", "id")).alias("comp"), F.when(linked, F.col("part")).alias("part"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id reachable over links),
+    kept (the id is its component's): one row per input row."""
+    return _decided(docs, k, percent).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"),
+                                             F.col("id").eqNullSafe(F.col("comp")).alias("kept"))
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay: one per near-copy group.
 
-    Rows that repeat an id are one document; of those that stay, one row is
-    kept (the first by text), except null ids, which are all kept.
+    A row goes only if its own text has a kept partner.  Rows that repeat an
+    id stay once for each group they are in (the first by text), except null
+    ids, which are all kept.
     """
-    found = near_duplicates(docs, k, percent)
-    gone = cut(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "dedup-gone")
+    found = cut(_decided(docs, k, percent), "dedup-found")
+    key = F.xxhash64("text")
+    gone = cut(found.where("id <> comp").select(F.col("id").alias("_gone"), F.col("t").alias("_t")).distinct(), "dedup-gone")
     again = cut(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"), "dedup-again")
     n_gone, n_again = gone.count(), again.count()
-    kept = docs.join(small(gone, n_gone), docs["doc_id"] == gone["_gone"], "left_anti")
+    kept = docs.join(small(gone, n_gone), (docs["doc_id"] == gone["_gone"]) & (key == gone["_t"]), "left_anti")
     if not n_again:
         return kept
     repeated = small(again, n_again)
     single = kept.join(repeated, kept["doc_id"] == again["_again"], "left_anti")
     multi = kept.join(repeated, kept["doc_id"] == again["_again"], "left_semi")
-    # partial aggregate: one row per id, whatever the number of repeats
-    one = multi.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_r"))
+    parts = found.join(repeated, found["id"] == again["_again"], "left_semi").select(F.col("id").alias("_id"), F.col("t").alias("_t"), F.col("part").alias("_part")).distinct()
+    multi = multi.withColumn("_key", key).join(parts, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_t")))
+    # partial aggregate: one row per id and group, whatever the number of repeats
+    one = multi.groupBy("doc_id", "_part").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_r"))
     return single.unionByName(one.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_r.{c}").alias(c) for c in docs.columns]))

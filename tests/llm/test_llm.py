@@ -84,6 +84,16 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dedup.near_duplicates(docs(spark, ODD).limit(0)).count() == 0
 
 
+def test_repeated_ids_are_decided_by_their_own_text(spark):
+    a, b, c = ("one two three four five six seven", "red green blue black white grey pink", "a lone text that nobody else has here")
+    near = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, a), (4, near), (4, b + " x y z"), (5, near + " end"), (6, ""), (6, c), (6, "")]
+    got = Counter((r["doc_id"], r["text"]) for r in near_dedup.keep_first(docs(spark, rows)).collect())
+    assert got == Counter([(1, a), (2, b), (3, c), (4, near), (4, b + " x y z"), (6, "")])
+    found = near_dedup.near_duplicates(docs(spark, [(9, near + " x"), (9, c), (9, a), (12, a), (12, near), (13, c)])).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in found) == Counter({(9, 9): 3, (12, 9): 2, (13, 9): 1})
+
+
 def test_tile_comparison_finds_links_the_star_misses(spark):
     """A chain of versions: the ends are far apart, all are one component."""
     rng = random.Random(5)
