@@ -151,6 +151,57 @@ def op9(spark, sf):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op11_quality_rules")
+def op11(spark, sf):
+    """Quality counts and the verdict of the hashed n-gram likelihood ratio."""
+    from docsift.llm.quality import score, train
+
+    docs = load(spark, sf, "documents")
+    return score(docs, train(docs, load(spark, sf, "labels")))
+
+
+@register("op12_importance_resampling")
+def op12(spark, sf):
+    """Documents resampled towards the benchmark texts."""
+    from docsift.llm.resampling import resample
+
+    return resample(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+AUDIT_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+terms AS (SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+vocab AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+cnt AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM terms JOIN kept USING (lang, term) GROUP BY lang, source, term),
+tot AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total FROM grp g LEFT JOIN cnt c USING (lang, source) GROUP BY g.lang, g.source),
+ltot AS (SELECT lang, sum(total)::HUGEINT AS total FROM tot GROUP BY lang),
+share AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (g.total + 2 * v) AS p
+          FROM tot g JOIN kept k USING (lang) JOIN vocab USING (lang) LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+lshare AS (SELECT k.lang, k.term, 1 + 1000000000::HUGEINT * (coalesce(sum(n), 0)::HUGEINT + 2) // (any_value(l.total) + 2 * any_value(v)) AS q
+           FROM kept k JOIN vocab USING (lang) JOIN ltot l USING (lang) LEFT JOIN cnt c ON c.lang = k.lang AND c.term = k.term GROUP BY k.lang, k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+over AS (SELECT s.lang, s.source, 'term' AS part, s.term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+         FROM share s JOIN lshare l USING (lang, term) WHERE s.n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM over))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@register("op13_source_divergence", AUDIT_SQL)
+def op13(spark, sf):
+    """Divergence of every two sources of a language, and their overused terms."""
+    from docsift.llm.source_audit import audit
+
+    return audit(load(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
