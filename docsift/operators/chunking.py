@@ -84,8 +84,19 @@ def chunk_pages(df: DataFrame, text_col: str = "text", keep: list[str] | None =
     """
     keep = keep if keep is not None else [c for c in df.columns if c != text_col]
     pages = F.split(F.col(text_col), page_sep, -1)
-    chunks = F.transform(pages, lambda p: F.struct(p.alias("c"), word_count(p).alias("n")))
-    return _explode_chunks(df, keep, chunks, running)
+    return _explode_chunks(df, keep, _counted(pages), running)
+
+
+def chunk_page_arrays(df: DataFrame, pages_col: str = "pages", keep: list[str] | None = None,
+                      running: bool = True) -> DataFrame:
+    """One row per entry of an array of page texts (an extractor's output),
+    as :func:`chunk_pages`; a null or empty array gives no rows."""
+    keep = keep if keep is not None else [c for c in df.columns if c != pages_col]
+    return _explode_chunks(df, keep, _counted(F.col(pages_col)), running)
+
+
+def _counted(pages: Column) -> Column:
+    return F.transform(pages, lambda p: F.struct(p.alias("c"), word_count(p).alias("n")))
 
 
 def section_arrays(text_col: str) -> tuple[Column, Column]:

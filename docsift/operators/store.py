@@ -14,9 +14,9 @@ Set-based re-statements of the row-at-a-time database work:
 * :func:`insert_if_absent` is a semi/anti join pair.
 * Vector index upserts replace by id (anti join + union).
 
-:class:`VersionedTable` writes each new state to a fresh version folder, so
-a table being read is never overwritten and a failed write leaves the
-previous version current.
+:class:`ChunkStore` and :class:`VectorIndex` write only the hash buckets that a
+batch touches and change in one commit (see ``operators.bucketed``);
+:class:`VersionedTable` keeps a small table as whole version folders.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsift.functions.text import concat_key
+from docsift.operators.bucketed import DEFAULT_BUCKETS, BucketedTable, CommitLog
 from docsift.session import checkpoint_root
 
 KEY_COLUMNS = ["File_Name", "SEC_Number", "Topic", "PDF_Link", "Chunk_No"]
@@ -44,13 +45,21 @@ def chunk_key(df: DataFrame, cols: list[str] = KEY_COLUMNS) -> Column:
     return concat_key(*cols)
 
 
-def to_store_rows(chunks: DataFrame) -> DataFrame:
-    """Chunk rows in the chunk-table layout (all text columns, key added)."""
+def store_rows(chunks: DataFrame, order: list[str], extra: list[str] = ()) -> tuple[DataFrame, list[str]]:
+    """Chunk rows in the chunk-table layout (all text columns, display key
+    added) with their order columns under fresh names, and those names."""
+    ords = [f"_ord{i}" for i in range(len(order))]
     return chunks.select(
+        *[F.col(c).alias(o) for c, o in zip(order, ords)],
         "File_Name", "SEC_Number", "Topic", "PDF_Link", "Chunk_Content",
         chunk_key(chunks).alias("combined_columns"),
-        F.col("Chunk_No").cast("string").alias("Chunk_No"),
-    )
+        F.col("Chunk_No").cast("string").alias("Chunk_No"), *extra,
+    ), ords
+
+
+def _null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    """Equality of the pairs of columns in which a null equals a null."""
+    return reduce(and_, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
 def last_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -158,15 +167,17 @@ def measured(df: DataFrame) -> tuple[DataFrame, int, int]:
     return ck, int(st["n"]), int(st["b"] or 0)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: list[str],
+def merge_upsert(target: DataFrame, source: DataFrame, key: str | list[str], order: list[str],
                  update_cols: list[str], id_col: str = "ID",
-                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """MERGE ``source`` into ``target`` on ``key``.
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, start: int | None = None) -> DataFrame:
+    """MERGE ``source`` into ``target`` on ``key`` (one column or several; null
+    keys are equal).
 
     Matched keys take the source values (the last source row per key wins)
-    and keep their id; unmatched source keys are inserted with ids after the
-    target's largest, in ``order``; target rows absent from the source stay.
-    ``order`` columns are only used for ordering and are not written.
+    and keep their id; unmatched source keys are inserted with ids after
+    ``start`` (default: the target's largest), in ``order``; target rows absent
+    from the source stay.  ``order`` columns are only used for ordering and are
+    not written.
 
     The batch is first reduced to one row per key (partial aggregation) and
     measured.  A batch under ``broadcast_bytes`` (the usual incremental
@@ -175,28 +186,36 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: list[str
     (at most one per batch row) meet it again to find the inserts.  A larger
     batch (a full rebuild) takes one shuffled full outer join instead.
     """
-    src, _, nbytes = measured(last_per_key(source.select(key, *update_cols, *order), [key], order))
-    s = src.select(F.col(key), *[F.col(c).alias(f"_s_{c}") for c in update_cols + order],
-                   F.lit(True).alias("_in_s"))
-    t = target.select(id_col, key, *update_cols)
+    keys = [key] if isinstance(key, str) else list(key)
+    src, _, nbytes = measured(last_per_key(source.select(*keys, *update_cols, *order), keys, order))
+    return merge_reduced(target, src, nbytes, keys, order, update_cols, id_col, broadcast_bytes, start)
+
+
+def merge_reduced(target: DataFrame, src: DataFrame, nbytes: int, keys: list[str], order: list[str],
+                  update_cols: list[str], id_col: str = "ID",
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, start: int | None = None) -> DataFrame:
+    """:func:`merge_upsert` of a batch that is cut already, one row per key."""
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in dict.fromkeys(keys + update_cols + order)], F.lit(True).alias("_in_s"))
+    t = target.select(id_col, *keys, *update_cols)
     vals = [F.when(F.col("_in_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
             for c in update_cols]
+    same = _null_safe(t, s, [(k, f"_s_{k}") for k in keys])
+    taken = [F.col(f"_s_{c}").alias(c) for c in keys + update_cols] + [F.col(f"_s_{c}").alias(f"_o_{c}") for c in order]
     if nbytes <= broadcast_bytes:
-        existing = t.join(F.broadcast(s), on=key, how="left").select(id_col, key, *vals)
-        matched = t.select(key).join(F.broadcast(src.select(key)), on=key, how="left_semi")
-        inserts = s.join(matched, on=key, how="left_anti").select(
-            key, *[F.col(f"_s_{c}").alias(c) for c in update_cols],
-            *[F.col(f"_s_{c}").alias(f"_o_{c}") for c in order])
+        existing = t.join(F.broadcast(s), same, "left").select(id_col, *keys, *vals)
+        names = s.select(*[f"_s_{k}" for k in keys])
+        matched = t.select(*keys).join(F.broadcast(names), _null_safe(t, names, [(k, f"_s_{k}") for k in keys]), "left_semi")
+        matched = matched.select(*[F.col(k).alias(f"_m_{k}") for k in keys])
+        inserts = s.join(matched, _null_safe(s, matched, [(f"_s_{k}", f"_m_{k}") for k in keys]), "left_anti").select(*taken)
     else:
-        j = t.withColumn("_in_t", F.lit(True)).join(s, on=key, how="full_outer")
-        existing = j.where(F.col("_in_t").isNotNull()).select(id_col, key, *vals)
+        j = t.withColumn("_in_t", F.lit(True)).join(s, same, "full_outer")
+        existing = j.where(F.col("_in_t").isNotNull()).select(id_col, *keys, *vals)
         # inserts take every value from the batch, so this branch reads only
         # the key of the store (id assignment samples its input once more)
-        inserts = j.where(F.col("_in_t").isNull()).select(
-            key, *[F.col(f"_s_{c}").alias(c) for c in update_cols],
-            *[F.col(f"_s_{c}").alias(f"_o_{c}") for c in order])
-    new = assign_ids(inserts, [f"_o_{c}" for c in order], start=max_id(target, id_col), id_col=id_col)
-    return existing.unionByName(new.select(id_col, key, *update_cols))
+        inserts = j.where(F.col("_in_t").isNull()).select(*taken)
+    first = max_id(target, id_col) if start is None else start
+    new = assign_ids(inserts, [f"_o_{c}" for c in order], start=first, id_col=id_col)
+    return existing.unionByName(new.select(id_col, *keys, *update_cols))
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key: list[str],
@@ -335,52 +354,108 @@ STORE_SCHEMA = T.StructType(
 )
 
 
-class ChunkStore(VersionedTable):
-    def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root, STORE_SCHEMA)
+class ChunkStore(BucketedTable):
+    """The chunk table: dealt to buckets and merged by the five key columns."""
+
+    def __init__(self, spark: SparkSession, root: str, log: CommitLog | None = None, buckets: int = DEFAULT_BUCKETS):
+        super().__init__(spark, root, STORE_SCHEMA, KEY_COLUMNS, "chunks", log, buckets)
+
+    def stage_batch(self, rows: DataFrame, nbytes: int, order: list[str], head: dict) -> tuple[dict, DataFrame]:
+        """MERGE a batch (:func:`store_rows`, one row per key) into the buckets
+        that its keys fall in.  Only those are read, only those are written."""
+        touched = self.touched(rows, head=head)
+        merged = merge_reduced(self.read(head, touched), rows, nbytes, KEY_COLUMNS, order, ["Chunk_Content", "combined_columns"],
+                               start=self.max_id(head))
+        return self.stage(merged, touched, head, "ID")
 
-    def upsert(self, chunks: DataFrame, order: list[str]) -> str:
-        """MERGE chunk rows into a new version; ``order`` (a unique key of
-        the batch, e.g. document and chunk number) decides which duplicate
-        wins and the order of new ids."""
-        ords = [f"_ord{i}" for i in range(len(order))]
-        rows = chunks.select(
-            *[F.col(c).alias(o) for c, o in zip(order, ords)],
-            "File_Name", "SEC_Number", "Topic", "PDF_Link", "Chunk_Content",
-            chunk_key(chunks).alias("combined_columns"),
-            F.col("Chunk_No").cast("string").alias("Chunk_No"),
-        )
-        merged = merge_upsert(self.read(), rows, "combined_columns", ords, UPDATE_COLUMNS)
-        return self.write(merged)
+    def upsert(self, chunks: DataFrame, order: list[str]) -> dict:
+        """MERGE chunk rows and commit; ``order`` (a unique key of the batch,
+        e.g. document and chunk number) decides which duplicate wins and the
+        order of new ids."""
+        head = self.log.head()
+        rows, ords = store_rows(chunks, order)
+        src, _, nbytes = measured(last_per_key(rows, KEY_COLUMNS, ords))
+        change, _ = self.stage_batch(src, nbytes, ords, head)
+        return self._commit(head, change)
 
 
 # Similarity metrics the retrieval operator implements.
 METRICS = ("cosine",)
 
 
-class VectorIndex(VersionedTable):
+class VectorIndex(BucketedTable):
     """Vector records (id, values, metadata) with a fixed dimension and
     metric; created empty on first use, like a create-if-absent index."""
 
-    def __init__(self, spark: SparkSession, root: str, dim: int, metric: str = "cosine"):
+    def __init__(self, spark: SparkSession, root: str, dim: int, metric: str = "cosine", log: CommitLog | None = None,
+                 buckets: int = DEFAULT_BUCKETS):
         if metric not in METRICS:
             raise ValueError(f"unsupported metric {metric!r}; expected one of {METRICS}")
         if dim <= 0:
             raise ValueError("the index dimension must be positive")
-        super().__init__(spark, root, VECTOR_SCHEMA)
+        super().__init__(spark, root, VECTOR_SCHEMA, ["id"], "vectors", log, buckets)
         self.dim, self.metric = dim, metric
 
-    def upsert(self, records: DataFrame) -> tuple[str, DataFrame]:
-        """Write the index with ``records`` upserted; records whose dimension
-        differs from the index's are left out and returned for quarantine."""
-        good = records.where(F.col("values").isNotNull() & (F.size("values") == self.dim))
-        return self.write(upsert_vectors(self.read(), good)), dimension_violations(records, self.dim)
-
-
-def reset_store(store: ChunkStore, index: VectorIndex) -> tuple[str, str]:
+    def stage_batch(self, records: DataFrame, removed: DataFrame | None, nbytes: int, head: dict) -> dict:
+        """Records that replace or join those of their ids, and ids that leave,
+        in one write of the buckets they fall in.  ``records`` and ``removed``
+        are cut already; ``nbytes`` bounds both."""
+        good = records.where(F.col("values").isNotNull() & (F.size("values") == self.dim)).select(*VECTOR_SCHEMA.fieldNames())
+        ids = good.select("id") if removed is None else good.select("id").unionByName(removed.select("id"))
+        touched = self.touched(ids, head=head)
+        ids = F.broadcast(ids) if nbytes <= DEFAULT_BROADCAST_BYTES else ids
+        rows = self.read(head, touched).join(ids, on="id", how="left_anti").unionByName(good)
+        return self.stage(rows, touched, head)[0]
+
+    def upsert(self, records: DataFrame, removed: DataFrame | None = None) -> tuple[dict, DataFrame]:
+        """Commit the index with ``records`` upserted and the ids of ``removed``
+        taken out; records whose dimension differs from the index's are left
+        out and returned for quarantine."""
+        head = self.log.head()
+        recs, _, nbytes = measured(records)
+        if removed is not None:
+            removed, _, more = measured(removed.select("id"))
+            nbytes += more
+        return self._commit(head, self.stage_batch(recs, removed, nbytes, head)), dimension_violations(recs, self.dim)
+
+
+def open_stores(spark: SparkSession, root: str, dim: int, buckets: int = DEFAULT_BUCKETS) -> tuple[ChunkStore, VectorIndex]:
+    """A chunk table and a vector index that change together: both read one
+    commit log, whose records name the versions of both."""
+    log = CommitLog(spark, f"{root.rstrip('/')}/commits")
+    return ChunkStore(spark, f"{root}/chunks", log, buckets), VectorIndex(spark, f"{root}/vectors", dim, log=log, buckets=buckets)
+
+
+def commit_both(store: ChunkStore, index: VectorIndex, heads: tuple[dict, dict], changes: tuple[dict, dict],
+                epoch: tuple[str, int] | None = None) -> None:
+    """Commit the staged parts of both tables: one record if they share a log
+    (see :func:`open_stores`), else the chunk table's before the index's."""
+    if store.log.root == index.log.root:
+        store.log.commit(heads[0], {store.name: changes[0], index.name: changes[1]}, epoch)
+        store.log.expire([store, index])
+        return
+    for table, head, change in zip((store, index), heads, changes):
+        table.log.commit(head, {table.name: change}, epoch)
+        table.log.expire([table])
+
+
+def reset_store(store: ChunkStore, index: VectorIndex) -> None:
     """Reset the chunk table and the vector index together (ids restart at
     1 and no old vector can alias a new id)."""
-    return store.reset(), index.reset()
+    commit_both(store, index, (store.log.head(), index.log.head()), (store.empty(), index.empty()))
+
+
+def attach_ids(stored: DataFrame, batch: DataFrame, nbytes: int, vec_col: str = "Embeddings") -> DataFrame:
+    """(id, values, File_Name, SEC_Number) of every batch row from the stored
+    rows of its five-column key, cut once; ``values`` is null for a chunk whose
+    vector is missing, empty or all zero (cosine is undefined), which is the
+    sign to take its id out of the index."""
+    v = F.col(vec_col)
+    live = F.when(v.isNotNull() & (F.size(v) > 0) & F.exists(v, lambda x: x != 0), v.cast("array<float>"))
+    b = batch.select(*[F.col(k).alias(f"_b_{k}") for k in KEY_COLUMNS], live.alias("values"))
+    t = stored.select("ID", *KEY_COLUMNS)
+    joined = t.join(F.broadcast(b) if nbytes <= DEFAULT_BROADCAST_BYTES else b, _null_safe(t, b, [(k, f"_b_{k}") for k in KEY_COLUMNS]))
+    return joined.select(F.col("ID").cast("string").alias("id"), "values", "File_Name", "SEC_Number").checkpoint(eager=True)
 
 
 def upsert_stats(records: DataFrame, by: list[str] = ("File_Name",)) -> DataFrame:

@@ -16,10 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.text import keyed_hash
+from docsift.jobs import run_index
 from docsift.operators.chunking import chunk_pages, chunk_sections
-from docsift.operators.embedding import hash_vector
+from docsift.operators.embedding import hash_embed, hash_vector
 from docsift.operators.store import (
     UPDATE_COLUMNS,
+    ChunkStore,
+    VectorIndex,
     assign_ids,
     attach_vectors,
     chunk_key,
@@ -27,6 +30,7 @@ from docsift.operators.store import (
     last_per_key,
     lookup,
     merge_upsert,
+    open_stores,
     upsert_stats,
     upsert_vectors,
 )
@@ -34,6 +38,7 @@ from docsift.plans import sqltext as S
 from docsift.plans.catalog import register
 from docsift.plans.q_chunks import PAGES_SQL, SECTIONS_SQL
 from docsift.plans.scenarios import HASH_DIM, form_documents
+from docsift.session import scratch_path
 from docsift.sources.tables import load
 
 # The service's secret key (a job parameter) and the user
@@ -229,6 +234,58 @@ def vector_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return _vector_summary(upsert_vectors(sc.index_v1, sc.index_batch))
 
 
+def _loaded(spark: SparkSession, sf: str, chunks: DataFrame, stores: tuple[ChunkStore, VectorIndex] | None = None) -> tuple[ChunkStore, VectorIndex]:
+    """The index job over a batch of chunks, into new stores or given ones."""
+    stores = stores or open_stores(spark, scratch_path(spark, "stores"), HASH_DIM)
+    run_index("upsert", *stores, hash_embed(chunks, "Chunk_Content", HASH_DIM), ["doc_id", "Chunk_No"])
+    return stores
+
+
+def _indexed_sql(chunks: str, where: str = "true") -> str:
+    """Ids 1..n in document and chunk order, and the index records of the rows
+    that pass ``where`` and have a word."""
+    return f"""
+t AS (SELECT row_number() OVER (ORDER BY doc_id, Chunk_No) AS ID, * FROM ({chunks})),
+v AS (SELECT ID, count(*) AS nnz, sum(n) AS total, sum(n * n) AS sq_norm, sum(n * (dim + 1)) AS checksum
+      FROM ({S.term_counts(f"SELECT ID, Chunk_Content FROM t WHERE {where}", "ID", "Chunk_Content", HASH_DIM)}) GROUP BY ID)
+"""
+
+
+@register("store_reset_reload", sql=f"""
+WITH {_indexed_sql(SECTIONS_SQL)}
+SELECT ID::BIGINT AS ID, t.File_Name, t.SEC_Number, t.Topic, t.PDF_Link, t.Chunk_Content, t.Chunk_No::VARCHAR AS Chunk_No,
+       v.nnz::BIGINT AS nnz, v.total::BIGINT AS total, v.sq_norm::BIGINT AS sq_norm, v.checksum::BIGINT AS checksum
+FROM t LEFT JOIN v USING (ID)
+""")
+def store_reset_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Page chunks loaded, both tables reset in one commit, then the section
+    chunks loaded: ids start at 1 again and no page vector is left."""
+    docs = form_documents(spark, sf)
+    stores = _loaded(spark, sf, chunk_pages(docs, "text"))
+    run_index("delete", *stores)
+    store, index = _loaded(spark, sf, chunk_sections(docs, "text"), stores)
+    vectors = index.read().select(F.col("id").cast("long").alias("ID"), *vector_stats("values"))
+    rows = store.read().join(vectors, "ID", "full_outer")
+    return rows.select("ID", "File_Name", "SEC_Number", "Topic", "PDF_Link", "Chunk_Content", "Chunk_No",
+                       "nnz", "total", "sq_norm", "checksum")
+
+
+@register("blank_chunks_leave", sql=f"""
+WITH {_indexed_sql(PAGES_SQL, "Topic IS DISTINCT FROM 'quality 0'")}
+SELECT ID::VARCHAR AS id, t.File_Name, t.SEC_Number, v.nnz::BIGINT AS nnz, v.total::BIGINT AS total,
+       v.sq_norm::BIGINT AS sq_norm, v.checksum::BIGINT AS checksum
+FROM t JOIN v USING (ID)
+""")
+def blank_chunks_leave(spark: SparkSession, sf: str) -> DataFrame:
+    """All page chunks loaded, then those of low-quality documents loaded again
+    without text: their rows stay under their ids, their vectors leave."""
+    pages = chunk_pages(form_documents(spark, sf), "text")
+    stores = _loaded(spark, sf, pages)
+    withdrawn = pages.where("Topic = 'quality 0'").withColumn("Chunk_Content", F.lit(""))
+    _, index = _loaded(spark, sf, withdrawn, stores)
+    return _vector_summary(index.read())
+
+
 @register("upsert_count", sql=f"""
 WITH {_STORE_SQL}
 SELECT File_Name, count(DISTINCT id)::BIGINT AS n_upserted FROM ({_BATCH_RECORDS_SQL}) GROUP BY File_Name

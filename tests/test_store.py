@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from docsift.operators.bucketed import BucketedTable
 from docsift.operators.store import (
     STORE_SCHEMA,
     ChunkStore,
@@ -91,7 +92,7 @@ def test_versioned_table_and_chunk_store(spark):
     assert store.read().count() == 0
     store.upsert(chunks.where("Chunk_No = 2"), ["d", "Chunk_No"])
     assert [r.ID for r in store.read().collect()] == [1]
-    assert isinstance(store, VersionedTable) and store.read().schema == STORE_SCHEMA
+    assert isinstance(store, BucketedTable) and store.read().schema == STORE_SCHEMA
 
 
 def test_vector_index_upsert_replaces_by_id(spark):
