@@ -58,10 +58,11 @@ _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class _WordHash(dict):
-    """word -> 64-bit hash; forgets everything at a bounded size."""
+    """word -> 64-bit hash; forgets everything at a bounded size (some 6 MB a
+    Python worker)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 40_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h

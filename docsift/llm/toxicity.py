@@ -27,6 +27,7 @@ text are ignored, whatever their names.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +46,11 @@ SCHEMA = "doc_id long, p_toxic double, expected_severity double, severity int, t
 
 
 class _Features(dict):
-    """word -> hashed features; forgets everything at a bounded size."""
+    """word -> hashed features; forgets everything at a bounded size (some 10 MB
+    a Python worker)."""
 
     def __missing__(self, word: str) -> tuple:
-        if len(self) > 300_000:
+        if len(self) > 30_000:
             self.clear()
         core = _EDGE.sub("", word)
         found = ()
@@ -192,12 +194,14 @@ def score(docs: DataFrame, model, cut_at: float = 0.5) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model, cut_at: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are not toxic."""
-    held, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    """The rows of ``docs`` (all columns) that are not toxic.  Only the text goes
+    to Python and only the decision comes back."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache = _Features()
-        for b in batches:
-            yield b.filter(pa.array(_above(b.column(at), held.value, cache)[:, 0] < cut_at))
+        for t in texts:
+            yield pa.array(_above(t, held.value, cache)[:, 0] < cut_at)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(clean(docs["text"]))
