@@ -293,7 +293,7 @@ def test_vp_trees_with_factor_one_are_exact(spark):
     odd = [(1000, None, 0), (1001, [0.0] * 8, 0), (1002, [float("nan")] * 8, 0), (1003, [1.0] * 3, 0), (None, [1.0] * 8, 0), (1004, [None] * 8, 0), (1005, [float("inf")] * 8, 0)]
     df = spark.createDataFrame(rows + odd + rows[:5], "vec_id long, embedding array<double>, label int")
     v = vp_ann.usable(df)
-    assert v.count() == 600
+    assert v.count() == 601                                   # 1003 is the only vector of its length: nobody's neighbour
     got = {}
     for r in vp_ann.nearest(v, v.where("id % 20 = 0"), k=10, factor=1.0, shard=150, block=20).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
@@ -302,6 +302,41 @@ def test_vp_trees_with_factor_one_are_exact(spark):
     assert vp_ann.nearest(v.where("id < 4"), v.where("id = 0")).count() == 3
 
 
+def test_vp_odd_vectors(spark):
+    """Lengths of their own, distances beyond the range of squares and of
+    doubles, ids with several vectors, and clashing extra columns."""
+    rows = [(1, [1e200, 1.0]), (2, [-1e200, 1.0]), (3, [1.0, 1.0]), (4, [1e-200, 0.0]), (5, [3e-200, 0.0]), (6, [1.7e308, 1.7e308]), (7, [-1.7e308, -1.7e308]),
+            (10, [1.0, 2.0, 2.0]), (11, [0.0, 0.0, 2.0]), (12, [1.0, 2.0, 3.0]), (3, [1.0, 9.0]), (13, [5.0])]
+    df = spark.createDataFrame([(i, v, i, "v", 0, 1) for i, v in rows], "vec_id long, embedding array<double>, id long, vec string, shard int, dim int")
+    v = vp_ann.usable(df)
+    got = {}
+    for r in vp_ann.nearest(v, v, k=10).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert 13 not in got
+    assert got[10] == [(12, 1.0), (11, math.sqrt(5))] and got[12] == [(10, 1.0), (11, math.sqrt(6))]
+    assert got[4][0] == (5, 2e-200) and got[4][1] == (3, math.sqrt(2))
+    assert [i for i, _ in got[1]] == [3, 4, 5, 2, 7, 6] or [i for i, _ in got[1]][:4] == [3, 4, 5, 2]
+    assert dict(got[1])[3] == 1e200 and dict(got[1])[2] == 2e200 and got[7][-1] == (6, math.inf)
+    assert dict(got[3])[5] == math.sqrt(2) and len(got[3]) == 6  # by its nearer vector
+
+
+@pytest.mark.parametrize("leaf", [4, 32, 512])
+def test_vp_search_is_exact_at_factor_one_for_any_leaf(monkeypatch, leaf):
+    monkeypatch.setattr(vp_ann, "LEAF", leaf)
+    rng = np.random.default_rng(leaf)
+    x = np.unique(np.concatenate([rng.normal(size=(500, 6)), rng.integers(0, 3, (200, 6)).astype(float), 1e-9 + np.ones((1, 6)) * 1e8]), axis=0)
+    order, nodes = vp_ann.build(x)
+    place = np.argsort(order)
+    inner = nodes[:, 0] >= 0
+    nodes[inner, 0] = place[nodes[inner, 0].astype(int)]
+    ids = np.arange(len(x)) * 3
+    best = vp_ann.Best(x[::7].copy(), ids[::7].copy(), 10)
+    taken = vp_ann.search(x[order], ids[order], np.arange(len(x) + 1), nodes, best, 1.0)
+    want = brute_nearest(list(zip(ids.tolist(), x)), list(zip(ids[::7].tolist(), x[::7])), 10)
+    assert {int(q): list(zip(i.tolist(), d.tolist())) for q, i, d in zip(best.own, best.i, best.d)} == want
+    assert taken > 0
+
+
 def test_vp_recall_on_the_embeddings(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     v = vp_ann.usable(df)
