@@ -62,10 +62,18 @@ def squared_norm(vec_col) -> Column:
     return F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double"))
 
 
-def format_vector_text(vec_col, decimals: int = 6) -> Column:
-    """Print a vector the way a 1 x D array prints: ``[[ a b c]]``."""
-    fmt = f"%.{decimals}f"
-    body = F.array_join(F.transform(_c(vec_col), lambda x: F.format_string(fmt, x.cast("double"))), " ")
+def format_vector_text(vec_col, decimals: int | None = None) -> Column:
+    """Print a vector the way a 1 x D array prints: ``[[ a b c]]``.
+
+    Each component is printed in the fewest digits that read back as the same
+    number of its type (float or double), whatever its size; with ``decimals``
+    it is rounded to that many places instead.  A null component prints as
+    ``null`` and reads back as null.
+    """
+    def show(x: Column) -> Column:
+        return x.cast("string") if decimals is None else F.format_string(f"%.{decimals}f", x.cast("double"))
+
+    body = F.array_join(F.transform(_c(vec_col), show), " ", "null")
     return F.concat(F.lit("[[ "), body, F.lit("]]"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsift.functions.text import basename
+from docsift.functions.vectors import format_vector_text, parse_vector_text
 
 CHUNK_CSV_SCHEMA = T.StructType([
     T.StructField("File_Name", T.StringType()),
@@ -19,6 +20,9 @@ CHUNK_CSV_SCHEMA = T.StructType([
     T.StructField("Number_of_Words", T.IntegerType()),
     T.StructField("Total_Tokens_in_PDF", T.LongType()),
 ])
+# the hand-over of embedded chunks: the vector as text, see functions.vectors.format_vector_text
+EMBEDDED_CSV_SCHEMA = T.StructType([*CHUNK_CSV_SCHEMA.fields, T.StructField("Embeddings", T.StringType()),
+                                    T.StructField("Embedding_Dimension", T.IntegerType())])
 
 # padding is part of a text, and an empty text is not a missing one (``\\N``)
 _CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false",
@@ -52,6 +56,18 @@ def write_chunks_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").options(**_CSV_OPTIONS).option("quoteAll", "true").csv(path)
 
 
+def write_embedded_csv(df: DataFrame, path: str) -> None:
+    """:func:`write_chunks_csv` of embedded chunks: the vector is printed so
+    that it reads back bit by bit."""
+    write_chunks_csv(df.withColumn("Embeddings", format_vector_text("Embeddings")), path)
+
+
+def read_embedded_csv(spark: SparkSession, path: str, schema: T.StructType = EMBEDDED_CSV_SCHEMA) -> DataFrame:
+    """Embedded chunks read back, ``Embeddings`` as array<float>."""
+    rows = read_chunks_csv(spark, path, schema)
+    return rows.withColumn("Embeddings", F.transform(parse_vector_text("Embeddings"), lambda x: x.cast("float")))
+
+
 def read_chunks_csv(spark: SparkSession, path: str, schema: T.StructType = CHUNK_CSV_SCHEMA) -> DataFrame:
     """Read the CSV back with a declared schema (no inference, so text such
     as a leading-zero form number stays text)."""
