@@ -25,7 +25,7 @@ from docsift.plans.catalog import queries  # noqa: E402
 from docsift.session import local_session  # noqa: E402
 
 NODES = ("Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin",
-         "BroadcastNestedLoopJoin", "CartesianProduct", "MapInPandas", "ArrowEvalPython", "Window",
+         "BroadcastNestedLoopJoin", "CartesianProduct", "MapInPandas", "MapInArrow", "ArrowEvalPython", "Window",
          "WindowGroupLimit", "HashAggregate", "Scan ExistingRDD")
 
 
@@ -68,7 +68,7 @@ def main() -> None:
         c, scans = summarise(buf.getvalue())
         joins = ", ".join(f"{n}×{c[n]}" for n in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
                                                   "BroadcastNestedLoopJoin", "CartesianProduct") if c[n])
-        py = ", ".join(f"{n}×{c[n]}" for n in ("MapInPandas", "ArrowEvalPython") if c[n])
+        py = ", ".join(f"{n}×{c[n]}" for n in ("MapInPandas", "MapInArrow", "ArrowEvalPython") if c[n])
         win = ", ".join(f"{n}×{c[n]}" for n in ("Window", "WindowGroupLimit") if c[n])
         print(f"| `{key}` | {c['Exchange']} | {c['BroadcastExchange']} | {joins or '-'} | {py or '-'} | "
               f"{win or '-'} | {c['codegen']} | {c['Scan ExistingRDD'] or '-'} | {'; '.join(scans) or '-'} |", flush=True)
