@@ -144,7 +144,7 @@ def _value_bytes(field: T.StructField) -> Column:
     return F.coalesce(size.cast("long"), F.lit(0).cast("long")) + F.lit(16)
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     """Estimated in-memory bytes of a row: UTF-8 size of text, 8 bytes per
     number or array element, plus a fixed per-value overhead."""
     sizes = [_value_bytes(f) for f in df.schema.fields]
@@ -163,7 +163,7 @@ def measured(df: DataFrame) -> tuple[DataFrame, int, int]:
     """
     checkpoint_root(df.sparkSession)
     ck = df.checkpoint(eager=True)
-    st = ck.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(ck)).alias("b")).first()
+    st = ck.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(ck)).alias("b")).first()
     return ck, int(st["n"]), int(st["b"] or 0)
 
 

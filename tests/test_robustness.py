@@ -20,7 +20,7 @@ def _asked(df):
 
 def test_one_long_question_leaves_the_others_alone(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0]), (3, [1.0] * 5)], "qid int, vec array<double>")
-    assert _asked(similarity_topk(q, _index(spark), k=1)) == [(1, 0), (2, 1)]
+    assert _asked(similarity_topk(q, _index(spark), k=1, dim=4)) == [(1, 0), (2, 1)]
 
 
 def test_tiny_and_huge_vectors_rank_by_angle(spark):
@@ -29,14 +29,14 @@ def test_tiny_and_huge_vectors_rank_by_angle(spark):
     rows = [(i, (v * 10.0 ** (-200 if i % 2 else 150)).tolist()) for i, v in enumerate(base)]
     index = spark.createDataFrame(rows, "id long, vec array<double>")
     q = spark.createDataFrame([(1, (base[7] * 1e-180).tolist()), (2, (base[8] * 1e120).tolist())], "qid int, vec array<double>")
-    got = {r["qid"]: (r["id"], r["score"]) for r in similarity_topk(q, index, k=1).collect()}
+    got = {r["qid"]: (r["id"], r["score"]) for r in similarity_topk(q, index, k=1, dim=8).collect()}
     assert got == {1: (7, 1.0), 2: (8, 1.0)}
 
 
 def test_filters_are_typed_and_null_never_matches(spark):
     q = spark.createDataFrame([(1, [1.0] * 4, [1], []), (2, [1.0] * 4, [], ["None", "t2"])],
                               "qid int, vec array<double>, ns array<int>, names array<string>")
-    got = similarity_topk(q, _index(spark), k=4, filters=[("ns", "n"), ("names", "name")])
+    got = similarity_topk(q, _index(spark), k=4, filters=[("ns", "n"), ("names", "name")], dim=4)
     assert _asked(got) == [(1, 1), (2, 2)]
 
 
