@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import key_bounds, range_number, shuffle_width
+from docsift.llm.common import dealt, key_bounds, range_number, shuffle_width
 
 WINDOW, CUT_BITS, LONGEST = 8, 5, 96       # code points; pieces have some 30 on average
 CELLS = 8                                  # cells in each of the three rows of a fingerprint
@@ -100,9 +100,10 @@ def _check(keys: np.ndarray) -> np.ndarray:
 def _put(count, key, check, keys, sign, cells: int) -> None:
     mixed = keys ^ (keys >> np.uint64(29))
     at = ((((mixed * _ROWS) >> np.uint64(33)) % np.uint64(cells)).astype(np.int64) + np.arange(0, 3 * cells, cells)[:, None]).reshape(-1)
-    np.add.at(count, at, np.tile(sign, 3))
-    np.bitwise_xor.at(key, at, np.tile(keys, 3))
-    np.bitwise_xor.at(check, at, np.tile(_check(keys), 3))
+    checks = _check(keys)
+    np.add.at(count, at, np.concatenate((sign, sign, sign)))
+    np.bitwise_xor.at(key, at, np.concatenate((keys, keys, keys)))
+    np.bitwise_xor.at(check, at, np.concatenate((checks, checks, checks)))
 
 
 def peel(a: tuple, b: tuple, cells: int) -> tuple[np.ndarray, np.ndarray] | None:
@@ -123,8 +124,16 @@ def peel(a: tuple, b: tuple, cells: int) -> tuple[np.ndarray, np.ndarray] | None
 
 
 def difference(a: Sketches, b: Sketches) -> tuple[np.ndarray, np.ndarray]:
-    """The differing digests, from sketches that grow until they peel."""
+    """The differing digests, from sketches that grow until they peel.  The
+    first size comes from the smallest sketches' counts: what both texts hold
+    cancels out, and each other digest adds 1 to the expected sum of squares of
+    a row (besides the share of the texts' difference in number).  Too low a
+    guess is one more retry."""
+    count, surplus = a.of(CELLS)[0] - b.of(CELLS)[0], len(a.keys) - len(b.keys)
+    guess = float(count @ count) / 3 - surplus * surplus / CELLS
     cells = CELLS
+    while 3 * cells < 1.2 * guess:
+        cells *= 4
     while True:
         got = peel(a.of(cells), b.of(cells), cells)
         if got is not None:
@@ -164,13 +173,14 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     bounds = key_bounds(rows, "id", 2 * shuffle_width(docs.sparkSession))
     at = range_number(F.col("id"), bounds)
+    first = F.get(F.array(*[F.lit(b) for b in bounds]), at) == F.col("id") if bounds else F.lit(False)
     own = F.struct(at.alias("rng"), F.lit(0).alias("ahead"))
     before = F.when(at > 0, at - 1).otherwise(F.lit(len(bounds) - 1)).cast("int")
     head = F.struct(before.alias("rng"), F.lit(1).alias("ahead"))
     # no id, so no order: such rows are dealt by their text
     loose = F.struct((-1 - F.pmod(F.xxhash64("text"), F.lit(64))).cast("int").alias("rng"), F.lit(0).alias("ahead"))
-    to = F.when(F.col("id").isNull(), F.array(loose)).when(F.col("id").isin(bounds), F.array(own, head)).otherwise(F.array(own))
-    dealt = rows.withColumn("to", F.explode(to)).select("to.rng", "to.ahead", "id", "text")
+    to = F.when(F.col("id").isNull(), F.array(loose)).when(first, F.array(own, head)).otherwise(F.array(own))
+    rows = rows.withColumn("to", F.explode(to)).select("to.rng", "to.ahead", "id", "text")
 
     def run(batches):
         out = []
@@ -211,4 +221,4 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
         if out:
             yield drain()
 
-    return dealt.repartition(shuffle_width(docs.sparkSession), "rng").sortWithinPartitions("rng", "ahead", "id", "text").mapInArrow(run, SCHEMA)
+    return dealt(rows, "rng", len(bounds)).sortWithinPartitions("rng", "ahead", "id", "text").mapInArrow(run, SCHEMA)
