@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import key_bounds, range_number, shuffle_width
+from docsift.llm.common import dealt, key_bounds, range_number, shuffle_width
 
 REVISIT_MIN = 100
 ROLL_BYTES = 64 << 20
@@ -51,7 +51,8 @@ _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 def _store(root: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root)
+    # Hadoop's names of the S3 scheme
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", root))
 
 
 def _record(kind: str, name: str, fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -135,9 +136,9 @@ def write_archives(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES) ->
         if out is not None:
             yield end(out)
 
-    dealt = own.unionByName(marks).repartition(shuffle_width(spark), "rng").sortWithinPartitions("rng", "id", "kind", "url", "html")
+    ranges = dealt(own.unionByName(marks), "rng", len(bounds)).sortWithinPartitions("rng", "id", "kind", "url", "html")
     temp, final = f"{root}/_manifest-{uuid.uuid4().hex}.tmp", f"{root}/_manifest"
-    dealt.mapInArrow(run, MANIFEST).write.parquet(temp)
+    ranges.mapInArrow(run, MANIFEST).write.parquet(temp)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(temp).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.rename(path(temp), path(final)):
