@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +71,9 @@ def align(spans: list[tuple[int, int]], start: np.ndarray, end: np.ndarray) -> t
     """Per token: whether it meets a span, and the part inside it.  Token
     starts and ends and the spans are sorted."""
     mask, lo, hi = np.zeros(len(start), bool), np.zeros(len(start), np.int32), np.zeros(len(start), np.int32)
-    for s, e in spans:
-        first, last = np.searchsorted(end, s, "right"), np.searchsorted(start, e, "left")
+    begin, stop = (np.array(x, np.int32) for x in (zip(*spans) if spans else ((), ())))
+    firsts, lasts = np.searchsorted(end, begin, "right"), np.searchsorted(start, stop, "left")
+    for s, e, first, last in zip(begin, stop, firsts.tolist(), lasts.tolist()):
         if s < e and first < last:
             part = slice(first, last)
             mask[part] = True
@@ -79,22 +81,17 @@ def align(spans: list[tuple[int, int]], start: np.ndarray, end: np.ndarray) -> t
     return mask, lo, hi
 
 
-def masked_text(formatted: str, lo, hi) -> str:
+def masked_text(formatted: str, lo: np.ndarray, hi: np.ndarray) -> str:
     """Unescaped text under the mask: overlapping and touching parts (tokens of
     one character, neighbours) are merged before the escapes are undone."""
-    out, begin, stop = [], None, None
-    for s, e in zip(lo, hi):
-        if s >= e:
-            continue
-        if begin is not None and s <= stop:
-            stop = max(stop, e)
-            continue
-        if begin is not None:
-            out.append(unescape(formatted[begin:stop]))
-        begin, stop = s, e
-    if begin is not None:
-        out.append(unescape(formatted[begin:stop]))
-    return "".join(out)
+    some = lo < hi
+    lo, hi = lo[some], hi[some]
+    if not len(lo):
+        return ""
+    reach = np.maximum.accumulate(hi)
+    new = np.flatnonzero(lo[1:] > reach[:-1]) + 1
+    begins, stops = lo[np.append(0, new)], reach[np.append(new - 1, len(hi) - 1)]
+    return "".join([unescape(formatted[s:e]) for s, e in zip(begins.tolist(), stops.tolist())])
 
 
 @lru_cache(maxsize=2)
@@ -114,36 +111,42 @@ def _tokenizer(path: str):
 
 def format_conversations(rows: DataFrame, tokenizer: str) -> DataFrame:
     """``rows`` (conv_id, turn, role, text) -> one row per conversation."""
-    schema = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), *((c, pa.list_(pa.int32())) for c in ("input_ids", "token_start", "token_end")),
-                        ("loss_mask", pa.list_(pa.bool_())), ("loss_start", pa.list_(pa.int32())), ("loss_end", pa.list_(pa.int32()))])
+    lists = ("input_ids", "token_start", "token_end", "loss_mask", "loss_start", "loss_end")
 
     def run(batches):
         t = _tokenizer(tokenizer)
-        out, size, last, turns = [], 0, None, []
+        ids, texts, parts, size, last, turns = [], [], [], 0, None, []
 
         def done(conv):
             text, spans = render(turns)
             code = t.encode(text, add_special_tokens=False)
-            off = np.array(code.offsets, np.int32).reshape(-1, 2)
-            mask, lo, hi = align(spans, off[:, 0], off[:, 1])
+            tokens = code.ids
+            off = np.fromiter(chain.from_iterable(code.offsets), np.int32, 2 * len(tokens)).reshape(-1, 2)
+            ids.append(conv), texts.append(text)
+            parts.append((np.array(tokens, np.int32), off[:, 0], off[:, 1], *align(spans, off[:, 0], off[:, 1])))
             turns.clear()
-            return {"conv_id": conv, "formatted": text, "input_ids": code.ids, "token_start": off[:, 0], "token_end": off[:, 1],
-                    "loss_mask": mask.tolist(), "loss_start": lo, "loss_end": hi}
+            return len(text)
+
+        def drain():
+            edges = pa.array(np.cumsum([0, *(len(p[0]) for p in parts)]), pa.int32())
+            flat = [pa.ListArray.from_arrays(edges, pa.array(np.concatenate(column))) for column in zip(*parts)]
+            out = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), *flat], names=["conv_id", "formatted", *lists])
+            ids.clear(), texts.clear(), parts.clear()
+            return out
 
         for b in batches:
             for conv, role, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 if turns and (conv is None or conv != last):
-                    out.append(done(last))
-                    size += len(out[-1]["formatted"])
+                    size += done(last)
                     if size > 1_000_000:
-                        yield pa.RecordBatch.from_pylist(out, schema=schema)
-                        out, size = [], 0
+                        yield drain()
+                        size = 0
                 turns.append((role or "", text or ""))
                 last = conv
         if turns:
-            out.append(done(last))
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+            done(last)
+        if ids:
+            yield drain()
 
     narrow = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     salt = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text"))
@@ -158,12 +161,15 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             out = []
-            for r in b.to_pylist():
-                turns = parse(r["formatted"])
-                loss = masked_text(r["formatted"], *zip(*((s, e) for m, s, e in zip(r["loss_mask"], r["loss_start"], r["loss_end"]) if m))) if any(r["loss_mask"]) else ""
-                whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-                out.append((r["conv_id"], len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
-                            hashlib.sha256(loss.encode()).hexdigest(), len(r["formatted"]), len(r["input_ids"])))
+            mask, lo, hi = (b.column(c) for c in ("loss_mask", "loss_start", "loss_end"))
+            for i, (conv, text) in enumerate(zip(b.column("conv_id").to_pylist(), b.column("formatted"))):
+                text = text.as_py()
+                under = mask[i].values.to_numpy(zero_copy_only=False)
+                turns = parse(text)
+                loss = masked_text(text, lo[i].values.to_numpy()[under], hi[i].values.to_numpy()[under])
+                whole = "".join(f"{role}\n{said}\n" for role, said in turns)
+                out.append((conv, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
+                            hashlib.sha256(loss.encode()).hexdigest(), len(text), len(under)))
             cols = list(zip(*out)) if out else [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
