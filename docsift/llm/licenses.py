@@ -2,30 +2,33 @@
 
 The templates are ``TEMPLATES`` and the rows of ``license_templates.jsonl``
 beside this file (license, kind, keys, text): whole license texts, usual
-headers and notices.  Several templates may share a name; keys are phrases
-that must stand unchanged in a match, such as a license's name and version.
-
-Templates of fewer than ``SHORT`` words are matched by words: a place where at
-most ``n * (1 - containment)`` of the ``n`` words are changed, missing or
-added is found, with ``1 - edits / n`` as its containment.  Of a template cut
-into one piece more than the edits allowed one piece stands unchanged (with a
-key, the key does), so pieces are looked up and the rest is aligned.
-
-Longer templates are cut into five-word shingles.  For a template of ``n`` shingles a document is read as
-windows of ``2 * half`` shingles that overlap by half, ``half`` being the power
-of two that is at least ``n``: a whole copy lies inside some window, with
-``J = n / (2 * half) > 0.25``.  A window and a template share a band
-(``BANDS`` bands of one MinHash value each) with probability
-``1 - (1 - J)^BANDS``: over 0.999998 for a whole copy, over 0.9999 for one of
-containment 0.8.  Candidates are verified on the full shingles of the window
-and half a window around it: a template is found where the share of its
-shingles there is at least ``containment``.  Touching spans of one name
-are one match; its containment is the largest.
-
-Words are the lower-cased words without punctuation at their edges.
+headers and one row for each name a notice may give a license.  Several
+templates may share a name; keys are phrases that must stand unchanged in a
+match, such as a license's name and version.
+
+Words are lower-cased runs of letters and digits (``2.0`` is one).  Words that
+say nothing about the license (``NOISE``) are left out and a version is read
+without its ``v`` and ``.0``, so one row meets "under the terms of the GNU
+General Public License, version 2.0" and "under GNU General Public License v2".
+
+All templates go one way.  A template of ``n`` words is a set of ``m`` shingles of five words, or
+of two where one changed word would cost more than ``1 - containment`` of the
+five-word ones (``width``).  It is found where at least ``containment`` of its
+distinct shingles, and its keys, stand within a span of ``n / containment``
+words.  Retrieval: the document's shingles are read as windows of ``2 * half``
+that overlap by half, ``half`` being the power of two that holds a span, so
+each span lies inside some window.  A window and a template share a band (``BANDS`` bands of
+one MinHash value each) with probability ``1 - (1 - J)^BANDS``; for any span
+that is a match ``J`` is at least 0.15 where the template's shingles are
+distinct, so a match is missed with a probability under 0.0005
+(``least_similarity`` gives the bound of any template).
+Verification: every span that begins in or near a retrieved window is
+checked on its full shingles.  Touching spans of one name are one match; its
+containment is the largest.
 
 Templates are few and short (at most ``MAX_TEMPLATES``, checked) and are sent
 to every task; documents are scanned where they are read, nothing is shuffled.
+``first_word`` and ``last_word`` count all words of the text, from 0.
 Defined results: null and empty texts match nothing; rows that repeat are each
 scanned; null ids are kept; an empty table gives an empty result; other
 columns are ignored, whatever their names.
@@ -36,6 +39,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -43,18 +47,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-K = 5
-SHORT = 20                                 # templates of fewer words are matched by words
+K, K_SHORT = 5, 2                          # words of a shingle; of templates that one changed word would break
 BANDS = 48
 CHUNK = 1 << 16                            # shingles hashed at a time; a multiple of every ``half``
 MAX_TEMPLATES = 10_000
 SCHEMA = "doc_id long, license string, containment double, first_word long, last_word long"
-# fixed values: the notices by which texts state their license, and opening terms of common licenses
+# fixed values: opening terms of common licenses; words that a notice may hold or leave out
 TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
                          "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
@@ -65,10 +64,12 @@ TEMPLATES = {
                  "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
                  "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
 }
-KEYS = {"Apache-2.0": ["Apache License, Version 2.0"], "CC-BY-NC-4.0": ["CC BY-NC 4.0"], "GPL-3.0": ["GNU General Public License, version 3"], "MIT": ["MIT License"],
-        "GPL-3.0-header": ["GNU General Public License", "version 3 of the License"]}
+KEYS = {"GPL-3.0-header": ["GNU General Public License", "version 3 of the License"]}
+NOISE = frozenset(["a", "an", "the", "terms", "of", "version", "v"])
 TABLE = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_templates.jsonl")
-_EDGE = re.compile(r"^\W+|\W+$")
+_WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
+_ZEROS = re.compile(r"(?<=\d)(?:\.0)+$")
+_V = re.compile(r"^v(?=\d)")
 _rng = np.random.default_rng(31)
 _A = (_rng.integers(0, 1 << 32, BANDS, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _B = _rng.integers(0, 1 << 32, BANDS, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -76,28 +77,28 @@ _C = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Words(dict):
-    """raw word -> hash of the bare word (0: nothing but punctuation)."""
+    """word -> hash (0: a word that is left out)."""
 
-    def __missing__(self, raw: str) -> int:
-        if len(self) > 300_000:
+    def __missing__(self, word: str) -> int:
+        if len(self) > 100_000:
             self.clear()
-        bare = _EDGE.sub("", raw.lower())
-        h = self[raw] = (xxhash.xxh3_64_intdigest(bare) | 1) if bare else 0
+        bare = _V.sub("", _ZEROS.sub("", word)) if word[-1].isdigit() else word
+        h = self[word] = 0 if word in NOISE else xxhash.xxh3_64_intdigest(bare) | 1
         return h
 
 
 def words_of(text: str, cache: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words and their places among the text's raw words."""
-    h = np.fromiter(map(cache.__getitem__, raw := text.split()), np.uint64, len(raw))
+    """Hashes of the words that count and their places among all words."""
+    raw = _WORD.findall(text.lower())
+    h = np.fromiter(map(cache.__getitem__, raw), np.uint64, len(raw))
     at = np.flatnonzero(h)
     return h[at], at
 
 
-def shingles(h: np.ndarray) -> np.ndarray:
-    """Hashes of the five-word shingles in order (one of all words if fewer)."""
-    if not len(h):
-        return h
-    width = min(K, len(h))
+def shingles(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the runs of ``width`` words, in order."""
+    if len(h) < width:
+        return h[:0]
     acc = h[:len(h) - width + 1].copy()
     for j in range(1, width):
         acc = acc * _C + h[j:len(h) - width + 1 + j]
@@ -105,38 +106,31 @@ def shingles(h: np.ndarray) -> np.ndarray:
     return acc ^ (acc >> np.uint64(29))
 
 
-def library() -> list[tuple[str, str, list[str]]]:
-    """(name, text, keys) of all registered templates; read on the driver."""
-    with open(TABLE, encoding="utf-8") as f:
-        rows = [json.loads(line) for line in f]
-    return [(name, text, KEYS.get(name, [])) for name, text in TEMPLATES.items()] + [(r["license"], r["text"], r["keys"]) for r in rows]
+def width(n: int, containment: float) -> int:
+    """Words of a shingle of a template of ``n`` words."""
+    return K if n >= K and K <= (n - K + 1) * (1 - containment) + 1e-9 else min(n, K_SHORT)
+
+
+def reach(n: int, containment: float) -> int:
+    """Shingles of the longest span in which a template of ``n`` words is looked for."""
+    return int(np.ceil(n / containment - 1e-9)) - width(n, containment) + 1
 
 
-def runs(h: np.ndarray, widths) -> dict[int, np.ndarray]:
-    """Hashes of the runs of so many words, by width."""
-    out, acc = {}, h
-    for m in range(1, min(max(widths, default=0), len(h)) + 1):
-        if m > 1:
-            acc = acc[:-1] * _C + h[m - 1:]
-        if m in widths:
-            x = (acc ^ (acc >> np.uint64(31))) * _C
-            out[m] = x ^ (x >> np.uint64(29))
-    return out
+def half_window(n: int, containment: float) -> int:
+    return 1 << (reach(n, containment) - 1).bit_length()
 
 
-def aligned(a: list[int], b: list[int]) -> tuple[int, int]:
-    """Least word edits from ``a`` to a start of ``b``, and that start's length."""
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a):
-        last, row = row, [i + 1]
-        for j, y in enumerate(b):
-            row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
-    return min((d, j) for j, d in enumerate(row))
+def least_similarity(n: int, m: int, containment: float) -> float:
+    """Least Jaccard similarity of a matching window and a template of ``n`` words and ``m`` distinct shingles."""
+    need = int(np.ceil(m * containment - 1e-9))
+    return need / (2 * half_window(n, containment) + m - need)
 
 
-def _holds(h: np.ndarray, key: np.ndarray) -> bool:
-    at = np.flatnonzero(h[:len(h) - len(key) + 1] == key[0]) if len(h) >= len(key) else ()
-    return any(np.array_equal(h[i:i + len(key)], key) for i in at)
+def library() -> list[tuple[str, str, list[str]]]:
+    """(name, text, keys) of all registered templates; read on the driver."""
+    with open(TABLE, encoding="utf-8") as f:
+        rows = [json.loads(line) for line in f]
+    return [(name, text, KEYS.get(name, [])) for name, text in TEMPLATES.items()] + [(r["license"], r["text"], r["keys"]) for r in rows]
 
 
 class Templates:
@@ -144,107 +138,89 @@ class Templates:
         if len(texts) > MAX_TEMPLATES:
             raise ValueError(f"more than {MAX_TEMPLATES} templates")
         cache = _Words()
-        self.containment = containment
-        self.names, self.sets, self.keys = [], [], []
-        self.bands: dict[int, dict[tuple[int, int], list[int]]] = {}     # half window -> (band, value) -> templates
-        # words of a piece's start -> hash -> (template, piece's place and words): pieces of short templates
-        self.short: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+        self.names, self.sets, self.keys, self.need, self.reach = [], [], [], [], []
+        # words of a shingle -> half window -> (band, value) -> templates
+        self.bands: dict[int, dict[int, dict[tuple[int, int], list[int]]]] = {}
         rows = [(name, text, []) for name, text in texts.items()] if isinstance(texts, dict) else texts
         for name, text, keys in sorted(rows):
             h, _ = words_of(text or "", cache)
-            if not len(h):
-                continue
-            t = len(self.names)
-            self.names.append(name), self.keys.append([words_of(key, cache)[0] for key in keys])
-            if len(h) < SHORT:
-                self.sets.append(h)
-                if keys:
-                    key = self.keys[t][0]
-                    pieces = [(at, at + len(key)) for at in range(len(h)) if np.array_equal(h[at:at + len(key)], key)][:1]
-                    if not pieces:
-                        raise ValueError(f"a template of {name} does not hold its key")
-                else:
-                    edge = [i * len(h) // (self.edits(len(h)) + 1) for i in range(self.edits(len(h)) + 2)]
-                    pieces = list(zip(edge[:-1], edge[1:]))
-                for lo, hi in pieces:
-                    width = min(K, hi - lo)
-                    first = int(runs(h[lo:lo + width], [width])[width][0])
-                    self.short.setdefault(width, {}).setdefault(first, []).append((t, lo, hi - lo))
+            n = len(h)
+            if not n:
                 continue
-            s = np.unique(shingles(h))
-            self.sets.append(s)
-            half = 1 << (len(h) - K).bit_length()
-            x = (s >> np.uint64(32)).astype(np.uint32)
-            for k, v in enumerate((_A * x + _B).min(axis=1).tolist()):
-                self.bands.setdefault(half, {}).setdefault((k, v), []).append(t)
-        self.starts = {}
-        for width, found in self.short.items():
-            self.starts[width] = np.zeros(1 << 16, bool)
-            self.starts[width][[x >> 48 for x in found]] = True
-        # which low 16 bits a template's band values have: skips almost every window at once
-        self.maybe = {half: np.zeros(1 << 16, bool) for half in self.bands}
-        for half, values in self.bands.items():
-            self.maybe[half][[v & 0xFFFF for _, v in values]] = True
-
-    def edits(self, n: int) -> int:
-        """Words of ``n`` that may differ."""
-        return int(n * (1 - self.containment) + 1e-9)
-
-    def _near(self, h: np.ndarray, t: int, at: int, lo: int, size: int) -> tuple[int, int, float] | None:
-        """The span and containment of short template ``t`` with its piece
-        ``lo``, ``size`` at word ``at``; None if it is not similar enough."""
-        own = self.sets[t]
-        n = len(own)
-        if at >= lo and np.array_equal(h[at - lo:at - lo + n], own):
-            return at - lo, at - lo + n, 1.0
-        if not np.array_equal(h[at:at + size], own[lo:lo + size]):
-            return None
-        e, end = self.edits(n), at + size
-        left, before = aligned(own[:lo][::-1].tolist(), h[max(0, at - lo - e):at][::-1].tolist())
-        right, after = aligned(own[lo + size:].tolist(), h[end:end + n - lo - size + e].tolist())
-        return (at - before, end + after, 1 - (left + right) / n) if left + right <= e else None
-
-    def _candidates(self, s: np.ndarray) -> set[tuple[int, int, int]]:
-        """(template, window's first and last shingle) that share a band."""
-        found, reach = set(), 2 * max(self.bands)
+            t, w = len(self.names), width(n, containment)
+            s = np.unique(shingles(h, w))
+            self.names.append(name), self.sets.append(s), self.keys.append([words_of(key, cache)[0] for key in keys])
+            self.need.append(int(np.ceil(len(s) * containment - 1e-9))), self.reach.append(reach(n, containment))
+            values = self.bands.setdefault(w, {}).setdefault(half_window(n, containment), {})
+            for k, v in enumerate((_A * (s >> np.uint64(32)).astype(np.uint32) + _B).min(axis=1).tolist()):
+                values.setdefault((k, v), []).append(t)
+        # which low 18 bits a template's band values have: skips almost every window at once
+        self.maybe = {(w, half): np.zeros(1 << 18, bool) for w, halves in self.bands.items() for half in halves}
+        for (w, half), seen in self.maybe.items():
+            seen[[v & 0x3FFFF for _, v in self.bands[w][half]]] = True
+
+    def _candidates(self, s: np.ndarray, w: int) -> dict[int, list[list[int]]]:
+        """template -> ranges of shingles around the windows that share a band with it, in order."""
+        found: set[tuple[int, int, int]] = set()
+        halves = sorted(self.bands[w])
         for c in range(0, len(s), CHUNK):
-            x = (s[c:c + CHUNK + reach] >> np.uint64(32)).astype(np.uint32)
+            x = (s[c:c + CHUNK + 2 * halves[-1]] >> np.uint64(32)).astype(np.uint32)
             low, size = _A * x + _B, 1
-            for half in sorted(self.bands):
-                if half > size:                          # minima of blocks of ``half`` shingles
-                    low = np.minimum.reduceat(low, np.arange(0, low.shape[1], half // size), axis=1)
-                    size = half
+            for half in halves:
+                while size < half:                       # minima of blocks of ``half`` shingles
+                    odd = low[:, -1:] if low.shape[1] % 2 else low[:, :0]
+                    low = np.concatenate([np.minimum(low[:, :-1:2], low[:, 1::2]), odd], axis=1)
+                    size *= 2
                 window = np.minimum(low[:, :-1], low[:, 1:]) if low.shape[1] > 1 else low
-                band, at = np.nonzero(self.maybe[half][window & np.uint32(0xFFFF)])
-                values = self.bands[half]
-                for k, w, v in zip(band.tolist(), at.tolist(), window[band, at].tolist()):
+                band, at = np.nonzero(self.maybe[w, half][window & np.uint32(0x3FFFF)])
+                values = self.bands[w][half]
+                for k, i, v in zip(band.tolist(), at.tolist(), window[band, at].tolist()):
                     for t in values.get((k, v), ()):
-                        found.add((t, c + w * half, c + (w + 2) * half))
-        return found
+                        found.add((t, c + i * half, c + (i + 2) * half))
+        near: dict[int, list[list[int]]] = {}
+        for t, lo, hi in sorted(found):
+            lo, hi, ranges = max(0, lo - self.reach[t]), hi + self.reach[t], near.setdefault(t, [])
+            if ranges and lo <= ranges[-1][1]:
+                ranges[-1][1] = max(ranges[-1][1], hi)
+            else:
+                ranges.append([lo, hi])
+        return near
+
+    def _spans(self, t: int, w: int, h: np.ndarray, s: np.ndarray, lo: int) -> list[tuple[int, int, float]]:
+        """(first word, word after the last, containment) of the spans of template ``t`` among shingles ``s``, the first at word ``lo``."""
+        own, need = self.sets[t], self.need[t]
+        which = np.searchsorted(own, s)
+        which[which == len(own)] = 0
+        at = np.flatnonzero(own[which] == s)
+        if len(at) < need:
+            return []
+        keys = [(lo + np.flatnonzero(_starts(h[lo:lo + len(s) + w - 1], key)), len(key)) for key in self.keys[t]]
+        place, which, out = at.tolist(), which[at].tolist(), []
+        counts: dict[int, int] = {}
+        end = 0
+        for i, p in enumerate(place):                    # the span that begins with this shingle
+            while end < len(place) and place[end] < p + self.reach[t]:
+                counts[which[end]] = counts.get(which[end], 0) + 1
+                end += 1
+            if len(counts) >= need:
+                begin, after = lo + p, lo + place[end - 1] + w
+                if all((k := bisect_left(starts, begin)) < len(starts) and starts[k] + size <= after for starts, size in keys):
+                    out.append((begin, after, len(counts) / len(own)))
+            if counts[which[i]] == 1:
+                del counts[which[i]]
+            else:
+                counts[which[i]] -= 1
+        return out
 
     def find(self, text: str, cache: _Words) -> list[tuple[str, float, int, int]]:
-        """(license, containment, first and last raw word), by template and place."""
+        """(license, containment, first and last word), by name and place."""
         h, place = words_of(text, cache)
-        if not len(h):
-            return []
         spans: dict[str, list[tuple[int, int, float]]] = {}
-        for width, first in runs(h, self.short.keys()).items():
-            pieces = self.short[width]
-            for at in np.flatnonzero(self.starts[width][(first >> np.uint64(48)).astype(np.int64)]).tolist():
-                for t, lo, size in pieces.get(int(first[at]), ()):
-                    if (got := self._near(h, t, at, lo, size)) is not None:
-                        spans.setdefault(self.names[t], []).append(got)
-        if len(h) >= K and self.bands:
-            s = shingles(h)
-            for t, lo, hi in sorted(self._candidates(s)):
-                lo, hi = max(0, lo - (hi - lo) // 2), min(len(s), hi + (hi - lo) // 2)
-                inside = np.isin(s[lo:hi], self.sets[t])
-                share = len(np.unique(s[lo:hi][inside])) / len(self.sets[t])
-                if share >= self.containment:
-                    got = np.flatnonzero(inside)
-                    begin, end = lo + int(got[0]), lo + int(got[-1]) + K
-                    if all(_holds(h[begin:end], key) for key in self.keys[t]):
-                        spans.setdefault(self.names[t], []).append((begin, end, share))
+        for w in self.bands:
+            s = shingles(h, w)
+            for t, ranges in self._candidates(s, w).items():
+                for lo, hi in ranges:
+                    spans.setdefault(self.names[t], []).extend(self._spans(t, w, h, s[lo:hi], lo))
         out = []
         for t in sorted(spans):
             merged: list[list] = []
@@ -257,8 +233,18 @@ class Templates:
         return out
 
 
+def _starts(h: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Where ``key`` begins in ``h``, as booleans."""
+    if len(h) < len(key):
+        return np.zeros(0, bool)
+    hit = np.ones(len(h) - len(key) + 1, bool)
+    for j, x in enumerate(key):
+        hit &= h[j:j + len(hit)] == x
+    return hit
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = 0.8) -> DataFrame:
-    """One row per match: document, license, containment and raw word range."""
+    """One row per match: document, license, containment and word range."""
     shared = docs.sparkSession.sparkContext.broadcast(Templates(library() if templates is None else templates, containment))
 
     def run(batches):
