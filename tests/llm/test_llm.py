@@ -13,7 +13,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 
-from docsift.llm import bpe, chat_format, fingerprints, katz_lm, licenses, mixing, near_dedup, toxicity, vp_ann, warc
+from docsift.llm import bpe, chat_format, fingerprints, licenses, mixing, near_dedup, toxicity, vp_ann, warc
 from docsift.llm.components import components
 from docsift.session import scratch_path
 
@@ -369,84 +369,6 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.score(docs(spark, ODD).limit(0), None).count() == 0
 
 
-def brute_katz(rows, histories):
-    """The model in plain dictionaries."""
-    texts = [(i, (t or "").encode().lower().split() + [None], zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2) for i, t in rows]
-    uni = Counter(w for _, ws, held in texts if not held for w in ws)
-    key = lambda w: katz_lm.END if w is None else katz_lm.xxhash.xxh3_64_intdigest(w)
-    signed = lambda w: int(np.array([key(w)], np.uint64).view(np.int64)[0])
-    named = {w for w, _ in sorted(((w, c) for w, c in uni.items() if w is not None), key=lambda x: (-x[1], signed(x[0])))[:histories]}
-    hist = lambda w: w if w in named else "rare"
-    pair = Counter()
-    for _, ws, held in texts:
-        if not held:
-            for h, w in zip(["start", *map(hist, ws[:-1])], ws):
-                pair[h, w] += 1
-    n = sum(uni.values())
-    share = katz_lm.Unigram(n, [float(sum(c == r for c in uni.values())) for r in range(1, 7)])
-    p1 = lambda w: float(share.of(np.array([uni[w]]))[0])
-    d = katz_lm.discounts([float(sum(c == r for c in pair.values())) for r in range(1, 7)])
-    follow = {}
-    for (h, w), c in pair.items():
-        follow.setdefault(h, {})[w] = c
-
-    def prob(h, w):
-        f = follow.get(h)
-        if not f:
-            return p1(w)
-        total = sum(f.values())
-        left = sum((1 - d[c]) * c for c in f.values() if c <= 5)
-        base, left = (total, left) if left > 0 else (total + 1, 1)
-        if w in f:
-            return (d[f[w]] if f[w] <= 5 else 1) * f[w] / base
-        return left / base / (1 - sum(map(p1, f))) * p1(w)
-
-    out = [(i, held, len(ws), sum(uni[w] > 0 for w in ws), n, sum(math.log10((uni[w] + 1) / (n + len(uni) + 1)) for w in ws),
-            sum(math.log10(prob(h, w)) for h, w in zip(["start", *map(hist, ws[:-1])], ws))) for i, ws, held in texts]
-    mass = {h: sum(prob(h, w) for w in uni) + prob(h, b"\x01unknown") for h in follow}
-    return out, mass
-
-
-def test_katz_matches_plain_dictionaries_and_is_normalised(spark):
-    rows = [r for r in ODD if r[0] != 7 and r[0] != 8] + [(20 + i, t) for i, t in copies(n=20)]
-    want, mass = brute_katz(rows, 30)
-    assert all(abs(m - 1) < 1e-9 for m in mass.values())
-    got = sorted((tuple(r) for r in katz_lm.score_corpus(docs(spark, rows), histories=30).collect()), key=lambda r: (str(r[0]), r[6]))
-    for g, w in zip(got, sorted(want, key=lambda r: (str(r[0]), r[6])), strict=True):
-        assert g[:5] == w[:5] and abs(g[5] - w[5]) < 1e-6 and abs(g[6] - w[6]) < 1e-6
-    assert katz_lm.score_corpus(docs(spark, rows).limit(0)).count() == 0
-
-
-def test_katz_keeps_every_word_as_a_history(spark):
-    """More words than any list of frequent ones held before (16,384)."""
-    rng = random.Random(12)
-    rows = [(i, " ".join(f"w{int(25_000 * rng.random() ** 1.2)}" for _ in range(400))) for i in range(250)]
-    texts = [(i, [*t.split(), None], katz_lm.held_out(i)) for i, t in rows]
-    uni = Counter(w for _, ws, held in texts if not held for w in ws)
-    assert len(uni) > 16_500
-    pair = Counter(p for _, ws, held in texts if not held for p in zip(["start", *ws[:-1]], ws))
-    share = katz_lm.Unigram(sum(uni.values()), [float(sum(c == r for c in uni.values())) for r in range(1, 7)])
-    p1 = {c: float(share.of(np.array([c]))[0]) for c in {0, *uni.values()}}
-    d = katz_lm.discounts([float(sum(c == r for c in pair.values())) for r in range(1, 7)])
-    total, left, mass = Counter(), Counter(), Counter()
-    for (h, w), c in pair.items():
-        total[h] += c
-        left[h] += (1 - d[c]) * c if c <= 5 else 0
-        mass[h] += p1[uni[w]]
-
-    def prob(h, w):
-        if not total[h]:
-            return p1[uni[w]]
-        base, gap = (total[h], left[h]) if left[h] > 0 else (total[h] + 1, 1)
-        c = pair[h, w]
-        return (d[c] if c <= 5 else 1) * c / base if c else gap / base / (1 - mass[h]) * p1[uni[w]]
-
-    got = {r["doc_id"]: r["score"] for r in katz_lm.score_corpus(docs(spark, rows)).collect()}
-    assert len(got) == len(rows)
-    for i, ws, _ in texts:
-        assert abs(got[i] - sum(math.log10(prob(h, w)) for h, w in zip(["start", *ws[:-1]], ws))) < 1e-6
-
-
 def test_warc_round_trip(spark, tmp_path):
     pages = [(i, f"http://h/{i} x\n", f"<p>{i % 7}</p>" * 30) for i in range(60)] + [(100, None, None), (101, "u", ""), (None, "n", "<p>1</p>" * 30), (102, "s", "tiny"), (103, "s", "tiny"),
                                                                                (0, "http://h/0 x\n", "<p>0</p>" * 30)]
