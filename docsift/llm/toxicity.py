@@ -13,8 +13,9 @@ of their features which the sample shows (almost) only in toxic rows: those
 above the median are grade 2.
 
 The model is fitted on a bounded sample of labelled rows (``max_train``, half
-of it toxic where there are enough), chosen by the hash of the id.  Scoring
-covers every row.
+of it toxic where there are enough), chosen by the hash of the id; of an id
+with several texts the one with the smallest feature list is learned, so the
+model does not depend on the order of rows.  Scoring covers every row.
 
 Defined results: a null or empty text has no features and gets the model's
 base rate (far below the cut in any sample with a clean majority or balance
@@ -157,8 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array([f.astype(np.int32) for f in found], pa.list_(pa.int32()))],
                                              names=["_id", "_toxic", "f"])
 
-    # at most ``max_train`` rows of features reach the driver
-    got = rows.mapInArrow(features, "_id long, _toxic int, f array<int>").dropDuplicates(["_id"]).toArrow().sort_by("_id").combine_chunks()
+    # of an id with several texts the one whose feature list is the smallest; at most ``max_train`` rows reach the driver
+    one = rows.mapInArrow(features, "_id long, _toxic int, f array<int>").groupBy("_id").agg(F.min(F.struct("_toxic", "f")).alias("r"))
+    got = one.select("_id", "r.*").toArrow().sort_by("_id").combine_chunks()
     toxic = got["_toxic"].to_numpy().astype(np.int64)
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return None

@@ -64,3 +64,16 @@ def test_scores_are_plain_sums(spark):
         share = grade_shares(sum(float(w[f]) for f in toxicity.text_features(t, toxicity._Features())), theta)
         assert abs(got[i]["p_toxic"] - (1 - share[0])) < 1e-9 and abs(got[i]["expected_severity"] - (share[1] + 2 * share[2])) < 1e-9
         assert got[i]["severity"] == max(range(3), key=lambda g: share[g]) and got[i]["toxic"] == (1 - share[0] >= 0.5)
+
+
+def test_the_learned_text_of_a_repeated_id_does_not_depend_on_the_order(spark):
+    rng = random.Random(8)
+    say = lambda toxic: " ".join(rng.choices(["river", "house", "tree", "walk"], k=6) + rng.choices(["fool", "idiot", "trash"], k=3) * toxic)
+    rows = [(i, say(i % 2)) for i in range(80)] + [(i, say(1 - i % 2)) for i in range(0, 80, 3)] + [(0, None), (1, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    fits = []
+    for order in (rows, rows[::-1], rng.sample(rows, len(rows))):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(1 + len(fits) * 3)
+        fits.append(toxicity.train(docs, labels))
+    for w, theta in fits[1:]:
+        assert np.array_equal(w, fits[0][0]) and np.array_equal(theta, fits[0][1])
