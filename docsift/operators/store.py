@@ -15,14 +15,11 @@ Set-based re-statements of the row-at-a-time database work:
 * Vector index upserts replace by id (anti join + union).
 
 :class:`ChunkStore` and :class:`VectorIndex` write only the hash buckets that a
-batch touches and change in one commit (see ``operators.bucketed``);
-:class:`VersionedTable` keeps a small table as whole version folders.
+batch touches and change in one commit (see ``operators.bucketed``).
 """
 
 from __future__ import annotations
 
-import os
-import re
 from functools import reduce
 from operator import and_
 
@@ -297,57 +294,6 @@ def dimension_violations(index: DataFrame, dim: int) -> DataFrame:
     return index.where(F.col("values").isNull() | (F.size("values") != dim))
 
 
-# ---------------------------------------------------------- versioned I/O
-
-class VersionedTable:
-    """A Parquet table kept as numbered version folders under ``root``.
-
-    ``write`` puts a new state in the next folder and only then is it the
-    current one (its ``_SUCCESS`` marker exists); nothing being read is ever
-    overwritten.  ``reset`` writes an empty version (ids then restart).
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-
-    def _versions(self, complete: bool = True) -> list[int]:
-        """Version numbers present; ``complete`` keeps only those whose
-        write finished (``_SUCCESS`` marker)."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            m = re.fullmatch(r"v(\d{6})", name)
-            if m and (not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def _path(self, v: int) -> str:
-        return os.path.join(self.root, f"v{v:06d}")
-
-    def read(self) -> DataFrame:
-        vs = self._versions()
-        if not vs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._path(vs[-1]))
-
-    def write(self, df: DataFrame) -> str:
-        # number past every folder, finished or not: a write that died
-        # half-way leaves its folder behind, and it is never read or reused
-        vs = self._versions(complete=False)
-        path = self._path((vs[-1] if vs else 0) + 1)
-        df.select(*self.schema.fieldNames()).write.mode("errorifexists").parquet(path)
-        return path
-
-    def reset(self) -> str:
-        return self.write(self.spark.createDataFrame([], self.schema).coalesce(1))
-
-
 STORE_SCHEMA = T.StructType(
     [T.StructField("ID", T.LongType())]
     + [T.StructField(c, T.StringType()) for c in STORE_COLUMNS[1:]]

@@ -5,7 +5,6 @@ from docsift.operators.store import (
     STORE_SCHEMA,
     ChunkStore,
     VectorIndex,
-    VersionedTable,
     assign_ids,
     dense_rank_within,
     insert_if_absent,
@@ -145,17 +144,36 @@ def test_upsert_latest_paths_agree_and_null_key(spark):
         assert got["b"] == "b-new" and got["a"] == "x"
 
 
-def test_versioned_table_skips_an_unfinished_version(spark):
+def test_incremental_upsert_touches_its_buckets_and_skips_replays(spark):
     import os
 
-    root = scratch_path(spark, "version-test")
-    t = VersionedTable(spark, root, STORE_SCHEMA)
-    t.write(spark.createDataFrame([(1, "f", "s", None, "l", "c", "k", "1")], STORE_SCHEMA))
-    os.makedirs(os.path.join(root, "v000002"))  # a write that died: no _SUCCESS marker
-    assert [r.ID for r in t.read().collect()] == [1]  # unfinished version is not read
-    t.write(spark.createDataFrame([(2, "f", "s", None, "l", "c", "k", "1")], STORE_SCHEMA))
-    assert [r.ID for r in t.read().collect()] == [2]
-    assert sorted(os.listdir(root)) == ["v000001", "v000002", "v000003"]
+    from docsift.operators.bucketed import BucketedTable
+    from docsift.streaming.incremental import incremental_upsert
+
+    root, shape = scratch_path(spark, "latest-test"), "k string, o long, v string"
+    schema = spark.createDataFrame([], shape).schema
+    table = BucketedTable(spark, f"{root}/table", schema, ["k"], "latest", buckets=8)
+    run = lambda checkpoint="c": incremental_upsert(spark, f"{root}/landing", schema, ["o"], table, f"{root}/{checkpoint}")
+    land = lambda rows: spark.createDataFrame(rows, shape).write.mode("append").parquet(f"{root}/landing")
+    state = lambda: {r.k: (r.o, r.v) for r in table.read().collect()}
+    land([(f"k{i}", 1, "a") for i in range(60)] + [(None, 1, "a"), ("k1", 2, "later"), ("k2", 0, "earlier")])
+    run()
+    assert len(state()) == 61 and state()["k1"] == (2, "later") and state()["k2"] == (1, "a") and table.read().count() == 61
+    first = table.log.head()["tables"]["latest"]["buckets"]
+    land([("k1", 1, "late"), (None, 5, "null"), ("new", 1, "n")])
+    run()
+    run()                                                    # nothing new: no commit
+    second = table.log.head()
+    assert state() | {"k1": (2, "later"), None: (5, "null"), "new": (1, "n")} == state() and len(state()) == 62
+    assert second["number"] == 2 and 0 < sum(first.get(b) != v for b, v in second["tables"]["latest"]["buckets"].items()) <= 3
+    # a stream that died after its commit and before its own record runs the epoch again
+    died = [n for n in os.listdir(f"{root}/c/commits") if n.strip(".").split(".")[0] == "1"]
+    assert died
+    for name in died:
+        os.remove(f"{root}/c/commits/{name}")
+    run()
+    assert table.log.head() == second
+    assert table.read().count() == 62
 
 
 def test_assign_ids_with_null_keys_and_many_ranges(spark):
