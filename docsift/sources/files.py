@@ -3,6 +3,11 @@ CSV hand-over format with quoted multi-line text."""
 
 from __future__ import annotations
 
+import re
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +55,46 @@ def read_markdown(spark: SparkSession, path: str, suffix: str | None = None) ->
                      F.col("value").alias("text"))
 
 
+def file_store(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a shared folder as a task writes to it, and the folder's path there."""
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))    # Hadoop's names of the S3 scheme
+
+
+def write_texts(df: DataFrame, path: str, key: str, text_col: str) -> None:
+    """One whole-text file ``<key>=<value>.txt`` per key below ``path``, each
+    text ended by a newline; texts of one key follow each other in its file.
+
+    A key's rows meet in one task, in key order, and the task writes the files
+    of its keys straight to the shared folder, into a folder of its partition:
+    no job-end step moves file after file, and no reader lists a folder per key.
+    A task that runs again writes the same files again.
+    """
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        store, base = file_store(path)
+        folder = f"{base}/part-{TaskContext.get().partitionId():05d}"
+        store.create_dir(folder, recursive=True)
+        at, out, n = None, None, 0
+        for b in batches:
+            for name, text in zip(b.column(0).to_pylist(), b.column(1)):
+                if name != at:
+                    if out is not None:
+                        out.close()
+                    at, out, n = name, store.open_output_stream(f"{folder}/{key}={quote(name, safe='')}.txt"), n + 1
+                out.write((text.as_py() or "").encode("utf-8") + b"\n")
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["files"])
+
+    # a missing key is named as a partition folder of Spark's would be
+    named = df.select(F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("name"), F.col(text_col).alias("text"))
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = named.repartition(width, "name").sortWithinPartitions("name")
+    rows.mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
 def write_chunks_csv(df: DataFrame, path: str) -> None:
     """CSV with header, every field quoted, quotes doubled (vector columns
     must be text-encoded first, see functions.vectors.format_vector_text)."""
