@@ -30,13 +30,14 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from docsift.llm.common import packed
 
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 500_000
 CACHE = 400_000
 LONG = 250                                       # bytes; offsets in a piece fit eight bits
 NONE = 1 << 30                                   # rank of a pair that never merges
@@ -314,15 +315,16 @@ def decode_lists(lists: pa.ListArray, vocab: Vocabulary) -> pa.Array:
     return pa.array([flat[a:b] for a, b in zip(edge[:-1], edge[1:])], pa.binary())
 
 
-def _blocks(texts: list) -> list[tuple[int, int]]:
+def _blocks(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows whose texts come to about ``BLOCK_CHARS`` bytes, or hold one longer text."""
     cuts, begin, held = [], 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
+    for i, n in enumerate(sizes.tolist()):
+        held += n
         if held >= BLOCK_CHARS:
             cuts.append((begin, i + 1))
             begin, held = i + 1, 0
-    if begin < len(texts):
-        cuts.append((begin, len(texts)))
+    if begin < len(sizes):
+        cuts.append((begin, len(sizes)))
     return cuts
 
 
@@ -330,22 +332,28 @@ def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``df`` (its ``keep`` columns; all when None) plus ``ids`` array<int>."""
-    kept = [c for c in (df.columns if keep is None else keep) if c != "ids"]
+def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
+    """``df`` (its ``keep`` columns; all when None) plus ``ids`` array<int>;
+    with ``decoded`` also the bytes that :func:`decode` reads back from the
+    ids, in the same step, so that a core runs one Python worker, not two."""
+    kept = [c for c in (df.columns if keep is None else keep) if c not in ("ids", *(["decoded"] if decoded else []))]
     source = df.select(*kept, df[text_col].alias("_text"))
     schema = _with(df.select(*kept), "ids", T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = schema.add("decoded", T.BinaryType())
 
     def run(batches):
         vocab, arrow = vocabulary(path, pattern), packed(schema)
         for b in batches:
-            texts = [x if x is not None else "" for x in b.column(len(kept)).to_pylist()]
-            for lo, hi in _blocks(texts):
-                rows = encode_texts(texts[lo:hi], vocab)
+            column = b.column(len(kept))
+            for lo, hi in _blocks(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
+                # one block of texts at a time is held as Python strings
+                rows = encode_texts([x or "" for x in column.slice(lo, hi - lo).to_pylist()], vocab)
                 off = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(rows).astype(np.int32)))
                 part = [b.column(i).slice(lo, hi - lo).cast(arrow.field(i).type) for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays([*part, ids.cast(arrow.field(len(kept)).type)], schema=arrow)
+                back = [decode_lists(ids, vocab)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*part, ids.cast(arrow.field(len(kept)).type), *back], schema=arrow)
 
     return source.mapInArrow(run, schema)
 

@@ -140,12 +140,10 @@ def op9(spark, sf):
     """Byte-level BPE ids of every document and their decoding."""
     import public_tokenizers
 
-    from docsift.llm.bpe import decode, encode
+    from docsift.llm.bpe import encode
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    docs = load(spark, sf, "documents")
-    coded = encode(docs, path, pattern, keep=["doc_id"])
-    back = decode(coded.select("doc_id", "ids"), path, pattern)
+    back = encode(load(spark, sf, "documents"), path, pattern, keep=["doc_id"], decoded=True)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
