@@ -41,3 +41,24 @@ def test_embedder_input_is_cut_to_max_tokens(spark):
     df = spark.createDataFrame([(1, " ".join(["w"] * 10)), (2, "a  b")], "id long, t string")
     got = {r.id: (r.v[0], r.t) for r in embed_chunks(df, Seen(), "t", out_col="v", max_tokens=4).collect()}
     assert got[1] == (4.0, " ".join(["w"] * 10)) and got[2] == (2.0, "a  b")  # rows keep their text
+
+
+def test_a_batch_is_counted_in_slices_without_a_second_copy():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from docsift.functions.vectors import _count_vector_udf
+
+    rng = np.random.default_rng(5)
+    rows = [None if i % 50 == 7 else rng.integers(0, 256, size=i % 90).tolist() for i in range(8000)]
+    dims = pa.array([[0], *rows], type=pa.list_(pa.int32())).slice(1)
+    tracemalloc.start()
+    got = _count_vector_udf(256).func(dims)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.stack([np.bincount(np.asarray(r or [], dtype=np.int64), minlength=256) for r in rows])
+    assert np.array_equal(got.values.to_numpy().reshape(-1, 256), want) and len(got) == 8000 and got.null_count == 0
+    assert peak < 2 * 8000 * 256 * 4  # the batch's own vectors; counts of 8 bytes and their copy made three times as many
+    assert len(_count_vector_udf(256).func(dims.slice(0, 0))) == 0
