@@ -1,18 +1,21 @@
-"""Katz backoff bigram model over the words of a corpus, and scores of texts.
+"""Katz backoff model of any order over the words of a corpus, and scores of texts.
 
 Tokens are the words of the whole text (A-Z lower-cased, split at \\x20 and
 \\x09-\\x0D) and one end token.  The probability of a token is evaluated
-recursively: a bigram seen in training has its Good-Turing discounted share of
-its history; any other token gets the history's backoff weight times the next
-lower order, the Good-Turing discounted unigram share; a word unknown to the
-training texts gets the unigrams' left-over mass.  Backoff weights are
+recursively: an n-gram seen in training has its Good-Turing discounted share of
+its history; any other token gets the history's backoff weight times its
+probability after the history without the oldest word, down to the Good-Turing
+discounted unigram share; a word unknown to the training texts gets the
+unigrams' left-over mass.  Backoff weights are
 normalised exactly: over all known words and the unknown one, every history's
 probabilities add up to 1.
 
-Histories: the start of a text and every training word.  No model table is
-broadcast: unigram and bigram counts are partitioned by a hash of the
-predicted word, the histories' totals, follower mass and backoff weights by a
-hash of the history.
+Histories: the start of a text, every training word and every longer run of
+training words below the order (a run that reaches the start begins with it).
+No model table is broadcast: unigram and bigram counts are partitioned by a
+hash of the predicted word, the one-word histories' totals, follower mass and
+backoff weights by a hash of the history; so are the longer histories with all
+their followers.
 
 :func:`score_corpus` learns and scores in one go; :func:`train` leaves the
 tables (``Model``) at a path, :func:`open_model` reads them in any later
@@ -25,11 +28,15 @@ them up, writes the model's tables (bigrams, if they are to be kept, and its sha
 sums, one row per history bucket) and answers every block with its counts in
 request order.  A history bucket adds up its histories' sums and answers every
 block with the backoff weights of the block's words.  A block's tokens are
-then scored from the answers.  Texts that come later ask the stored tables in
+then scored from the answers.  Every further order is one more round: with the
+answers of the order below a block sends its distinct n-grams to the bucket of
+their history, with their counts one order below; the bucket answers with counts and
+the histories' sums.  A training text's n-grams are all seen, so only tokens of
+other texts carry a lower order's probability on.  Texts that come later ask the stored tables in
 the same way.  Each pair crosses the network once per block,
 so neither a frequent word nor a frequent pair makes a hot task.
 
-Words are told apart by 64-bit hashes.  Defined results: a null or empty text
+Words and histories are told apart by 64-bit hashes.  Defined results: a null or empty text
 is the end token alone; a null id counts as the empty string in the split;
 repeated rows are scored (and learned) row by row; without training texts
 every probability is 1 (score 0); a discount that Good-Turing leaves undefined
@@ -308,32 +315,259 @@ def _log10(d: np.ndarray, base, backoff, r, unigram) -> np.ndarray:
     return np.log10(np.where(r > 0, seen, backoff * unigram))
 
 
-def _scored(blocks: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
-    buckets, n, types, share, d = model.buckets, model.n, model.types, model.share, model.d
+class State(NamedTuple):
+    """What a block knows of an order, per token and (``known``, ``plain``) per text."""
+
+    count: np.ndarray                       # of the token's n-gram in training
+    base: np.ndarray                        # of its history
+    log: np.ndarray                         # log10 probability
+    known: np.ndarray                       # tokens the model knows
+    plain: np.ndarray                       # unigram base score
+
+
+def _sums(x: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(x, np.concatenate([[0], np.cumsum(lens)[:-1]]))
+
+
+def _pair_state(r: dict, answer: list[dict], model: Model) -> State:
+    """Order two, from the answers of the words' and the histories' buckets."""
+    lens = np.array(r["lens"])
+    counted, weighed = [x for x in answer if x["kind"] == 0], [x for x in answer if x["kind"] == 3]
+    key, _, words = _pairs(np.array(r["words"], np.int64).view(np.uint64), lens, _unpack(r["tokens"], np.uint32), model.buckets)
+    pair, number = np.unique(key, return_inverse=True)
+    count = np.concatenate([_unpack(x["a"], np.uint64) for x in counted]).astype(np.int64)
+    word = np.concatenate([_unpack(x["b"], np.uint64) for x in counted]).astype(np.int64)
+    history = np.concatenate([_unpack(x["a"], np.uint64) for x in weighed]).astype(np.int64)
+    backoff = np.concatenate([np.frombuffer(x["b"], np.float64) for x in weighed])
+    if len(count) != len(pair) or not len(word) == len(history) == len(words):
+        raise RuntimeError("a block's answers are not complete")
+    w, h = pair // len(words), pair % len(words)
+    log = _log10(model.d, history[h], backoff[h], count, model.share.of(word[w]))
+    plain = np.log10((word + 1) / (model.n + model.types + 1))
+    at = w[number]
+    return State(count[number], history[h][number], log[number], _sums((word > 0).astype(np.int64)[at], lens), _sums(plain[at], lens))
+
+
+def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a history that goes on with a word."""
+    x = history * np.uint64(0x9E3779B97F4A7C15) + word
+    for by in (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(by)
+    return x ^ (x >> np.uint64(29))
+
+
+class Grams(NamedTuple):
+    """A block's n-grams with histories of some length, by the history's hash and the word's."""
+
+    number: np.ndarray                      # of every token's n-gram
+    history: np.ndarray                     # per n-gram, a place among ``hists``
+    word: np.ndarray                        # per n-gram, a place among ``words``
+    hists: np.ndarray                       # hashes, ascending
+    words: np.ndarray
+
+
+def _grams(words: np.ndarray, lens: np.ndarray, tokens: np.ndarray, length: int) -> Grams:
+    starts, wide = np.concatenate([[0], np.cumsum(lens)[:-1]]), len(words)
+    tokens = tokens.astype(np.int64)
+    number, names = tokens, words
+    for k in range(length):
+        if k:
+            pair, number = np.unique(before * wide + tokens, return_inverse=True)
+            names = _mixed(names[pair // wide], words[pair % wide])
+        # a token's history is the n-gram that ends before it
+        before = np.empty(len(tokens), np.int64)
+        before[1:] = number[:-1]
+        before[starts] = len(names)
+        names = np.append(names, np.uint64(START))
+    # only those that a token follows: the last n-gram of a text is nobody's history
+    used = np.flatnonzero(np.bincount(before, minlength=len(names)))
+    used = used[np.argsort(names[used], kind="stable")]
+    place = np.zeros(len(names), np.int64)
+    place[used] = np.arange(len(used))
+    order = np.argsort(words, kind="stable")
+    rank = np.empty(wide, np.int64)
+    rank[order] = np.arange(wide)
+    gram, number = np.unique(place[before] * wide + rank[tokens], return_inverse=True)
+    return Grams(number, gram // wide, gram % wide, names[used], words[order])
+
+
+def _block_grams(r: dict, length: int) -> Grams:
+    return _grams(np.array(r["words"], np.int64).view(np.uint64), np.array(r["lens"]), _unpack(r["tokens"], np.uint32), length)
+
+
+def _own(r: dict, learn: bool) -> np.ndarray:
+    """Which tokens the model has learned from, so that all their n-grams are seen."""
+    return np.repeat(~np.array(r["held"], bool) & learn, np.array(r["lens"]))
+
+
+def _state(r: dict, answer: list[dict], model: Model, length: int, learn: bool) -> State:
+    """The order with histories of ``length`` tokens, from a round's answers."""
+    answer = sorted(answer, key=lambda x: (x["kind"], x["bucket"]))
+    if length == 1:
+        return _pair_state(r, answer, model)
+    (lower,) = (x for x in answer if x["kind"] == 4)
+    rows = [x for x in answer if x["kind"] == 0]
+    grams, own, d = _block_grams(r, length), _own(r, learn), model.higher[length - 2]
+    count = np.concatenate([_unpack(x["a"], np.uint64) for x in rows]).astype(np.int64)
+    total = np.concatenate([_unpack(x["b"], np.uint64) for x in rows]).astype(np.int64)
+    kinds = np.concatenate([_unpack(x["per"], np.uint8) for x in rows])
+    if len(count) != len(grams.word) or not len(total) == len(kinds) == len(grams.hists):
+        raise RuntimeError("a block's answers are not complete")
+    # a history gives up mass if a count that is discounted occurs after it, else one count
+    gives = (kinds & np.uint8(sum(1 << r for r in range(1, KATZ + 1) if d[r] < 1))) > 0
+    base = np.where(gives, total, total + 1)
+    h = grams.history
+    known = np.log10(d[np.minimum(count, KATZ) * (count <= KATZ)] * np.maximum(count, 1) / base[h])
+    log, count, base = known[grams.number], count[grams.number], base[h][grams.number]
+    others = np.flatnonzero(~own)
+    if len(others):
+        left, mass = np.ones(len(total)), np.zeros(len(total))
+        asked = np.unique(h[grams.number[others]])
+        n = np.concatenate([_unpack(x["words"], np.uint32).reshape(KATZ, -1) for x in rows], axis=1)
+        left[asked] = np.where(gives[asked], ((1 - d[1:])[:, None] * np.arange(1, KATZ + 1)[:, None] * n).sum(axis=0), 1)
+        mass[asked] = np.concatenate([np.frombuffer(x["c"], np.float64) for x in rows])
+        unseen = count[others] == 0
+        at = h[grams.number[others[unseen]]]
+        below = np.frombuffer(lower["a"], np.float64)[unseen]
+        shorter = _unpack(lower["b"], np.uint64)[unseen]
+        backoff = left[at] / base[others[unseen]] / np.maximum(1 - mass[at] / np.maximum(shorter, 1), 1e-300)
+        log[others[unseen]] = below + np.log10(np.where(total[at] > 0, backoff, 1.0))
+    return State(count, base, log, _unpack(lower["per"], np.int64), np.frombuffer(lower["c"], np.float64))
+
+
+_ASKED = ("bucket int, block long, hists binary, per binary, words binary, follow binary, counts binary, lower binary, asked binary, "
+          "logs binary, bases binary")
+
+
+def _asked(blocks: DataFrame, answers: DataFrame, model: Model, length: int, learn: bool) -> DataFrame:
+    """Requests of the round for histories of ``length`` tokens, with the answers of the round
+    before.  A block's state goes with them (a row without histories): its bucket hands it on."""
+    buckets = model.buckets
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        answer = sorted(right.to_pylist(), key=lambda r: r["bucket"])
-        counted, weighed = [x for x in answer if x["kind"] == 0], [x for x in answer if x["kind"] == 3]
+        out, answer = [], right.to_pylist()
+        for r in left.to_pylist():
+            state = _state(r, answer, model, length - 1, learn)
+            grams, own = _block_grams(r, length), _own(r, learn)
+            counts = np.bincount(grams.number[own], minlength=len(grams.word))
+            lower = np.zeros(len(grams.word), np.int64)
+            lower[grams.number] = state.count
+            asked = np.zeros(len(grams.hists), np.uint8)
+            asked[grams.history[grams.number[~own]]] = 1
+            per = np.bincount(grams.history, minlength=len(grams.hists))
+            edge = np.searchsorted(_bucket(grams.hists, buckets), np.arange(buckets + 1))
+            cuts = np.searchsorted(grams.history, edge)
+            for k in np.flatnonzero(np.diff(edge)).tolist():
+                h, p = slice(edge[k], edge[k + 1]), slice(cuts[k], cuts[k + 1])
+                used, number = np.unique(grams.word[p], return_inverse=True)
+                out.append({"bucket": k, "block": r["block"], "hists": _pack_sorted(grams.hists[h]), "per": _pack(per[h].astype(np.uint32)),
+                            "words": _pack_sorted(grams.words[used]), "follow": _pack(number.astype(np.uint32)),
+                            "counts": _pack(counts[p].astype(np.uint32)), "lower": _pack(np.where(counts[p] > 0, lower[p], 0).astype(np.uint64)),
+                            "asked": _pack(asked[h])})
+            out.append({"bucket": r["block"] % buckets, "block": r["block"], "per": _pack(state.known.astype(np.int64)), "lower": state.plain.tobytes(),
+                        "logs": state.log[~own].tobytes(), "bases": _pack(state.base[~own].astype(np.uint64))})
+        return pa.Table.from_pylist(out, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int64()),
+                                                           *((c.split()[0], pa.binary()) for c in _ASKED.split(", ")[2:])]))
+
+    return blocks.select("block", "lens", "held", "words", "tokens").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, _ASKED)
+
+
+def _answer(r: dict, total: np.ndarray, sums: np.ndarray, n: np.ndarray, mass: np.ndarray) -> dict:
+    """One request's answer: its n-grams' counts, its histories' totals and which small counts
+    follow them, and of the histories that other texts ask for how many, and the followers' mass."""
+    kinds = ((n > 0) << np.arange(1, KATZ + 1)[:, None]).sum(axis=0).astype(np.uint8)
+    asked = _unpack(r["asked"], np.uint8) > 0
+    return {"kind": 0, "bucket": r["bucket"], "block": r["block"], "a": _pack(total.astype(np.uint64)), "b": _pack(sums.astype(np.uint64)),
+            "per": _pack(kinds), "words": _pack(np.ascontiguousarray(n[:, asked]).astype(np.uint32).reshape(-1)), "c": mass[asked].tobytes()}
+
+
+def _handed_on(rows: list[dict]) -> tuple[list[dict], list[dict]]:
+    """The requests, and the blocks' states as answers."""
+    states = [{"kind": 4, "bucket": r["bucket"], "block": r["block"], "a": r["logs"], "b": r["bases"], "per": r["per"], "c": r["lower"]}
+              for r in rows if r["hists"] is None]
+    return [r for r in rows if r["hists"] is not None], states
+
+
+def _followers(h: np.ndarray, t: np.ndarray, hists: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per history: its training tokens, and its numbers of followers with counts 1..5."""
+    return (np.bincount(h, weights=t, minlength=hists).astype(np.int64),
+            np.stack([np.bincount(h[t == r], minlength=hists) for r in range(1, KATZ + 1)]))
+
+
+def _summed(requests: DataFrame, d: np.ndarray, keep: bool) -> DataFrame:
+    """Per history bucket: the answers, the blocks' states, and the numbers of n-grams with counts
+    1..6 (with ``keep``, the n-grams too).  ``d``: the discounts one order below."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows, out = _handed_on(table.to_pylist())
+        if not rows:
+            return pa.Table.from_pylist(out, schema=_schema())
+        asked = [_unpack_sorted(r["hists"]) for r in rows]
+        hists, at = np.unique(np.concatenate(asked), return_inverse=True)
+        words = [_unpack_sorted(r["words"]) for r in rows]
+        names, of = np.unique(np.concatenate(words), return_inverse=True)
+        n_hists, n_words = np.cumsum([0, *map(len, asked)]), np.cumsum([0, *map(len, words)])
+        follow = [_unpack(r["follow"], np.uint32) for r in rows]
+        n_grams = np.cumsum([0, *map(len, follow)])
+        word = np.concatenate([of[lo + f] for lo, f in zip(n_words, follow)])
+        history = np.repeat(at, np.concatenate([_unpack(r["per"], np.uint32) for r in rows]))
+        key, back = np.unique(history * len(names) + word, return_inverse=True)
+        counts = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows])
+        total = np.bincount(back, weights=counts, minlength=len(key)).astype(np.int64)
+        lower = np.zeros(len(key), np.int64)
+        below = np.concatenate([_unpack(r["lower"], np.uint64) for r in rows]).astype(np.int64)
+        lower[back[below > 0]] = below[below > 0]                       # one figure for all blocks that learn from the n-gram
+        seen = total > 0
+        h, t, c = key[seen] // len(names), total[seen], lower[seen]
+        sums, n = _followers(h, t, len(hists))
+        mass = np.bincount(h, weights=d[np.minimum(c, KATZ) * (c <= KATZ)] * c, minlength=len(hists))
+        for i, r in enumerate(rows):
+            own = at[n_hists[i]:n_hists[i + 1]]
+            out.append(_answer(r, total[back[n_grams[i]:n_grams[i + 1]]], sums[own], n[:, own], mass[own]))
+        table = {"hists": _pack_sorted(hists), "per": _pack(np.bincount(h, minlength=len(hists)).astype(np.uint32)), "words": _pack_sorted(names),
+                 "a": _pack((key[seen] % len(names)).astype(np.uint32)), "b": _pack(t.astype(np.uint64)), "c": mass.tobytes()} if keep else {}
+        out.append({"kind": 1, "bucket": rows[0]["bucket"], "n": np.bincount(np.minimum(t, KATZ + 2), minlength=KATZ + 3)[1:KATZ + 2].tolist(), **table})
+        return pa.Table.from_pylist(out, schema=_schema())
+
+    return requests.groupBy("bucket").applyInArrow(run, _ANSWER)
+
+
+def _looked_up(requests: DataFrame, tables: DataFrame) -> DataFrame:
+    """The answers of a stored model's history buckets."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, out = _handed_on(left.to_pylist())
+        hists, names, h, key, total, mass = (np.zeros(0, k) for k in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.float64))
+        for r in right.to_pylist():                                     # one row a bucket
+            hists, names, mass = _unpack_sorted(r["hists"]), _unpack_sorted(r["words"]), np.frombuffer(r["c"], np.float64)
+            h, total = np.repeat(np.arange(len(hists)), _unpack(r["per"], np.uint32)), _unpack(r["b"], np.uint64).astype(np.int64)
+            key = h * max(1, len(names)) + _unpack(r["a"], np.uint32)       # ascending, as it was written
+        sums, n = _followers(h, total, len(hists))
+        for r in rows:
+            at, known = _places(hists, _unpack_sorted(r["hists"]))
+            of, known_word = _places(names, _unpack_sorted(r["words"]))
+            follow, history = _unpack(r["follow"], np.uint32), np.repeat(np.arange(len(at)), _unpack(r["per"], np.uint32))
+            place, found = _places(key, at[history] * max(1, len(names)) + of[follow])
+            found &= known[history] & known_word[follow]
+            out.append(_answer(r, _taken(total, place, found), _taken(sums, at, known), np.stack([_taken(x, at, known) for x in n]),
+                               _taken(mass, at, known)))
+        return pa.Table.from_pylist(out, schema=_schema())
+
+    return requests.groupBy("bucket").cogroup(tables.groupBy("bucket")).applyInArrow(run, _ANSWER)
+
+
+def _scored(blocks: DataFrame, answers: DataFrame, model: Model, learn: bool) -> DataFrame:
+    length = model.order - 1
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, answer = [], right.to_pylist()
         for r in left.to_pylist():
             lens = np.array(r["lens"])
-            tokens = _unpack(r["tokens"], np.uint32)
-            key, _, words = _pairs(np.array(r["words"], np.int64).view(np.uint64), lens, tokens, buckets)
-            pair = np.unique(key)
-            count = np.concatenate([_unpack(x["a"], np.uint64) for x in counted]).astype(np.int64)
-            word = np.concatenate([_unpack(x["b"], np.uint64) for x in counted]).astype(np.int64)
-            history = np.concatenate([_unpack(x["a"], np.uint64) for x in weighed]).astype(np.int64)
-            backoff = np.concatenate([np.frombuffer(x["b"], np.float64) for x in weighed])
-            if len(count) != len(pair) or not len(word) == len(history) == len(words):
-                raise RuntimeError("a block's answers are not complete")
-            seen, c, h = count[np.searchsorted(pair, key)], word[key // len(words)], key % len(words)
-            score = _log10(d, history[h], backoff[h], seen, share.of(c))
-            base = np.log10((c + 1) / (n + types + 1))
-            first = np.concatenate([[0], np.cumsum(lens)[:-1]])
+            state = _state(r, answer, model, length, learn)
             out.append(pa.table({
                 "doc_id": pa.array(r["doc_ids"], pa.int64()), "held_out": pa.array(r["held"], pa.bool_()), "n_tokens": pa.array(lens.astype(np.int64)),
-                "n_known": np.add.reduceat((c > 0).astype(np.int64), first), "train_tokens": np.full(len(lens), n, np.int64),
-                "base_score": np.add.reduceat(base, first), "score": np.add.reduceat(score, first)}))
+                "n_known": state.known, "train_tokens": np.full(len(lens), model.n, np.int64),
+                "base_score": state.plain, "score": _sums(state.log, lens)}))
         return pa.concat_tables(out)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
@@ -348,25 +582,40 @@ def _unigrams(blocks: DataFrame) -> tuple[int, list[int]]:
     return int(row[0] or 0), [int(x) for x in row[1:]]
 
 
-def _learned(blocks: DataFrame, path: str, keep: bool) -> Model:
+def _learned(blocks: DataFrame, path: str, keep: bool, order: int) -> Model:
     """The model of the blocks' training texts, its tables (and the blocks' own answers) at ``path``;
-    without ``keep`` no bigram table, which the blocks' own scores do not read."""
+    without ``keep`` no n-gram tables, which the blocks' own scores do not read."""
     spark = blocks.sparkSession
+    if order < 2:
+        raise ValueError("the order must be 2 or more")
     n, kinds = _unigrams(blocks)
-    buckets = 2 * shuffle_width(spark)
-    _counted(_requests(blocks, buckets), buckets, Unigram(n, kinds[1:]), keep).write.partitionBy("kind").parquet(f"{path}/tables")
-    # the numbers of bigrams with counts 1..6: one row
-    row = _tables(spark, path).where("kind = 1").agg(*(F.sum(F.col("n")[r]) for r in range(KATZ + 1))).first()
-    numbers = spark.createDataFrame([(buckets, n, kinds, [int(x or 0) for x in row])], _NUMBERS)
-    numbers.coalesce(1).write.parquet(f"{path}/numbers")
+    buckets, share = 2 * shuffle_width(spark), Unigram(n, kinds[1:])
+    _counted(_requests(blocks, buckets), buckets, share, keep).write.partitionBy("kind").parquet(_level(path, 1))
+    numbers = [_numbers_of(spark, path, 1)]
+    for length in range(2, order):
+        model = _model(path, buckets, n, kinds, numbers)
+        requests = _asked(blocks, _answers(_tables(spark, path, length - 1), model), model, length, True)
+        _summed(requests, [model.d, *model.higher][-1], keep).write.partitionBy("kind").parquet(_level(path, length))
+        numbers.append(_numbers_of(spark, path, length))
+    spark.createDataFrame([(buckets, n, kinds, numbers)], _NUMBERS).coalesce(1).write.parquet(f"{path}/numbers")
     return open_model(spark, path)
 
 
-def _tables(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_ANSWER).parquet(f"{path}/tables")
+def _numbers_of(spark: SparkSession, path: str, length: int) -> list[int]:
+    """The numbers of n-grams with counts 1..6: one row."""
+    row = _tables(spark, path, length).where("kind = 1").agg(*(F.sum(F.col("n")[r]) for r in range(KATZ + 1))).first()
+    return [int(x or 0) for x in row]
+
+
+def _level(path: str, length: int) -> str:
+    return f"{path}/tables" if length == 1 else f"{path}/tables-{length}"
+
 
+def _tables(spark: SparkSession, path: str, length: int) -> DataFrame:
+    return spark.read.schema(_ANSWER).parquet(_level(path, length))
 
-_NUMBERS = "buckets int, n long, words array<long>, bigrams array<long>"
+
+_NUMBERS = "buckets int, n long, words array<long>, grams array<array<long>>"
 
 
 class Model(NamedTuple):
@@ -377,37 +626,50 @@ class Model(NamedTuple):
     n: int                                  # training tokens
     types: int
     share: Unigram
-    d: np.ndarray
+    d: np.ndarray                           # discounts of bigrams
+    higher: list[np.ndarray]                # and of longer n-grams
+
+    @property
+    def order(self) -> int:
+        return 2 + len(self.higher)
+
+
+def _model(path: str, buckets: int, n: int, words: list[int], grams: list[list[int]]) -> Model:
+    return Model(path, buckets, n, words[0], Unigram(n, words[1:]), discounts(grams[0]), [discounts(g) for g in grams[1:]])
 
 
 def open_model(spark: SparkSession, path: str) -> Model:
     """The model that :func:`train` left at ``path``."""
     row = spark.read.schema(_NUMBERS).parquet(f"{path}/numbers").first()
-    return Model(path, row["buckets"], row["n"], row["words"][0], Unigram(row["n"], row["words"][1:]), discounts(row["bigrams"]))
+    return _model(path, row["buckets"], row["n"], row["words"], row["grams"])
 
 
-def train(docs: DataFrame, path: str) -> Model:
+def train(docs: DataFrame, path: str, order: int = 2) -> Model:
     """Learn from the training part of ``docs``; ``path`` must be new and shared."""
-    return _learned(cut(_blocks(docs), "lm-blocks"), path, True)
+    return _learned(cut(_blocks(docs), "lm-blocks"), path, True, order)
 
 
-def score_corpus(docs: DataFrame) -> DataFrame:
+def score_corpus(docs: DataFrame, order: int = 2) -> DataFrame:
     """Learn from the training part of ``docs`` and score every text."""
+    spark = docs.sparkSession
     blocks = cut(_blocks(docs), "lm-blocks")
-    model = _learned(blocks, scratch_path(docs.sparkSession, "lm-model"), False)
-    return _answered(blocks, _tables(docs.sparkSession, model.path), model)
+    model = _learned(blocks, scratch_path(spark, "lm-model"), False, order)
+    return _scored(blocks, _answers(_tables(spark, model.path, order - 1), model, order - 1), model, True)
 
 
-def _answered(blocks: DataFrame, found: DataFrame, model: Model) -> DataFrame:
-    answers = found.where("kind = 0").select("kind", "block", "bucket", "a", "b").unionByName(_weights(found, model.d))
-    return _scored(blocks, answers, model)
+def _answers(found: DataFrame, model: Model, length: int = 0) -> DataFrame:
+    """The blocks' answers of a round (``length`` 0: of the last round so far)."""
+    if (length or model.order - 1) > 1:
+        return found.where("kind IN (0, 4)").select("kind", "block", "bucket", "words", "per", "a", "b", "c")
+    return found.where("kind = 0").select("kind", "block", "bucket", "a", "b").unionByName(_weights(found, model.d))
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """Scores of any texts, the columns of :func:`score_corpus`, from a stored model.
     (``held_out`` is the rule's answer for the id, whatever the model learned from.)"""
+    spark = docs.sparkSession
     blocks = cut(_blocks(docs), "lm-blocks")
-    tables = _tables(docs.sparkSession, model.path)
+    tables = _tables(spark, model.path, 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names, hists, total, unigram, key = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
@@ -432,7 +694,11 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
     asked = _requests(blocks, model.buckets)
     answers = cut(asked.groupBy("bucket").cogroup(tables.where("kind = 1").groupBy("bucket")).applyInArrow(run, _ANSWER), "lm-answers")
-    return _answered(blocks, answers.unionByName(tables.where("kind = 2")), model)
+    answers = _answers(answers.unionByName(tables.where("kind = 2")), model, 1)
+    for length in range(2, model.order):
+        stored = _tables(spark, model.path, length).where("kind = 1")
+        answers = cut(_looked_up(_asked(blocks, answers, model, length, False), stored), "lm-answers")
+    return _scored(blocks, answers, model, False)
 
 
 def _places(of: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -110,10 +110,10 @@ def op5(spark, sf):
 
 @register("op7_katz_lm")
 def op7(spark, sf):
-    """Katz backoff and unigram scores of all documents."""
+    """Katz backoff (order three) and unigram scores of all documents."""
     from docsift.llm.katz_lm import score_corpus
 
-    return score_corpus(load(spark, sf, "documents"))
+    return score_corpus(load(spark, sf, "documents"), order=3)
 
 
 @register("op8_warc")

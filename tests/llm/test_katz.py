@@ -116,3 +116,88 @@ def test_empty_tables(spark):
     nothing = katz_lm.train(table(spark, ODD).limit(0), scratch_path(spark, "katz-test"))
     got = katz_lm.score_texts(table(spark, [(1, "any text"), (2, None)]), nothing).collect()
     assert sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["score"]) for r in got) == [(1, 3, 0, 0.0), (2, 1, 0, 0.0)]
+
+
+class PlainOrder(Plain):
+    """Any order: the history of a token is the last ``k`` of the start and the words before it."""
+
+    def __init__(self, rows, order):
+        super().__init__(rows)
+        self.order, self.grams = order, [None, *(defaultdict(Counter) for _ in range(1, order))]
+        for i, t in rows:
+            if not self.held(i):
+                for past, w in self.tokens(t):
+                    for k in range(1, order):
+                        self.grams[k][past[-k:]][w] += 1
+        self.d = [self.d1, *(ratios(Counter(c for f in g.values() for c in f.values())) for g in self.grams[1:])]
+        self.memo = {}
+
+    def tokens(self, t):
+        ws = self.words(t)
+        padded = (("start",), *ws)
+        return [(padded[max(0, i + 2 - self.order):i + 1], w) for i, w in enumerate(ws)]
+
+    def shares(self, past, k):
+        if (past, k) not in self.memo:
+            f = self.grams[k][past]
+            total, left = sum(f.values()), sum((1 - self.d[k][c]) * c for c in f.values() if c <= 5)
+            base, left = (total, left) if left > 0 else (total + 1, 1)
+            self.memo[past, k] = base, left / base / (1 - math.fsum(self.p(past[1 - k:] if k > 1 else (), w, k - 1) for w in f))
+        return self.memo[past, k]
+
+    def p(self, past, w, k):
+        if not k:
+            return self.p1(w)
+        f = self.grams[k].get(past)
+        if not f:
+            return self.p(past[1 - k:] if k > 1 else (), w, k - 1)
+        base, backoff = self.shares(past, k)
+        return self.d[k].get(f[w], 1) * f[w] / base if f.get(w) else backoff * self.p(past[1 - k:] if k > 1 else (), w, k - 1)
+
+    def row(self, i, t):
+        asked = Counter(self.tokens(t))
+        score = sum(n * math.log10(self.p(past, w, self.order - 1)) for (past, w), n in asked.items())
+        return (*super().row(i, t)[:6], score)
+
+
+@pytest.mark.parametrize("order", [3, 4])
+@pytest.mark.parametrize("rows", [ODD + corpus(1, 60, 12, 90), corpus(2, 30, 3_000, 900)], ids=["odd and long", "many words"])
+def test_every_order_is_evaluated_recursively(spark, rows, order):
+    plain = PlainOrder(rows, order)
+    for past in list(plain.grams[order - 1])[:100]:         # normalised after the longest histories too
+        assert abs(math.fsum(plain.p(past, w, order - 1) for w in plain.uni) + plain.p(past, UNKNOWN, order - 1) - 1) < 1e-9
+    same(katz_lm.score_corpus(table(spark, rows), order=order).collect(), [plain.row(*r) for r in rows])
+
+
+def test_a_longer_history_decides(spark):
+    """After "x b" comes c and after "y b" comes d; the last word alone cannot tell."""
+    rows = [(i, f"x b c {i}" if i % 2 else f"y b d {i}") for i in range(60)]
+    asked = [(100, "x b c"), (101, "x b d")]
+    path = scratch_path(spark, "katz-test")
+    katz_lm.train(table(spark, rows), path, order=3)
+    got = {r["doc_id"]: r["score"] for r in katz_lm.score_texts(table(spark, asked), katz_lm.open_model(spark, path)).collect()}
+    assert got[100] > got[101] + 1
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_a_stored_model_of_a_higher_order_scores_other_texts(spark, order):
+    rows = ODD + corpus(3, 80, 30, 120)
+    plain, path = PlainOrder(rows, order), scratch_path(spark, "katz-test")
+    katz_lm.train(table(spark, rows), path, order=order)
+    held = katz_lm.open_model(spark, path)
+    assert held.order == order
+    other = [(i, t) for i, (_, t) in enumerate(corpus(4, 50, 50, 60) + ODD)] + [(900, "nothing of this was ever seen"), (None, "w1 w2 w3 unseen w1 w2")]
+    same(katz_lm.score_texts(table(spark, other), held).collect(), [plain.row(*r) for r in other])
+    same(katz_lm.score_texts(table(spark, rows), held).collect(), [plain.row(*r) for r in rows])
+    nothing = katz_lm.train(table(spark, ODD).limit(0), scratch_path(spark, "katz-test"), order=order)
+    assert [r["score"] for r in katz_lm.score_texts(table(spark, [(1, "any text")]), nothing).collect()] == [0.0]
+    assert katz_lm.score_corpus(table(spark, ODD).limit(0), order=order).count() == 0
+
+
+def test_the_registered_model_has_order_three(spark, tmp_path):
+    from docsift.llm.queries import queries
+
+    rows = ODD[1:] + corpus(5, 60, 12, 90)
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    plain = PlainOrder(rows, 3)
+    same(queries()["op7_katz_lm"](spark, str(tmp_path)).collect(), [plain.row(*r) for r in rows])
