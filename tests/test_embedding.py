@@ -62,3 +62,30 @@ def test_a_batch_is_counted_in_slices_without_a_second_copy():
     assert np.array_equal(got.values.to_numpy().reshape(-1, 256), want) and len(got) == 8000 and got.null_count == 0
     assert peak < 2 * 8000 * 256 * 4  # the batch's own vectors; counts of 8 bytes and their copy made three times as many
     assert len(_count_vector_udf(256).func(dims.slice(0, 0))) == 0
+
+
+def test_tokens_are_split_and_hashed_in_the_batch_like_the_plain_embedder(spark):
+    from pyspark.sql import functions as F
+
+    from docsift.operators.embedding import HashEmbedder, hash_vector
+
+    texts = ["", " \n\t ", "One one ONE", "a\u00a0b\u3000c\x1cd", "É\u0085x 漢字 🙂", "w " * 5000, None, *(f"t{i} t{i % 7}" for i in range(50))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    vectors = df.select("i", "t", hash_vector("t", 32).alias("v"))
+    got = {r["i"]: r["v"] for r in vectors.collect()}
+    want = HashEmbedder(32)([t.lower() if t is not None else None for t in texts])
+    assert [got[i] for i in range(len(texts))] == want.tolist()
+    # strings of the JVM never reach the plan as token arrays
+    plan = vectors.select(F.sum(F.size("v")))._jdf.queryExecution().executedPlan().toString()
+    assert "array_remove" not in plan and "md5" not in plan
+
+
+def test_count_summary_is_exact_and_evaluated_once(spark):
+    from docsift.plans.q_store import vector_stats
+
+    rows = [(1, [0.0, 3.0, 0.0, 5000.0]), (2, []), (3, None), (4, [0.0] * 4), (5, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "i int, values array<float>").repartition(1)
+    out = df.select("i", *vector_stats())
+    got = {r[0]: tuple(r[1:]) for r in out.collect()}
+    assert got == {1: (2, 5003, 25_000_009, 20_006), 2: (0, 0, 0, 0), 3: (None,) * 4, 4: (0, 0, 0, 0), 5: (2, 3, 5, 5)}
+    assert out._jdf.queryExecution().executedPlan().toString().count("count_summary(") <= 2     # one call, shown with its result

@@ -193,3 +193,43 @@ def test_vector_index_checks_metric_and_dimension(spark):
         VectorIndex(spark, root, dim=4, metric="dotproduct")
     with pytest.raises(ValueError):
         VectorIndex(spark, root, dim=0)
+
+
+def test_keys_are_sorted_by_their_hash_first_and_nulls_still_meet(spark):
+    """Keys of long texts that begin alike: both the grouping and the merge join
+    sort by one long; nulls, mixed types and zeros of both signs group as before."""
+    from docsift.operators.store import _null_safe, attach_vectors, last_per_key
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    rows = [("same start " * 5 + str(i % 3), None if i % 2 else "t", i) for i in range(12)] + [(None, None, 100), (None, None, 101)]
+    df = spark.createDataFrame(rows, "k string, l string, o int").withColumn("v", F.col("o").cast("string"))
+    last = last_per_key(df, ["k", "l"], ["o"])
+    assert "xxhash64" in plan(last) and last.columns == ["k", "l", "o", "v"]
+    want = {}
+    for k, l, o in rows:
+        want[k, l] = o
+    assert {(r["k"], r["l"]): r["o"] for r in last.collect()} == want
+    zeros = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "k double, o int")
+    assert [r["o"] for r in last_per_key(zeros, ["k"], ["o"]).collect()] == [2]
+    left, right = last.hint("merge"), last.select(F.col("k").alias("k2"), F.col("l").alias("l2"))
+    met = left.join(right, _null_safe(left, right, [("k", "k2"), ("l", "l2")]))
+    assert "xxhash64" in plan(met) and met.count() == len(want)
+    narrow, wide = spark.createDataFrame([(1,), (None,)], "a int"), spark.createDataFrame([(1,), (None,)], "b long")
+    assert narrow.join(wide, _null_safe(narrow, wide, [("a", "b")])).count() == 2
+    store = spark.createDataFrame([(1, "x", "f", "s"), (2, None, "f", "s")], "ID long, combined_columns string, File_Name string, SEC_Number string")
+    vecs = spark.createDataFrame([("x", [1.0]), (None, [2.0])], "combined_columns string, Embeddings array<float>")
+    for limit in (None, 0, 1 << 20):                        # as before: a null key attaches nothing
+        assert [r["id"] for r in attach_vectors(store, vecs, broadcast_bytes=limit).collect()] == ["1"]
+
+
+def test_a_load_without_running_totals_counts_no_words(spark):
+    from docsift.operators.chunking import chunk_pages, chunk_sections
+
+    docs = spark.createDataFrame([(1, "**a** x y\nz\n\n**b** {w}"), (2, None), (3, "")], "doc_id int, text string")
+    for chunk in (chunk_pages, chunk_sections):
+        cols = ["doc_id", "Chunk_No", "Chunk_Content", "Number_of_Words"]
+        assert chunk(docs, "text", running=False).select(cols).collect() == chunk(docs, "text").select(cols).collect()
+        bare = chunk(docs, "text", running=False).select("doc_id", "Chunk_No", "Chunk_Content")
+        assert "array_remove" not in bare._jdf.queryExecution().executedPlan().toString()
