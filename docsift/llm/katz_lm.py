@@ -12,31 +12,31 @@ probabilities add up to 1.
 
 Histories: the start of a text, every training word and every longer run of
 training words below the order (a run that reaches the start begins with it).
-No model table is broadcast: unigram and bigram counts are partitioned by a
-hash of the predicted word, the one-word histories' totals, follower mass and
-backoff weights by a hash of the history; so are the longer histories with all
-their followers.
+No model table is broadcast: words are partitioned by their hash, n-grams of
+every length by the last word of their history.  An n-gram, its history and all
+shorter ones of both end or go on there alike, so one bucket holds what the
+recursion needs and one round serves every order.
 
 :func:`score_corpus` learns and scores in one go; :func:`train` leaves the
 tables (``Model``) at a path, :func:`open_model` reads them in any later
 session and :func:`score_texts` scores any texts from them.
 
 Execution: texts become blocks of at most ``BLOCK_TOKENS`` tokens plus one
-text, written once with the block's distinct words.  A block sends its
-distinct (word, history) pairs, packed, to the word's bucket; a bucket adds
-them up, writes the model's tables (bigrams, if they are to be kept, and its share of every history's
-sums, one row per history bucket) and answers every block with its counts in
-request order.  A history bucket adds up its histories' sums and answers every
-block with the backoff weights of the block's words.  A block's tokens are
-then scored from the answers.  Every further order is one more round: with the
-answers of the order below a block sends its distinct n-grams to the bucket of
-their history, with their counts one order below; the bucket answers with counts and
-the histories' sums.  A training text's n-grams are all seen, so only tokens of
-other texts carry a lower order's probability on.  Texts that come later ask the stored tables in
-the same way.  Each pair crosses the network once per block,
-so neither a frequent word nor a frequent pair makes a hot task.
-
-Words and histories are told apart by 64-bit hashes.  Defined results: a null or empty text
+text, written once.  A block sends its words to their buckets, which count and
+number them, frequent words first, and answer.  A block then sends its distinct
+n-grams of the full order, as sorted word numbers, to the buckets of their
+histories; a bucket adds them up, counts the shorter ones as their prefixes and
+answers in request order with the n-grams' counts and the sums of their
+histories (of texts it has not learned from, those of every length).  A block's
+tokens are scored from the answers.  Stored tables have the form of requests:
+texts that come later are counted, with zeros, among them.
+
+A word that would fill more than one bucket as a history is dealt out by the
+word before it too.  Its bigrams are counted beside the words they predict, and
+that list goes to each of the word's buckets.  Each n-gram crosses the network
+once per block, so a frequent word, history or n-gram makes no hot task.
+
+Words are told apart by 64-bit hashes.  Defined results: a null or empty text
 is the end token alone; a null id counts as the empty string in the split;
 repeated rows are scored (and learned) row by row; without training texts
 every probability is 1 (score 0); a discount that Good-Turing leaves undefined
@@ -60,20 +60,27 @@ from pyspark.sql import functions as F
 from docsift.llm.common import cut, shuffle_width
 from docsift.session import scratch_path
 
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 KATZ = 5                                   # counts above are not discounted
-END, START = (xxhash.xxh3_64_intdigest(b"", seed=i) for i in (1, 2))
+END = xxhash.xxh3_64_intdigest(b"", seed=1)
+# numbers of no known word: before the start of a text, the start, any word without a count
+BEFORE, START, UNKNOWN, FIRST = 0, 1, 2, 3
 
 
 def _pack(a: np.ndarray) -> bytes:
-    """Byte planes, compressed: counts and word numbers are mostly small."""
-    return zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"", 1)
+    """Numbers from 0 by byte planes, compressed: most are small."""
+    a = np.ascontiguousarray(a, np.uint64)
+    width = (max(1, int(a.max()).bit_length()) + 7) // 8 if len(a) else 0
+    return bytes([width]) + zstandard.compress(a.view(np.uint8).reshape(len(a), 8)[:, :width].T.tobytes(), 1)
 
 
-def _unpack(b: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.decompress(b), np.uint8)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(width, -1).T).reshape(-1).view(kind)
+def _unpack(b: bytes | None) -> np.ndarray:
+    if b is None or not b[0]:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(zstandard.decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :b[0]] = planes.T
+    return out.reshape(-1).view(np.int64)
 
 
 def _pack_sorted(a: np.ndarray) -> bytes:
@@ -81,8 +88,36 @@ def _pack_sorted(a: np.ndarray) -> bytes:
     return _pack(np.diff(a, prepend=np.uint64(0)))
 
 
-def _unpack_sorted(b: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(b, np.uint64), dtype=np.uint64)
+def _unpack_sorted(b: bytes | None) -> np.ndarray:
+    return np.cumsum(_unpack(b).view(np.uint64), dtype=np.uint64)
+
+
+def _pack_rows(cols: list[np.ndarray]) -> bytes:
+    """Columns of rows in ascending order: a value by its distance from the row before, where what stands left of it is the same."""
+    new, parts = np.zeros(len(cols[0]), bool), []
+    new[:1] = True
+    for c in cols:
+        d = np.diff(c, prepend=0)
+        parts.append(_pack(np.where(new, c, d)))
+        new = new | (d != 0)
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def _unpack_rows(b: bytes) -> list[np.ndarray]:
+    cols, at, new = [], 0, None
+    while at < len(b):
+        size = int.from_bytes(b[at:at + 4], "little")
+        c = _unpack(b[at + 4:at + 4 + size]).copy()
+        if new is None:
+            new = np.zeros(len(c), bool)
+            new[:1] = True
+        starts = np.flatnonzero(new)
+        run = np.cumsum(c)
+        c = run - np.repeat(run[starts] - c[starts], np.diff(starts, append=len(c)))
+        new = new | (np.diff(c, prepend=0) != 0)
+        cols.append(c)
+        at += 4 + size
+    return cols
 
 
 def held_out(doc_id) -> bool:
@@ -90,7 +125,7 @@ def held_out(doc_id) -> bool:
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """block, doc_ids, held, lens, words, counts (in training), tokens."""
+    """block, doc_ids, held, lens, words (hashes, the block's most frequent first), counts, tokens (places among the words)."""
 
     def run(batches):
         import uuid
@@ -101,13 +136,14 @@ def _blocks(docs: DataFrame) -> DataFrame:
         def flush():
             hashes = np.fromiter((END if w == b"" else xxhash.xxh3_64_intdigest(w) for w in number), np.uint64, len(number))
             flat = np.concatenate(tokens)
-            train = np.repeat(~np.array(held, bool), lens)
+            counts = np.bincount(flat, minlength=len(number))
+            order = np.argsort(-counts, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
             row = pa.RecordBatch.from_arrays(
                 [pa.array([uuid.uuid4().int & ((1 << 63) - 1)], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([held], pa.list_(pa.bool_())), pa.array([lens], pa.list_(pa.int32())),
-                 pa.array([hashes.view(np.int64)], pa.list_(pa.int64())),
-                 pa.array([np.bincount(flat[train], minlength=len(number)).astype(np.int64)], pa.list_(pa.int64())),
-                 pa.array([_pack(flat)], pa.binary())],
+                 *(pa.array([x], pa.binary()) for x in (hashes[order].tobytes(), _pack(counts[order]), _pack(place[flat])))],
                 names=["block", "doc_ids", "held", "lens", "words", "counts", "tokens"])
             number.clear(), ids.clear(), held.clear(), lens.clear(), tokens.clear()
             return row
@@ -127,7 +163,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             yield flush()
 
     return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).mapInArrow(
-        run, "block long, doc_ids array<long>, held array<boolean>, lens array<int>, words array<long>, counts array<long>, tokens binary")
+        run, "block long, doc_ids array<long>, held array<boolean>, lens array<int>, words binary, counts binary, tokens binary")
 
 
 def _bucket(words: np.ndarray, buckets: int) -> np.ndarray:
@@ -135,139 +171,333 @@ def _bucket(words: np.ndarray, buckets: int) -> np.ndarray:
     return (((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
-def _pairs(words: np.ndarray, lens: np.ndarray, tokens: np.ndarray, buckets: int):
-    """The block's words with START, sorted by hash and so by bucket; their
-    buckets; per token its key ``word * len(words) + history`` of places among
-    them."""
-    words = np.append(words, np.array([START], np.uint64))
-    start = len(words) - 1
-    bucket = _bucket(words, buckets)
-    order = np.argsort(words, kind="stable")
-    place = np.empty(len(words), np.int64)
-    place[order] = np.arange(len(words))
-    context = np.empty(len(tokens), np.int64)
-    context[1:] = place[tokens[:-1]]
-    context[np.cumsum(lens)[:-1]] = place[start]
-    context[0] = place[start]
-    return place[tokens] * len(words) + context, bucket[order], words[order]
-
-
-def _requests(blocks: DataFrame, buckets: int) -> DataFrame:
+def _places(of: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``x`` in the ascending ``of``, and which are there."""
+    at = np.minimum(np.searchsorted(of, x), len(of) - 1)
+    return at, of[at] == x
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for by in (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(by)
+    return x ^ (x >> np.uint64(29))
+
+
+def _frequent(blocks: DataFrame, buckets: int) -> tuple[list[int], list[int]]:
+    """Hashes of the words that would fill more than a bucket, and how many each: at most one word a bucket.  Adding up
+    the blocks in which a word has a bucket's share finds every word that has two buckets' share of all tokens."""
+
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                lens = np.array(r["lens"])
-                key, bucket, words = _pairs(np.array(r["words"], np.int64).view(np.uint64), lens, _unpack(r["tokens"], np.uint32), buckets)
-                train = np.repeat(~np.array(r["held"], bool), lens)
-                both = np.sort(key * 2 + train)
-                first = np.flatnonzero(np.concatenate([[True], (both[1:] >> 1) != (both[:-1] >> 1)]))
-                counts = np.add.reduceat(both & 1, first)
-                pair = both[first] >> 1
-                word, context = pair // len(words), pair % len(words)
-                edge = np.searchsorted(bucket, np.arange(buckets + 1))
-                cuts = np.searchsorted(word, edge)
-                per = np.bincount(word, minlength=len(words))
-                cols = [[], [], [], [], [], [], []]
-                for k in range(buckets):
-                    if edge[k] < edge[k + 1]:
-                        w, p = slice(edge[k], edge[k + 1]), slice(cuts[k], cuts[k + 1])
-                        used, number = np.unique(context[p], return_inverse=True)
-                        for c, v in zip(cols, (k, r["block"], _pack_sorted(words[w]), _pack(per[w].astype(np.uint32)), _pack_sorted(words[used]),
-                                               _pack(number.astype(np.uint32)), _pack(counts[p].astype(np.uint32)))):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[2:])],
-                    names=["bucket", "block", "words", "per", "hists", "context", "counts"])
+                counts = _unpack(r["counts"])
+                often = np.flatnonzero(counts * buckets > counts.sum())
+                words = np.frombuffer(r["words"], np.int64)[often]
+                yield pa.RecordBatch.from_arrays([pa.array([None, *words.tolist()], pa.int64()), pa.array([int(counts.sum()), *counts[often].tolist()], pa.int64())],
+                                                 names=["word", "c"])
 
-    return blocks.select("block", "lens", "held", "words", "tokens").mapInArrow(
-        run, "bucket int, block long, words binary, per binary, hists binary, context binary, counts binary")
+    found = blocks.select("words", "counts").mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    all_tokens = found.where("word IS NULL").select(F.col("c").alias("tokens"))
+    rows = found.where("word IS NOT NULL").crossJoin(F.broadcast(all_tokens)).where(F.col("c") * buckets > F.col("tokens")).orderBy(F.desc("c"), "word").collect()
+    return [r["word"] for r in rows], [min(buckets, -(-r["c"] * buckets // r["tokens"])) for r in rows]
 
 
-_ANSWER = "kind int, bucket int, block long, words binary, per binary, hists binary, a binary, b binary, c binary, n array<long>"
+# kind 0: a block's request or answer about words, 1: a bucket's numbers (and table), 2: a frequent word's followers,
+# 3: a block's request or answer about n-grams
+_ROW = "kind int, bucket int, block long, a binary, b binary, c binary, d binary, e binary, f binary, n array<long>"
+_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in "abcdef"), ("n", pa.list_(pa.int64()))])
 
 
-def _schema() -> pa.Schema:
-    return pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in ("words", "per", "hists", "a", "b", "c")),
-                      ("n", pa.list_(pa.int64()))])
+def _own(r: dict, learn: bool) -> np.ndarray:
+    """Which tokens the model learns from."""
+    return np.repeat(~np.array(r["held"], bool) & learn, np.array(r["lens"]))
+
+
+def _starts(lens: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lens)[:-1]])
 
 
-def _counted(requests: DataFrame, buckets: int, share, keep: bool) -> DataFrame:
-    """Per word bucket: the answers (kind 0: counts of the pairs and of the
-    words, in request order), the bigram table (kind 1; without ``keep`` only its numbers of
-    bigrams with counts 1..6) and the sums per history (kind 2, by history
-    bucket: training tokens, followers with counts 1..6, followers' mass)."""
-    schema = _schema()
+def _words_asked(blocks: DataFrame, model: Model, learn: bool) -> DataFrame:
+    """A block's words to their buckets: hashes (a), the block's places of them (b), counts in training (c), and
+    the pairs that follow a frequent word: word (d, places in a), frequent word (e), count (f)."""
+    buckets, hot = model.buckets, np.array(model.hot, np.int64).view(np.uint64)
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                words, tokens, own = np.frombuffer(r["words"], np.uint64), _unpack(r["tokens"]), _own(r, learn)
+                order = np.argsort(words, kind="stable")
+                counts = np.bincount(tokens[own], minlength=len(words))[order]
+                place = np.empty(len(words), np.int64)
+                place[order] = np.arange(len(words))
+                which = np.full(len(words), -1)
+                at, there = _places(words[order], hot)
+                which[order[at[there]]] = np.flatnonzero(there)
+                before = np.full(len(tokens), -1)
+                before[1:] = which[tokens[:-1]]
+                before[_starts(np.array(r["lens"]))] = -1
+                pairs = np.flatnonzero(own & (before >= 0))
+                pair, often = np.unique(place[tokens[pairs]] * max(1, len(hot)) + before[pairs], return_counts=True)
+                word, after = pair // max(1, len(hot)), pair % max(1, len(hot))
+                words = words[order]
+                edge = np.searchsorted(_bucket(words, buckets), np.arange(buckets + 1))
+                cuts = np.searchsorted(word, edge)
+                out = []
+                for k in np.flatnonzero(np.diff(edge)).tolist():
+                    w, p = slice(edge[k], edge[k + 1]), slice(cuts[k], cuts[k + 1])
+                    out.append({"kind": 0, "bucket": k, "block": r["block"], "a": _pack_sorted(words[w]), "b": _pack(order[w]), "c": _pack(counts[w]),
+                                "d": _pack(word[p] - edge[k]), "e": _pack(after[p]), "f": _pack(often[p])})
+                yield from pa.Table.from_pylist(out, schema=_SCHEMA).to_batches()
+
+    return blocks.select("block", "held", "lens", "words", "tokens").mapInArrow(run, _ROW)
+
+
+def _numbered(asked: DataFrame, model: Model, keep: bool) -> DataFrame:
+    """Per word bucket: to every block its places (a) with the words' numbers (b) and counts (c); the numbers of
+    tokens, words and words with counts 1..6 (with ``keep``, the words too, as a request); and the followers of the
+    frequent words: ``n`` names the word, a the followers' numbers, b their counts, c the pairs' counts."""
+    buckets, hot = model.buckets, np.array(model.hot, np.int64).view(np.uint64)
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        words = [_unpack_sorted(r["words"]) for r in rows]
+        words = [_unpack_sorted(r["a"]) for r in rows]
         names, at = np.unique(np.concatenate(words), return_inverse=True)
-        asked = [_unpack_sorted(r["hists"]) for r in rows]
-        hists, of = np.unique(np.concatenate(asked), return_inverse=True)
-        per = np.concatenate([_unpack(r["per"], np.uint32) for r in rows])
-        n_hists = np.cumsum([0, *map(len, asked)])
-        context = np.concatenate([of[lo + _unpack(r["context"], np.uint32)] for lo, r in zip(n_hists, rows)])
-        counts = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows]).astype(np.int64)
-        word = np.repeat(at, per)
-        wide = max(1, len(hists))
-        key, back = np.unique(word * wide + context, return_inverse=True)
-        total = np.bincount(back, weights=counts, minlength=len(key)).astype(np.int64)
-        unigram = np.bincount(word, weights=counts, minlength=len(names)).astype(np.int64)
-        out = []
-        n_words = np.cumsum([0, *map(len, words)])
-        n_pairs = np.concatenate([[0], np.cumsum(per, dtype=np.int64)]).astype(np.int64)[n_words]
-        for i, r in enumerate(rows):
-            out.append({"kind": 0, "bucket": r["bucket"], "block": r["block"], "words": r["words"],
-                        "a": _pack(total[back[n_pairs[i]:n_pairs[i + 1]]].astype(np.uint64)), "b": _pack(unigram[at[n_words[i]:n_words[i + 1]]].astype(np.uint64))})
-        seen = total > 0
-        k, t = key[seen], total[seen]
-        w, c = k // wide, k % wide
-        used, number = np.unique(w, return_counts=True)
-        table = {"words": _pack_sorted(names[used]), "per": _pack(number.astype(np.uint32)), "hists": _pack_sorted(hists),
-                 "a": _pack(c.astype(np.uint32)), "b": _pack(t.astype(np.uint64))} if keep else {}
-        out.append({"kind": 1, "bucket": rows[0]["bucket"], "n": np.bincount(np.minimum(t, KATZ + 2), minlength=KATZ + 3)[1:KATZ + 2].tolist(), **table})
-        own, h = np.unique(c, return_inverse=True)
-        to = _bucket(hists[own], buckets)
-        order = np.argsort(to, kind="stable")
-        sums = np.bincount(h, weights=t, minlength=len(own)).astype(np.uint64)[order]
-        n = np.stack([np.bincount(h[t == r], minlength=len(own)) for r in range(1, KATZ + 2)]).astype(np.uint32)[:, order]
-        mass = np.bincount(h, weights=share.of(unigram[w]), minlength=len(own))[order]
-        edge = np.searchsorted(to[order], np.arange(buckets + 1))
-        for j in np.flatnonzero(np.diff(edge)).tolist():
-            p = slice(edge[j], edge[j + 1])
-            out.append({"kind": 2, "bucket": j, "hists": _pack_sorted(hists[own[order[p]]]), "a": _pack(sums[p]), "b": _pack(np.ascontiguousarray(n[:, p]).reshape(-1)), "c": mass[p].tobytes()})
-        return pa.Table.from_pylist(out, schema=schema)
-
-    return requests.groupBy("bucket").applyInArrow(run, _ANSWER)
-
-
-def _weights(found: DataFrame, d: np.ndarray) -> DataFrame:
-    """Per block and bucket: base (a) and backoff weight (b) of the words it
-    asked for, as histories."""
+        counts = np.bincount(at, weights=np.concatenate([_unpack(r["c"]) for r in rows]), minlength=len(names)).astype(np.int64)
+        edge = np.cumsum([0, *map(len, words)])
+        bucket = rows[0]["bucket"]
+        order = np.lexsort((names, -counts))[:np.count_nonzero(counts)]
+        number = np.full(len(names), UNKNOWN, np.int64)
+        number[order] = FIRST + len(hot) + np.arange(len(order)) * buckets + bucket
+        at_hot, there = _places(names, hot)
+        there &= counts[at_hot] > 0
+        number[at_hot[there]] = FIRST + np.flatnonzero(there)
+        out = [{"kind": 0, "bucket": bucket, "block": r["block"], "a": r["b"], "b": _pack(number[at[lo:hi]]), "c": _pack(counts[at[lo:hi]])}
+               for r, lo, hi in zip(rows, edge, edge[1:]) if r["block"] is not None]
+        word = np.concatenate([at[lo + _unpack(r["d"])] for r, lo in zip(rows, edge)])
+        pair, back = np.unique(np.concatenate([_unpack(r["e"]) for r in rows]) * len(names) + word, return_inverse=True)
+        often = np.bincount(back, weights=np.concatenate([_unpack(r["f"]) for r in rows]), minlength=len(pair)).astype(np.int64)
+        after, word = pair // len(names), pair % len(names)
+        cuts = np.searchsorted(after, np.arange(len(hot) + 1))
+        for j in np.flatnonzero(np.diff(cuts)).tolist():
+            p = slice(cuts[j], cuts[j + 1])
+            out.append({"kind": 2, "bucket": bucket, "n": [j], "a": _pack(number[word[p]]), "b": _pack(counts[word[p]]), "c": _pack(often[p])})
+        seen = np.flatnonzero(counts)
+        place = np.cumsum(counts > 0) - 1
+        stored = {"a": _pack_sorted(names[seen]), "c": _pack(counts[seen]), "d": _pack(place[word]), "e": _pack(after), "f": _pack(often)} if keep and len(seen) else {}
+        kinds = np.bincount(np.minimum(counts, KATZ + 2), minlength=KATZ + 2)[1:KATZ + 2]
+        out.append({"kind": 1, "bucket": bucket, "n": [int(counts.sum()), len(seen), *kinds.tolist()], **stored})
+        return pa.Table.from_pylist(out, schema=_SCHEMA)
+
+    return asked.groupBy("bucket").applyInArrow(run, _ROW)
+
+
+def _homes(cols: list[np.ndarray], model: Model) -> np.ndarray:
+    """Buckets of n-grams: the hash of the history's last word and, where that is dealt out, of the word before."""
+    last, buckets = cols[0], np.uint64(model.buckets)
+    parts = np.ones(len(last), np.uint64)
+    parts[last == UNKNOWN] = buckets                            # nothing follows these in training: any bucket will do
+    often = (last >= FIRST) & (last < FIRST + len(model.hot))
+    parts[often] = np.array(model.parts, np.uint64)[last[often] - FIRST]
+    part = _mixed(cols[1]) % parts if len(cols) > 2 else np.uint64(0)
+    return ((_mixed(last) % buckets + part) % buckets).astype(np.int64)
+
+
+def _followers(words: DataFrame, model: Model) -> DataFrame:
+    """The frequent words' followers, one list each, to each of their buckets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
+        (j,) = rows[0]["n"]
+        home = int(_mixed(np.array([FIRST + j]))[0] % np.uint64(model.buckets))
+        whole = {c: _pack(np.concatenate([_unpack(r[c]) for r in rows])) for c in "abc"}
+        return pa.Table.from_pylist([{"kind": 2, "bucket": (home + k) % model.buckets, "n": [j], **whole} for k in range(model.parts[j])], schema=_SCHEMA)
+
+    return words.where("kind = 2").groupBy(F.col("n")[0]).applyInArrow(run, _ROW)
+
+
+def _runs(cols: list[np.ndarray]) -> np.ndarray:
+    """Of sorted rows: the number of each row's run of equal rows."""
+    if not len(cols[0]):
+        return np.zeros(0, np.int64)
+    new = np.zeros(len(cols[0]), bool)
+    for c in cols:
+        new[1:] |= c[1:] != c[:-1]
+    return np.cumsum(new)
+
+
+class Grams(NamedTuple):
+    """A block's distinct n-grams of the full order, by bucket, then history (last word first) and word."""
+
+    cols: list[np.ndarray]                  # word numbers: the history's words from the last on, the word
+    bucket: np.ndarray
+    number: np.ndarray                      # of every token's n-gram
+    own: np.ndarray                         # their tokens in training
+    asked: np.ndarray                       # which occur in texts not learned from
+    word: np.ndarray                        # training counts of their words
+    known: np.ndarray                       # and of the tokens
+
+
+def _grams(r: dict, answer: list[dict], model: Model, learn: bool) -> Grams:
+    lens, tokens, own = np.array(r["lens"]), _unpack(r["tokens"]), _own(r, learn)
+    answer = [x for x in answer if x["kind"] == 0]
+    place, numbers, counts = (np.concatenate([_unpack(x[c]) for x in answer]) for c in "abc")
+    if len(place) != tokens.max() + 1:
+        raise RuntimeError("a block's answers are not complete")
+    number, count = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+    number[place], count[place] = numbers, counts
+    local, rank = np.unique(np.concatenate([[BEFORE, START], number]), return_inverse=True)
+    word, wide = rank[2:].astype(np.int32)[tokens], len(local)
+    offset = np.arange(len(tokens), dtype=np.int32) - np.repeat(_starts(lens).astype(np.int32), lens)
+
+    def column(k: int, at: np.ndarray) -> np.ndarray:
+        """The words ``k`` before the tokens ``at``."""
+        c = word[np.maximum(at - k, 0)]
+        c[offset[at] < k] = BEFORE
+        c[offset[at] == k - 1] = START
+        return c
+
+    every, back = np.arange(len(tokens), dtype=np.int32), [*range(1, model.order), 0]
+    key, size = column(1, every).astype(np.int64), wide
+    for k in back[1:]:
+        if size * wide >= 1 << 62:
+            key = np.unique(key, return_inverse=True)[1]
+            size = int(key.max()) + 1
+        key *= wide
+        key += column(k, every)
+        size *= wide
+    order = np.argsort(key, kind="stable").astype(np.int32)
+    key = key[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    first = order[new]
+    del key, every
+    rows = [local[column(k, first)] for k in back]
+    bucket = _homes(rows, model)
+    moved = np.argsort(bucket, kind="stable")
+    place = np.empty(len(moved), np.int32)
+    place[moved] = np.arange(len(moved), dtype=np.int32)
+    at = np.empty(len(order), np.int32)
+    at[order] = place[np.cumsum(new, dtype=np.int32) - 1]
+    asked = np.zeros(len(moved), bool)
+    asked[at[~own]] = True
+    known = count[tokens]
+    return Grams([x[moved] for x in rows], bucket[moved], at, np.bincount(at[own], minlength=len(moved)), asked, known[first[moved]], known)
+
+
+def _grams_asked(blocks: DataFrame, words: DataFrame, model: Model, learn: bool) -> DataFrame:
+    """A block's n-grams to their buckets: rows (a), counts in training (b), which are asked for by other texts (c), and
+    the counts of the distinct words that training n-grams end with (d)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        # in one order whatever the shuffle's, as sums of doubles depend on it
-        rows = sorted(right.to_pylist(), key=lambda r: (len(r["hists"]), r["hists"], r["c"]))
-        hists, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_unpack_sorted(r["hists"]) for r in rows)]), return_inverse=True)
-        add = lambda x: np.bincount(at, weights=x, minlength=len(hists))
-        if rows:
-            n = np.concatenate([_unpack(r["b"], np.uint32).reshape(KATZ + 1, -1) for r in rows], axis=1)
-            model = Bigram(d, add(np.concatenate([_unpack(r["a"], np.uint64) for r in rows])), np.stack([add(x) for x in n], axis=1),
-                           add(np.concatenate([np.frombuffer(r["c"], np.float64) for r in rows])))
-        out = []
-        for bucket, block, words in zip(left["bucket"].to_pylist(), left["block"].to_pylist(), left["words"].to_pylist()):
-            words = _unpack_sorted(words)
-            base, backoff = np.zeros(len(words), np.uint64), np.ones(len(words))
-            if rows:
-                place = np.minimum(np.searchsorted(hists, words), len(hists) - 1)
-                known = hists[place] == words
-                base[known], backoff[known] = model.base[place[known]].astype(np.uint64), model.backoff[place[known]]
-            out.append({"kind": 3, "block": block, "bucket": bucket, "a": _pack(base), "b": backoff.tobytes()})
-        return pa.Table.from_pylist(out, schema=pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary())]))
+        out, answer = [], right.to_pylist()
+        for r in left.to_pylist():
+            grams = _grams(r, answer, model, learn)
+            edge = np.searchsorted(grams.bucket, np.arange(model.buckets + 1))
+            for k in np.flatnonzero(np.diff(edge)).tolist():
+                p = slice(edge[k], edge[k + 1])
+                out.append({"kind": 3, "bucket": k, "block": r["block"], "a": _pack_rows([c[p] for c in grams.cols]), "b": _pack(grams.own[p]),
+                            "c": _pack(grams.asked[p]), "d": _word_counts(grams.cols[-1][p], grams.own[p], grams.word[p])})
+        return pa.Table.from_pylist(out, schema=_SCHEMA)
+
+    return blocks.select("block", "held", "lens", "tokens").groupBy("block").cogroup(words.groupBy("block")).applyInArrow(run, _ROW)
+
 
-    asked = found.where("kind = 0").select("bucket", "block", "words")
-    sums = found.where("kind = 2").select("bucket", "hists", "a", "b", "c")
-    return asked.groupBy("bucket").cogroup(sums.groupBy("bucket")).applyInArrow(run, "kind int, block long, bucket int, a binary, b binary")
+def _word_counts(words: np.ndarray, counts: np.ndarray, known: np.ndarray) -> bytes:
+    seen = np.flatnonzero(counts)
+    return _pack(known[seen[np.unique(words[seen], return_index=True)[1]]])
+
+
+def _counted(asked: DataFrame, model: Model, keep: bool) -> DataFrame:
+    """Per history bucket: the answers, and for each order the numbers of n-grams with counts 1..6 (with ``keep``, the
+    n-grams too, as a request).  An answer has the n-grams' counts (a) and, of their histories, the training tokens (b)
+    and which small counts follow (c); of the n-grams that other texts ask for, the counts of the shorter ones (d) and of
+    each length of history the sums (e): training tokens, followers with counts 1..5, and the followers' mass one order
+    below, as counts by class or (f) as unigram probability."""
+    top, share = model.order - 1, model.share
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        bucket = rows[0]["bucket"]
+        asks, often = [r for r in rows if r["kind"] != 2], [r for r in rows if r["kind"] == 2]
+        parts = [_unpack_rows(r["a"]) for r in asks]
+        cols = [np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in range(model.order)]
+        counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(r["b"]) for r in asks)])
+        edge = np.cumsum([0, *(len(p[0]) for p in parts)])
+        parts = [[c[lo:hi] for c in cols] for lo, hi in zip(edge, edge[1:])]
+        extra = [_unpack(r["a"]) for r in often]
+        names, word = np.unique(np.concatenate([cols[-1], *extra]), return_inverse=True)
+        wide, size = max(1, len(names)), len(cols[0])
+        known = np.zeros(wide, np.int64)
+        for r, p, lo, hi in zip(asks, parts, edge, edge[1:]):
+            known[np.searchsorted(names, np.unique(p[-1][counts[lo:hi] > 0]))] = _unpack(r["d"])
+        for r, w in zip(often, extra):
+            known[np.searchsorted(names, w)] = _unpack(r["b"])
+        # the shortest histories; those dealt out have their followers' counts from the list
+        last = np.concatenate([cols[0], *(np.full(len(w), FIRST + r["n"][0]) for r, w in zip(often, extra))])
+        dealt = (cols[0] >= FIRST) & (cols[0] < FIRST + len(model.hot)) if top > 1 else np.zeros(size, bool)
+        weights = np.concatenate([np.where(dealt, 0, counts), *(_unpack(r["c"]) for r in often)])
+        hists, history = np.unique(last, return_inverse=True)
+        levels, numbers, lower = [], [], None
+        for k in range(1, top + 1):
+            if k > 1:
+                _, of = np.unique(cols[k - 1], return_inverse=True)
+                _, history = np.unique(history[:size] * (int(of.max(initial=0)) + 1) + of, return_inverse=True)
+                weights = counts
+            pair, gram = np.unique(history * wide + word[:len(history)], return_inverse=True)
+            total = np.bincount(gram, weights=weights, minlength=len(pair)).astype(np.int64)
+            n_hists = int(history.max(initial=-1)) + 1
+            seen = total > 0
+            h, t = pair[seen] // wide, total[seen]
+            sums = np.bincount(h, weights=t, minlength=n_hists).astype(np.int64)
+            n = np.stack([np.bincount(h[t == i], minlength=n_hists) for i in range(1, KATZ + 1)])
+            if k == 1:
+                mass = np.bincount(h, weights=share.of(known[pair[seen] % wide]), minlength=n_hists)
+                # a word dealt out is counted in the first of its buckets
+                once = t[(_mixed(hists[h]) % np.uint64(model.buckets)).astype(np.int64) == bucket] if top > 1 else t
+            else:
+                below = np.zeros(len(pair), np.int64)
+                below[gram] = lower
+                c, once = below[seen], t
+                kind = np.minimum(c, KATZ + 1)
+                mass = np.stack([np.bincount(h[kind == i], weights=c[kind == i], minlength=n_hists).astype(np.int64) for i in range(1, KATZ + 2)])
+            numbers += np.bincount(np.minimum(once, KATZ + 2), minlength=KATZ + 2)[1:KATZ + 2].tolist()
+            lower = total[gram[:size]]
+            levels.append((history[:size].astype(np.int32), lower, sums, n, mass))
+            del pair, gram, total, seen, h, t, once
+        out = []
+        for r, p, lo, hi in zip(asks, parts, edge, edge[1:]):
+            if r["block"] is None:
+                continue
+            history, total, sums, n, _ = levels[-1]
+            own = history[lo:hi][np.flatnonzero(np.diff(_runs(p[:top]), prepend=-1))]
+            kinds = ((n[:, own] > 0) << np.arange(1, KATZ + 1)[:, None]).sum(axis=0)
+            others = np.flatnonzero(_unpack(r["c"]))
+            shorter, stats, shares = [], [], []
+            for k, (history, total_k, sums_k, n_k, mass) in enumerate(levels, 1):
+                mine = history[lo:hi][others[np.flatnonzero(np.diff(_runs([c[others] for c in p[:k]]), prepend=-1))]]
+                shorter.append(total_k[lo:hi][others] if k < top else np.zeros(0, np.int64))
+                stats += [sums_k[mine], n_k[:, mine].reshape(-1)]
+                if k == 1:
+                    shares = mass[mine]
+                else:
+                    stats.append(mass[:, mine].reshape(-1))
+            out.append({"kind": 3, "bucket": bucket, "block": r["block"], "a": _pack(total[lo:hi]), "b": _pack(sums[own]), "c": _pack(kinds),
+                        "d": _pack(np.concatenate(shorter)), "e": _pack(np.concatenate(stats)), "f": np.asarray(shares, np.float64).tobytes()})
+        stored = _stored(cols, counts, word[:size], known) if keep and size else {}
+        out.append({"kind": 1, "bucket": bucket, "n": numbers, **stored})
+        return pa.Table.from_pylist(out, schema=_SCHEMA)
+
+    return asked.groupBy("bucket").applyInArrow(run, _ROW)
+
+
+def _stored(cols: list[np.ndarray], counts: np.ndarray, word: np.ndarray, known: np.ndarray) -> dict:
+    """A bucket's n-grams with their counts, as a request."""
+    order = np.lexsort(cols[::-1])
+    order = order[counts[order] > 0]
+    cols, run = [c[order] for c in cols], _runs([c[order] for c in cols])
+    first = np.flatnonzero(np.diff(run, prepend=-1))
+    cols, total = [c[first] for c in cols], np.bincount(run, weights=counts[order]).astype(np.int64)
+    return {"a": _pack_rows(cols), "b": _pack(total), "c": _pack(np.zeros(len(first))), "d": _word_counts(cols[-1], total, known[word[order[first]]])} if len(first) else {}
 
 
 def discounts(n: list[float]) -> np.ndarray:
@@ -294,328 +524,120 @@ class Unigram:
 
     def of(self, c: np.ndarray) -> np.ndarray:
         """Probability of a word with training count ``c`` (0: the unknown word)."""
-        return np.where(c > 0, self.d[np.minimum(c, KATZ) * (c <= KATZ)] * c / self.base, self.unknown)
-
+        return np.where(c > 0, _discounted(self.d, c) / self.base, self.unknown)
 
-class Bigram:
-    """Bases and backoff weights of histories."""
-
-    def __init__(self, d: np.ndarray, total: np.ndarray, n: np.ndarray, mass: np.ndarray):
-        """Per history: training tokens, numbers of followers with counts
-        1..6, and unigram probability of its followers."""
-        left = ((1 - d[1:]) * np.arange(1, KATZ + 1) * n[:, :KATZ]).sum(axis=1)
-        self.base = np.where(left > 0, total, total + 1)
-        left = np.where(left > 0, left, 1) / self.base
-        # nothing seen after a history: its backoff weight is 1
-        self.backoff = np.where(total > 0, left / np.maximum(1 - mass, 1e-300), 1.0)
-
-
-def _log10(d: np.ndarray, base, backoff, r, unigram) -> np.ndarray:
-    seen = d[np.minimum(r, KATZ) * (r <= KATZ)] * np.maximum(r, 1) / np.maximum(base, 1)
-    return np.log10(np.where(r > 0, seen, backoff * unigram))
 
-
-class State(NamedTuple):
-    """What a block knows of an order, per token and (``known``, ``plain``) per text."""
-
-    count: np.ndarray                       # of the token's n-gram in training
-    base: np.ndarray                        # of its history
-    log: np.ndarray                         # log10 probability
-    known: np.ndarray                       # tokens the model knows
-    plain: np.ndarray                       # unigram base score
+def _discounted(d: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return d[np.minimum(c, KATZ) * (c <= KATZ)] * c
 
 
 def _sums(x: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(x, np.concatenate([[0], np.cumsum(lens)[:-1]]))
-
-
-def _pair_state(r: dict, answer: list[dict], model: Model) -> State:
-    """Order two, from the answers of the words' and the histories' buckets."""
-    lens = np.array(r["lens"])
-    counted, weighed = [x for x in answer if x["kind"] == 0], [x for x in answer if x["kind"] == 3]
-    key, _, words = _pairs(np.array(r["words"], np.int64).view(np.uint64), lens, _unpack(r["tokens"], np.uint32), model.buckets)
-    pair, number = np.unique(key, return_inverse=True)
-    count = np.concatenate([_unpack(x["a"], np.uint64) for x in counted]).astype(np.int64)
-    word = np.concatenate([_unpack(x["b"], np.uint64) for x in counted]).astype(np.int64)
-    history = np.concatenate([_unpack(x["a"], np.uint64) for x in weighed]).astype(np.int64)
-    backoff = np.concatenate([np.frombuffer(x["b"], np.float64) for x in weighed])
-    if len(count) != len(pair) or not len(word) == len(history) == len(words):
-        raise RuntimeError("a block's answers are not complete")
-    w, h = pair // len(words), pair % len(words)
-    log = _log10(model.d, history[h], backoff[h], count, model.share.of(word[w]))
-    plain = np.log10((word + 1) / (model.n + model.types + 1))
-    at = w[number]
-    return State(count[number], history[h][number], log[number], _sums((word > 0).astype(np.int64)[at], lens), _sums(plain[at], lens))
+    return np.add.reduceat(x, _starts(lens))
 
 
-def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of a history that goes on with a word."""
-    x = history * np.uint64(0x9E3779B97F4A7C15) + word
-    for by in (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F):
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(by)
-    return x ^ (x >> np.uint64(29))
-
-
-class Grams(NamedTuple):
-    """A block's n-grams with histories of some length, by the history's hash and the word's."""
-
-    number: np.ndarray                      # of every token's n-gram
-    history: np.ndarray                     # per n-gram, a place among ``hists``
-    word: np.ndarray                        # per n-gram, a place among ``words``
-    hists: np.ndarray                       # hashes, ascending
-    words: np.ndarray
-
-
-def _grams(words: np.ndarray, lens: np.ndarray, tokens: np.ndarray, length: int) -> Grams:
-    starts, wide = np.concatenate([[0], np.cumsum(lens)[:-1]]), len(words)
-    tokens = tokens.astype(np.int64)
-    number, names = tokens, words
-    for k in range(length):
-        if k:
-            pair, number = np.unique(before * wide + tokens, return_inverse=True)
-            names = _mixed(names[pair // wide], words[pair % wide])
-        # a token's history is the n-gram that ends before it
-        before = np.empty(len(tokens), np.int64)
-        before[1:] = number[:-1]
-        before[starts] = len(names)
-        names = np.append(names, np.uint64(START))
-    # only those that a token follows: the last n-gram of a text is nobody's history
-    used = np.flatnonzero(np.bincount(before, minlength=len(names)))
-    used = used[np.argsort(names[used], kind="stable")]
-    place = np.zeros(len(names), np.int64)
-    place[used] = np.arange(len(used))
-    order = np.argsort(words, kind="stable")
-    rank = np.empty(wide, np.int64)
-    rank[order] = np.arange(wide)
-    gram, number = np.unique(place[before] * wide + rank[tokens], return_inverse=True)
-    return Grams(number, gram // wide, gram % wide, names[used], words[order])
-
-
-def _block_grams(r: dict, length: int) -> Grams:
-    return _grams(np.array(r["words"], np.int64).view(np.uint64), np.array(r["lens"]), _unpack(r["tokens"], np.uint32), length)
-
-
-def _own(r: dict, learn: bool) -> np.ndarray:
-    """Which tokens the model has learned from, so that all their n-grams are seen."""
-    return np.repeat(~np.array(r["held"], bool) & learn, np.array(r["lens"]))
-
-
-def _state(r: dict, answer: list[dict], model: Model, length: int, learn: bool) -> State:
-    """The order with histories of ``length`` tokens, from a round's answers."""
-    answer = sorted(answer, key=lambda x: (x["kind"], x["bucket"]))
-    if length == 1:
-        return _pair_state(r, answer, model)
-    (lower,) = (x for x in answer if x["kind"] == 4)
-    rows = [x for x in answer if x["kind"] == 0]
-    grams, own, d = _block_grams(r, length), _own(r, learn), model.higher[length - 2]
-    count = np.concatenate([_unpack(x["a"], np.uint64) for x in rows]).astype(np.int64)
-    total = np.concatenate([_unpack(x["b"], np.uint64) for x in rows]).astype(np.int64)
-    kinds = np.concatenate([_unpack(x["per"], np.uint8) for x in rows])
-    if len(count) != len(grams.word) or not len(total) == len(kinds) == len(grams.hists):
+def _logs(grams: Grams, answer: list[dict], model: Model) -> np.ndarray:
+    """log10 of the probabilities of a block's n-grams."""
+    answer = sorted((x for x in answer if x["kind"] == 3), key=lambda x: x["bucket"])
+    count, total, kinds = (np.concatenate([_unpack(x[c]) for x in answer]) for c in "abc")
+    top, d = model.order - 1, model.d[-1]
+    history = _runs([grams.bucket, *grams.cols[:top]])
+    if len(count) != len(history) or not len(total) == len(kinds) == history[-1] + 1:
         raise RuntimeError("a block's answers are not complete")
     # a history gives up mass if a count that is discounted occurs after it, else one count
-    gives = (kinds & np.uint8(sum(1 << r for r in range(1, KATZ + 1) if d[r] < 1))) > 0
-    base = np.where(gives, total, total + 1)
-    h = grams.history
-    known = np.log10(d[np.minimum(count, KATZ) * (count <= KATZ)] * np.maximum(count, 1) / base[h])
-    log, count, base = known[grams.number], count[grams.number], base[h][grams.number]
-    others = np.flatnonzero(~own)
-    if len(others):
-        left, mass = np.ones(len(total)), np.zeros(len(total))
-        asked = np.unique(h[grams.number[others]])
-        n = np.concatenate([_unpack(x["words"], np.uint32).reshape(KATZ, -1) for x in rows], axis=1)
-        left[asked] = np.where(gives[asked], ((1 - d[1:])[:, None] * np.arange(1, KATZ + 1)[:, None] * n).sum(axis=0), 1)
-        mass[asked] = np.concatenate([np.frombuffer(x["c"], np.float64) for x in rows])
-        unseen = count[others] == 0
-        at = h[grams.number[others[unseen]]]
-        below = np.frombuffer(lower["a"], np.float64)[unseen]
-        shorter = _unpack(lower["b"], np.uint64)[unseen]
-        backoff = left[at] / base[others[unseen]] / np.maximum(1 - mass[at] / np.maximum(shorter, 1), 1e-300)
-        log[others[unseen]] = below + np.log10(np.where(total[at] > 0, backoff, 1.0))
-    return State(count, base, log, _unpack(lower["per"], np.int64), np.frombuffer(lower["c"], np.float64))
-
-
-_ASKED = ("bucket int, block long, hists binary, per binary, words binary, follow binary, counts binary, lower binary, asked binary, "
-          "logs binary, bases binary")
-
-
-def _asked(blocks: DataFrame, answers: DataFrame, model: Model, length: int, learn: bool) -> DataFrame:
-    """Requests of the round for histories of ``length`` tokens, with the answers of the round
-    before.  A block's state goes with them (a row without histories): its bucket hands it on."""
-    buckets = model.buckets
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, answer = [], right.to_pylist()
-        for r in left.to_pylist():
-            state = _state(r, answer, model, length - 1, learn)
-            grams, own = _block_grams(r, length), _own(r, learn)
-            counts = np.bincount(grams.number[own], minlength=len(grams.word))
-            lower = np.zeros(len(grams.word), np.int64)
-            lower[grams.number] = state.count
-            asked = np.zeros(len(grams.hists), np.uint8)
-            asked[grams.history[grams.number[~own]]] = 1
-            per = np.bincount(grams.history, minlength=len(grams.hists))
-            edge = np.searchsorted(_bucket(grams.hists, buckets), np.arange(buckets + 1))
-            cuts = np.searchsorted(grams.history, edge)
-            for k in np.flatnonzero(np.diff(edge)).tolist():
-                h, p = slice(edge[k], edge[k + 1]), slice(cuts[k], cuts[k + 1])
-                used, number = np.unique(grams.word[p], return_inverse=True)
-                out.append({"bucket": k, "block": r["block"], "hists": _pack_sorted(grams.hists[h]), "per": _pack(per[h].astype(np.uint32)),
-                            "words": _pack_sorted(grams.words[used]), "follow": _pack(number.astype(np.uint32)),
-                            "counts": _pack(counts[p].astype(np.uint32)), "lower": _pack(np.where(counts[p] > 0, lower[p], 0).astype(np.uint64)),
-                            "asked": _pack(asked[h])})
-            out.append({"bucket": r["block"] % buckets, "block": r["block"], "per": _pack(state.known.astype(np.int64)), "lower": state.plain.tobytes(),
-                        "logs": state.log[~own].tobytes(), "bases": _pack(state.base[~own].astype(np.uint64))})
-        return pa.Table.from_pylist(out, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int64()),
-                                                           *((c.split()[0], pa.binary()) for c in _ASKED.split(", ")[2:])]))
-
-    return blocks.select("block", "lens", "held", "words", "tokens").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, _ASKED)
-
-
-def _answer(r: dict, total: np.ndarray, sums: np.ndarray, n: np.ndarray, mass: np.ndarray) -> dict:
-    """One request's answer: its n-grams' counts, its histories' totals and which small counts
-    follow them, and of the histories that other texts ask for how many, and the followers' mass."""
-    kinds = ((n > 0) << np.arange(1, KATZ + 1)[:, None]).sum(axis=0).astype(np.uint8)
-    asked = _unpack(r["asked"], np.uint8) > 0
-    return {"kind": 0, "bucket": r["bucket"], "block": r["block"], "a": _pack(total.astype(np.uint64)), "b": _pack(sums.astype(np.uint64)),
-            "per": _pack(kinds), "words": _pack(np.ascontiguousarray(n[:, asked]).astype(np.uint32).reshape(-1)), "c": mass[asked].tobytes()}
-
-
-def _handed_on(rows: list[dict]) -> tuple[list[dict], list[dict]]:
-    """The requests, and the blocks' states as answers."""
-    states = [{"kind": 4, "bucket": r["bucket"], "block": r["block"], "a": r["logs"], "b": r["bases"], "per": r["per"], "c": r["lower"]}
-              for r in rows if r["hists"] is None]
-    return [r for r in rows if r["hists"] is not None], states
-
-
-def _followers(h: np.ndarray, t: np.ndarray, hists: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per history: its training tokens, and its numbers of followers with counts 1..5."""
-    return (np.bincount(h, weights=t, minlength=hists).astype(np.int64),
-            np.stack([np.bincount(h[t == r], minlength=hists) for r in range(1, KATZ + 1)]))
-
-
-def _summed(requests: DataFrame, d: np.ndarray, keep: bool) -> DataFrame:
-    """Per history bucket: the answers, the blocks' states, and the numbers of n-grams with counts
-    1..6 (with ``keep``, the n-grams too).  ``d``: the discounts one order below."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rows, out = _handed_on(table.to_pylist())
-        if not rows:
-            return pa.Table.from_pylist(out, schema=_schema())
-        asked = [_unpack_sorted(r["hists"]) for r in rows]
-        hists, at = np.unique(np.concatenate(asked), return_inverse=True)
-        words = [_unpack_sorted(r["words"]) for r in rows]
-        names, of = np.unique(np.concatenate(words), return_inverse=True)
-        n_hists, n_words = np.cumsum([0, *map(len, asked)]), np.cumsum([0, *map(len, words)])
-        follow = [_unpack(r["follow"], np.uint32) for r in rows]
-        n_grams = np.cumsum([0, *map(len, follow)])
-        word = np.concatenate([of[lo + f] for lo, f in zip(n_words, follow)])
-        history = np.repeat(at, np.concatenate([_unpack(r["per"], np.uint32) for r in rows]))
-        key, back = np.unique(history * len(names) + word, return_inverse=True)
-        counts = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows])
-        total = np.bincount(back, weights=counts, minlength=len(key)).astype(np.int64)
-        lower = np.zeros(len(key), np.int64)
-        below = np.concatenate([_unpack(r["lower"], np.uint64) for r in rows]).astype(np.int64)
-        lower[back[below > 0]] = below[below > 0]                       # one figure for all blocks that learn from the n-gram
-        seen = total > 0
-        h, t, c = key[seen] // len(names), total[seen], lower[seen]
-        sums, n = _followers(h, t, len(hists))
-        mass = np.bincount(h, weights=d[np.minimum(c, KATZ) * (c <= KATZ)] * c, minlength=len(hists))
-        for i, r in enumerate(rows):
-            own = at[n_hists[i]:n_hists[i + 1]]
-            out.append(_answer(r, total[back[n_grams[i]:n_grams[i + 1]]], sums[own], n[:, own], mass[own]))
-        table = {"hists": _pack_sorted(hists), "per": _pack(np.bincount(h, minlength=len(hists)).astype(np.uint32)), "words": _pack_sorted(names),
-                 "a": _pack((key[seen] % len(names)).astype(np.uint32)), "b": _pack(t.astype(np.uint64)), "c": mass.tobytes()} if keep else {}
-        out.append({"kind": 1, "bucket": rows[0]["bucket"], "n": np.bincount(np.minimum(t, KATZ + 2), minlength=KATZ + 3)[1:KATZ + 2].tolist(), **table})
-        return pa.Table.from_pylist(out, schema=_schema())
-
-    return requests.groupBy("bucket").applyInArrow(run, _ANSWER)
-
-
-def _looked_up(requests: DataFrame, tables: DataFrame) -> DataFrame:
-    """The answers of a stored model's history buckets."""
+    gives = (kinds & sum(1 << r for r in range(1, KATZ + 1) if d[r] < 1)) > 0
+    log = np.log10(_discounted(d, np.maximum(count, 1)) / np.where(gives, total, total + 1)[history])
+    others = np.flatnonzero(grams.asked)
+    if not len(others):
+        return log
+    cols, bucket = [c[others] for c in grams.cols], grams.bucket[others]
+    edge = np.searchsorted(bucket, [x["bucket"] for x in answer] + [model.buckets])
+    runs = [_runs([bucket, *cols[:k]]) for k in range(1, top + 1)]
+    counts, stats = [[] for _ in range(top)], [[] for _ in range(top)]
+    for x, lo, hi in zip(answer, edge, edge[1:]):
+        if lo == hi:
+            continue
+        shorter, sums, at = _unpack(x["d"]).reshape(top - 1, hi - lo), _unpack(x["e"]), 0
+        for k in range(top):
+            if k < top - 1:
+                counts[k].append(shorter[k])
+            wide, rows = runs[k][hi - 1] - runs[k][lo] + 1, 1 + KATZ + (KATZ + 1 if k else 0)
+            stats[k].append(sums[at:at + wide * rows].reshape(rows, wide))
+            at += wide * rows
+    mass = np.concatenate([np.frombuffer(x["f"], np.float64) for x in answer])
+    out, shorter = np.log10(model.share.of(grams.word[others])), None
+    for k, d in enumerate(model.d):
+        c = np.concatenate(counts[k]) if k < top - 1 else count[others]
+        s, at = np.concatenate(stats[k], axis=1), runs[k]
+        left = ((1 - d[1:])[:, None] * np.arange(1, KATZ + 1)[:, None] * s[1:KATZ + 1]).sum(axis=0)
+        base = np.where(left > 0, s[0], s[0] + 1)
+        left = np.where(left > 0, left, 1) / base
+        if k:
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            mass = (s[KATZ + 1:-1] * model.d[k - 1][1:, None]).sum(axis=0) + s[-1]
+            mass = mass / np.maximum(shorter[runs[k - 1][first]], 1)
+        # nothing seen after a history: its backoff weight is 1
+        backoff = np.where(s[0] > 0, left / np.maximum(1 - mass, 1e-300), 1.0)
+        out = np.where(c > 0, np.log10(_discounted(d, np.maximum(c, 1)) / base[at]), out + np.log10(backoff)[at])
+        shorter = base
+    log[others] = out
+    return log
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, out = _handed_on(left.to_pylist())
-        hists, names, h, key, total, mass = (np.zeros(0, k) for k in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.float64))
-        for r in right.to_pylist():                                     # one row a bucket
-            hists, names, mass = _unpack_sorted(r["hists"]), _unpack_sorted(r["words"]), np.frombuffer(r["c"], np.float64)
-            h, total = np.repeat(np.arange(len(hists)), _unpack(r["per"], np.uint32)), _unpack(r["b"], np.uint64).astype(np.int64)
-            key = h * max(1, len(names)) + _unpack(r["a"], np.uint32)       # ascending, as it was written
-        sums, n = _followers(h, total, len(hists))
-        for r in rows:
-            at, known = _places(hists, _unpack_sorted(r["hists"]))
-            of, known_word = _places(names, _unpack_sorted(r["words"]))
-            follow, history = _unpack(r["follow"], np.uint32), np.repeat(np.arange(len(at)), _unpack(r["per"], np.uint32))
-            place, found = _places(key, at[history] * max(1, len(names)) + of[follow])
-            found &= known[history] & known_word[follow]
-            out.append(_answer(r, _taken(total, place, found), _taken(sums, at, known), np.stack([_taken(x, at, known) for x in n]),
-                               _taken(mass, at, known)))
-        return pa.Table.from_pylist(out, schema=_schema())
-
-    return requests.groupBy("bucket").cogroup(tables.groupBy("bucket")).applyInArrow(run, _ANSWER)
-
-
-def _scored(blocks: DataFrame, answers: DataFrame, model: Model, learn: bool) -> DataFrame:
-    length = model.order - 1
 
+def _scored(blocks: DataFrame, words: DataFrame, grams: DataFrame, model: Model, learn: bool) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out, answer = [], right.to_pylist()
         for r in left.to_pylist():
-            lens = np.array(r["lens"])
-            state = _state(r, answer, model, length, learn)
+            lens, found = np.array(r["lens"]), _grams(r, answer, model, learn)
+            known = found.known
             out.append(pa.table({
                 "doc_id": pa.array(r["doc_ids"], pa.int64()), "held_out": pa.array(r["held"], pa.bool_()), "n_tokens": pa.array(lens.astype(np.int64)),
-                "n_known": state.known, "train_tokens": np.full(len(lens), model.n, np.int64),
-                "base_score": state.plain, "score": _sums(state.log, lens)}))
+                "n_known": _sums((known > 0).astype(np.int64), lens), "train_tokens": np.full(len(lens), model.n, np.int64),
+                "base_score": _sums(np.log10((known + 1) / (model.n + model.types + 1)), lens), "score": _sums(_logs(found, answer, model)[found.number], lens)}))
         return pa.concat_tables(out)
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    answers = words.unionByName(grams.where("kind = 3").select("kind", "block", "bucket", *"abcdef"), allowMissingColumns=True)
+    return blocks.select("block", "doc_ids", "held", "lens", "tokens").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _unigrams(blocks: DataFrame) -> tuple[int, list[int]]:
-    """Training tokens; the number of their distinct words, and of those with counts 1..6."""
-    unigrams = (blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
-                .where("c > 0").groupBy("word").agg(F.sum("c").alias("c")))
-    row = unigrams.agg(F.sum("c").alias("n"), F.count("*"), *(F.count(F.when(F.col("c") == r, 1)) for r in range(1, KATZ + 2))).first()
-    return int(row[0] or 0), [int(x) for x in row[1:]]
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.partitionBy("kind").parquet(path)
+    return _tables(df.sparkSession, path)
 
 
-def _learned(blocks: DataFrame, path: str, keep: bool, order: int) -> Model:
-    """The model of the blocks' training texts, its tables (and the blocks' own answers) at ``path``;
-    without ``keep`` no n-gram tables, which the blocks' own scores do not read."""
-    spark = blocks.sparkSession
-    if order < 2:
-        raise ValueError("the order must be 2 or more")
-    n, kinds = _unigrams(blocks)
-    buckets, share = 2 * shuffle_width(spark), Unigram(n, kinds[1:])
-    _counted(_requests(blocks, buckets), buckets, share, keep).write.partitionBy("kind").parquet(_level(path, 1))
-    numbers = [_numbers_of(spark, path, 1)]
-    for length in range(2, order):
-        model = _model(path, buckets, n, kinds, numbers)
-        requests = _asked(blocks, _answers(_tables(spark, path, length - 1), model), model, length, True)
-        _summed(requests, [model.d, *model.higher][-1], keep).write.partitionBy("kind").parquet(_level(path, length))
-        numbers.append(_numbers_of(spark, path, length))
-    spark.createDataFrame([(buckets, n, kinds, numbers)], _NUMBERS).coalesce(1).write.parquet(f"{path}/numbers")
-    return open_model(spark, path)
+def _tables(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_ROW).parquet(path).select(*_SCHEMA.names)
 
 
-def _numbers_of(spark: SparkSession, path: str, length: int) -> list[int]:
-    """The numbers of n-grams with counts 1..6: one row."""
-    row = _tables(spark, path, length).where("kind = 1").agg(*(F.sum(F.col("n")[r]) for r in range(KATZ + 1))).first()
+def _numbers_of(tables: DataFrame, size: int) -> list[int]:
+    row = tables.where("kind = 1").agg(*(F.sum(F.col("n")[i]) for i in range(size))).first()
     return [int(x or 0) for x in row]
 
 
-def _level(path: str, length: int) -> str:
-    return f"{path}/tables" if length == 1 else f"{path}/tables-{length}"
+def _own_answers(words: DataFrame) -> DataFrame:
+    return words.where("kind = 0").select("kind", "block", "bucket", "a", "b", "c")
 
 
-def _tables(spark: SparkSession, path: str, length: int) -> DataFrame:
-    return spark.read.schema(_ANSWER).parquet(_level(path, length))
+def _learned(blocks: DataFrame, path: str, keep: bool, order: int) -> Model:
+    """The model of the blocks' training texts, its tables (and the blocks' own answers) at ``path``;
+    without ``keep`` no words and n-grams, which the blocks' own scores do not read."""
+    spark = blocks.sparkSession
+    if order < 2:
+        raise ValueError("the order must be 2 or more")
+    buckets = 3 * shuffle_width(spark)
+    hot, parts = _frequent(blocks, buckets) if order > 2 else ([], [])
+    model = _model(path, buckets, hot, parts, [0] * (KATZ + 3), [[0] * (KATZ + 1)] * (order - 1))
+    words = _written(_numbered(_words_asked(blocks, model, True), model, keep), f"{path}/words")
+    unigrams = _numbers_of(words, KATZ + 3)
+    model = _model(path, buckets, hot, parts, unigrams, [[0] * (KATZ + 1)] * (order - 1))
+    asked = _grams_asked(blocks, _own_answers(words), model, True).unionByName(_followers(words, model))
+    grams = _written(_counted(asked, model, keep), f"{path}/grams")
+    kinds = np.array(_numbers_of(grams, (KATZ + 1) * (order - 1))).reshape(order - 1, -1).tolist()
+    spark.createDataFrame([(buckets, hot, parts, unigrams, kinds)], _NUMBERS).coalesce(1).write.parquet(f"{path}/numbers")
+    return open_model(spark, path)
 
 
-_NUMBERS = "buckets int, n long, words array<long>, grams array<array<long>>"
+_NUMBERS = "buckets int, hot array<long>, parts array<int>, words array<long>, grams array<array<long>>"
 
 
 class Model(NamedTuple):
@@ -623,25 +645,26 @@ class Model(NamedTuple):
 
     path: str
     buckets: int
+    hot: list[int]                          # frequent words, at most one a bucket
+    parts: list[int]                        # and how many buckets they are dealt to
     n: int                                  # training tokens
     types: int
     share: Unigram
-    d: np.ndarray                           # discounts of bigrams
-    higher: list[np.ndarray]                # and of longer n-grams
+    d: list[np.ndarray]                     # discounts of bigrams and longer n-grams
 
     @property
     def order(self) -> int:
-        return 2 + len(self.higher)
+        return 1 + len(self.d)
 
 
-def _model(path: str, buckets: int, n: int, words: list[int], grams: list[list[int]]) -> Model:
-    return Model(path, buckets, n, words[0], Unigram(n, words[1:]), discounts(grams[0]), [discounts(g) for g in grams[1:]])
+def _model(path: str, buckets: int, hot: list[int], parts: list[int], words: list[int], grams: list[list[int]]) -> Model:
+    return Model(path, buckets, hot, parts, words[0], words[1], Unigram(words[0], words[2:]), [discounts(g) for g in grams])
 
 
 def open_model(spark: SparkSession, path: str) -> Model:
     """The model that :func:`train` left at ``path``."""
     row = spark.read.schema(_NUMBERS).parquet(f"{path}/numbers").first()
-    return _model(path, row["buckets"], row["n"], row["words"], row["grams"])
+    return _model(path, row["buckets"], row["hot"], row["parts"], row["words"], row["grams"])
 
 
 def train(docs: DataFrame, path: str, order: int = 2) -> Model:
@@ -654,61 +677,19 @@ def score_corpus(docs: DataFrame, order: int = 2) -> DataFrame:
     spark = docs.sparkSession
     blocks = cut(_blocks(docs), "lm-blocks")
     model = _learned(blocks, scratch_path(spark, "lm-model"), False, order)
-    return _scored(blocks, _answers(_tables(spark, model.path, order - 1), model, order - 1), model, True)
-
-
-def _answers(found: DataFrame, model: Model, length: int = 0) -> DataFrame:
-    """The blocks' answers of a round (``length`` 0: of the last round so far)."""
-    if (length or model.order - 1) > 1:
-        return found.where("kind IN (0, 4)").select("kind", "block", "bucket", "words", "per", "a", "b", "c")
-    return found.where("kind = 0").select("kind", "block", "bucket", "a", "b").unionByName(_weights(found, model.d))
+    return _scored(blocks, _own_answers(_tables(spark, f"{model.path}/words")), _tables(spark, f"{model.path}/grams"), model, True)
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """Scores of any texts, the columns of :func:`score_corpus`, from a stored model.
     (``held_out`` is the rule's answer for the id, whatever the model learned from.)"""
     spark = docs.sparkSession
-    blocks = cut(_blocks(docs), "lm-blocks")
-    tables = _tables(spark, model.path, 1)
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names, hists, total, unigram, key = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
-        for r in right.to_pylist():                                     # one row a bucket
-            names, hists = _unpack_sorted(r["words"]), _unpack_sorted(r["hists"])
-            word = np.repeat(np.arange(len(names)), _unpack(r["per"], np.uint32))
-            total = _unpack(r["b"], np.uint64).astype(np.int64)
-            key = word * max(1, len(hists)) + _unpack(r["a"], np.uint32)    # ascending, as it was written
-            unigram = np.bincount(word, weights=total, minlength=len(names)).astype(np.int64)
-        out = []
-        for r in left.to_pylist():
-            words, asked = _unpack_sorted(r["words"]), _unpack_sorted(r["hists"])
-            w, known_w = _places(names, words)
-            h, known_h = _places(hists, asked)
-            word = np.repeat(np.arange(len(words)), _unpack(r["per"], np.uint32))
-            context = _unpack(r["context"], np.uint32)
-            at, found = _places(key, w[word] * max(1, len(hists)) + h[context])
-            found &= known_w[word] & known_h[context]
-            out.append({"kind": 0, "bucket": r["bucket"], "block": r["block"], "words": r["words"],
-                        "a": _pack(_taken(total, at, found).astype(np.uint64)), "b": _pack(_taken(unigram, w, known_w).astype(np.uint64))})
-        return pa.Table.from_pylist(out, schema=_schema())
-
-    asked = _requests(blocks, model.buckets)
-    answers = cut(asked.groupBy("bucket").cogroup(tables.where("kind = 1").groupBy("bucket")).applyInArrow(run, _ANSWER), "lm-answers")
-    answers = _answers(answers.unionByName(tables.where("kind = 2")), model, 1)
-    for length in range(2, model.order):
-        stored = _tables(spark, model.path, length).where("kind = 1")
-        answers = cut(_looked_up(_asked(blocks, answers, model, length, False), stored), "lm-answers")
-    return _scored(blocks, answers, model, False)
-
-
-def _places(of: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``x`` in the ascending ``of`` (0 where missing), and which are there."""
-    if not len(of):
-        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
-    at = np.minimum(np.searchsorted(of, x), len(of) - 1)
-    there = of[at] == x
-    return np.where(there, at, 0), there
+    blocks, path = cut(_blocks(docs), "lm-blocks"), scratch_path(spark, "lm-answers")
 
+    def stored(name: str) -> DataFrame:
+        return _tables(spark, f"{model.path}/{name}").where("kind = 1 AND a IS NOT NULL").withColumn("block", F.lit(None).cast("long"))
 
-def _taken(of: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
-    return np.where(there, of[at], 0) if len(of) else np.zeros(len(at), np.int64)
+    words = _written(_numbered(_words_asked(blocks, model, False).unionByName(stored("words")), model, False), f"{path}/words")
+    asked = _grams_asked(blocks, _own_answers(words), model, False).unionByName(_followers(words, model)).unionByName(stored("grams"))
+    grams = _written(_counted(asked, model, False), f"{path}/grams")
+    return _scored(blocks, _own_answers(words), grams, model, False)

@@ -1,7 +1,10 @@
 """The Katz model against plain dictionaries that share no code with it."""
 
+import glob
 import math
+import os
 import random
+import tempfile
 import zlib
 from collections import Counter, defaultdict
 
@@ -201,3 +204,34 @@ def test_the_registered_model_has_order_three(spark, tmp_path):
     table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     plain = PlainOrder(rows, 3)
     same(queries()["op7_katz_lm"](spark, str(tmp_path)).collect(), [plain.row(*r) for r in rows])
+
+
+def test_a_frequent_word_is_dealt_to_more_than_one_bucket(spark):
+    """Half of all tokens are one word, another follows a fifth of them: their histories are dealt by the word before, and
+    the scores stay those of plain dictionaries, of the corpus and from the stored model."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"the {'of' if rng.random() < 0.4 else f'n{rng.randint(0, 60)}'}" for _ in range(rng.randint(1, 60)))) for i in range(120)]
+    plain, path = PlainOrder(rows, 3), scratch_path(spark, "katz-test")
+    same(katz_lm.score_corpus(table(spark, rows), order=3).collect(), [plain.row(*r) for r in rows])
+    held = katz_lm.train(table(spark, rows), path, order=3)
+    assert max(held.parts) > 1 and len(held.hot) <= held.buckets
+    other = [(500 + i, t) for i, (_, t) in enumerate(corpus(7, 20, 50, 60))] + [(600, "the of the n1 the unseen the of"), (601, "unseen the n2")]
+    same(katz_lm.score_texts(table(spark, other), held).collect(), [plain.row(*r) for r in other])
+
+
+def test_order_three_writes_and_shuffles_little(spark, tmp_path):
+    """Bytes of the scratch tables and of the shuffles for a token; a round for each order needed 13."""
+    def disk():
+        tops = [f"{spark.conf.get('spark.checkpoint.dir').removeprefix('file:')}/lm-*",
+                f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*"]
+        return {f: os.path.getsize(f) for top in tops for at in glob.glob(top) for d, _, names in os.walk(at) for f in (f"{d}/{x}" for x in names) if os.path.exists(f)}
+
+    rng = random.Random(8)
+    names = [f"w{int(20_000 * rng.random() ** 4)}" for _ in range(400_000)]
+    rows = [(i, " ".join(names[at:at + 400])) for i, at in enumerate(range(0, len(names), 400))]
+    docs = f"{tmp_path}/docs.parquet"
+    table(spark, rows).coalesce(1).write.parquet(docs)
+    before = disk()
+    assert katz_lm.score_corpus(spark.read.parquet(docs), order=3).count() == len(rows)
+    bytes_a_token = sum(size for f, size in disk().items() if f not in before) / 401_000
+    assert 2 < bytes_a_token < 9
