@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.session import scratch_path
+from docsift.session import scratch_path, spent_shuffles
 
 # a table of at most this many narrow rows (a few longs each) may be broadcast
 BROADCAST_ROWS = 1_000_000
@@ -20,7 +20,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     back: the lineage ends there, so a lost executor never recomputes it, and
     later reads prune its columns."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with spent_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -58,7 +58,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.llm.common import cut, shuffle_width
-from docsift.session import scratch_path
+from docsift.session import scratch_path, spent_shuffles
 
 BLOCK_TOKENS = 1_500_000
 KATZ = 5                                   # counts above are not discounted
@@ -601,7 +601,8 @@ def _scored(blocks: DataFrame, words: DataFrame, grams: DataFrame, model: Model,
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.partitionBy("kind").parquet(path)
+    with spent_shuffles(df.sparkSession):
+        df.write.partitionBy("kind").parquet(path)
     return _tables(df.sparkSession, path)
 
 
